@@ -255,3 +255,288 @@ SELECT c.country, count(*) AS cnt FROM sales s JOIN customers c ON s.customer_id
 GROUP BY c.country ORDER BY cnt DESC, c.country LIMIT 3""", customers=True))
 def q_top_countries(spark, sf):
     return P.top_countries(V.sales(spark, sf), V.customers(spark, sf), 3)
+
+
+# ---------------------------------------------------------------------------
+# Cleaning (C*)
+# ---------------------------------------------------------------------------
+from .operators import clean as C  # noqa: E402
+from .operators import encode as EN  # noqa: E402
+from .operators import integrate as I  # noqa: E402
+from .operators import validate as VA  # noqa: E402
+
+_INT_SQL = "CASE WHEN TRY_CAST({c} AS DOUBLE) = floor(TRY_CAST({c} AS DOUBLE)) THEN CAST(TRY_CAST({c} AS DOUBLE) AS BIGINT) END"
+
+
+@register("coerce_types", w(f"""
+SELECT {_INT_SQL.format(c='order_id')} AS order_id, {_INT_SQL.format(c='customer_id')} AS customer_id,
+       try_strptime(order_date, '%Y-%m-%d') AS order_date, TRY_CAST(amount AS DOUBLE) AS amount, source
+FROM sales_text""", text=True))
+def q_coerce_types(spark, sf):
+    return C.coerce_types(V.sales_text(spark, sf))
+
+
+@register("drop_high_missing", w("SELECT order_id, customer_id, order_date, amount, source FROM sales_dirty",
+                                 dirty=True))
+def q_drop_high_missing(spark, sf):
+    return C.drop_high_missing(V.sales_dirty(spark, sf), 0.8)[0]
+
+
+@register("dup_row_count", w("""
+SELECT CAST((SELECT count(*) FROM sales_dirty) - (SELECT count(*) FROM (SELECT DISTINCT * FROM sales_dirty)) AS BIGINT)
+       AS duplicates""", dirty=True))
+def q_dup_row_count(spark, sf):
+    return P.duplicate_rows(V.sales_dirty(spark, sf))
+
+
+def _missing_sql(cols, src):
+    return "\nUNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS missing FROM {src}"
+                               for c in cols)
+
+
+@register("missing_key_counts", w(_missing_sql(["order_id", "customer_id", "order_date", "amount", "country"],
+                                               "sales_dirty"), dirty=True))
+def q_missing_key_counts(spark, sf):
+    return C.missing_counts(V.sales_dirty(spark, sf), C.KEY_COLUMNS)
+
+
+@register("run_cleaning", w("""
+SELECT CAST((SELECT count(*) FROM sales_dirty) - (SELECT count(*) FROM (SELECT DISTINCT order_id, customer_id,
+       order_date, amount, source FROM sales_dirty)) AS BIGINT) AS sales_duplicates,
+       count(*) FILTER (WHERE order_id IS NULL) AS missing_order_id,
+       count(*) FILTER (WHERE customer_id IS NULL) AS missing_customer_id,
+       count(*) FILTER (WHERE order_date IS NULL) AS missing_order_date,
+       count(*) FILTER (WHERE amount IS NULL) AS missing_amount
+FROM sales_dirty""", dirty=True))
+def q_run_cleaning(spark, sf):
+    return C.run_cleaning(V.sales_dirty(spark, sf)).stats
+
+
+@register("parse_dates", w("""
+SELECT order_id, customer_id, try_strptime(order_date, '%Y-%m-%d') AS order_date, amount, source FROM sales_text""",
+                           text=True))
+def q_parse_dates(spark, sf):
+    return C.parse_dates(V.sales_text(spark, sf), ["order_date", "missing_col"])
+
+
+def _impute_sql(fill_amount: str) -> str:
+    modes = "\n".join(
+        f", m_{c} AS (SELECT {c} AS v FROM sales_dirty WHERE {c} IS NOT NULL GROUP BY {c} "
+        f"ORDER BY count(*) DESC, {c} LIMIT 1)" for c in ("order_date", "source", "country"))
+    return (f"WITH f AS (SELECT {fill_amount} AS fill FROM sales_dirty)\n{modes}\n"
+            "SELECT order_id, customer_id, coalesce(order_date, (SELECT v FROM m_order_date)) AS order_date,\n"
+            "       round(coalesce(amount, (SELECT fill FROM f)), 4) AS amount,\n"
+            "       coalesce(source, (SELECT v FROM m_source), '') AS source,\n"
+            "       coalesce(country, (SELECT v FROM m_country), '') AS country\nFROM sales_dirty")
+
+
+@register("impute_median", w(_impute_sql("quantile_cont(amount, 0.5)"), dirty=True))
+def q_impute_median(spark, sf):
+    return rnd(C.impute(V.sales_dirty(spark, sf), "median"), {"amount": 4})
+
+
+@register("impute_mean", w(_impute_sql("avg(amount)"), dirty=True))
+def q_impute_mean(spark, sf):
+    return rnd(C.impute(V.sales_dirty(spark, sf), "mean"), {"amount": 4})
+
+
+def _li_scale_input(spark, sf):
+    return V.table(spark, sf, "lineitem").select(*_LI_NUM, "l_returnflag", "l_shipdate")
+
+
+@register("scale_standard", w("""
+WITH s AS (SELECT {st} FROM lineitem)
+SELECT {cols}, l_returnflag, l_shipdate FROM lineitem, s""".format(
+    st=", ".join(f"avg({c}) AS m_{c}, coalesce(nullif(stddev_pop({c}), 0), 1) AS s_{c}" for c in _LI_NUM),
+    cols=", ".join(f"round(({c} - m_{c}) / s_{c}, 6) AS {c}" for c in _LI_NUM))))
+def q_scale_standard(spark, sf):
+    return rnd(C.scale(_li_scale_input(spark, sf), "standard"), {c: 6 for c in _LI_NUM})
+
+
+@register("scale_minmax", w("""
+WITH s AS (SELECT {st} FROM lineitem)
+SELECT {cols}, l_returnflag, l_shipdate FROM lineitem, s""".format(
+    st=", ".join(f"min({c}) AS m_{c}, coalesce(nullif(max({c}) - min({c}), 0), 1) AS s_{c}" for c in _LI_NUM),
+    cols=", ".join(f"round(({c} - m_{c}) / s_{c}, 8) AS {c}" for c in _LI_NUM))))
+def q_scale_minmax(spark, sf):
+    return rnd(C.scale(_li_scale_input(spark, sf), "minmax"), {c: 8 for c in _LI_NUM})
+
+
+# ---------------------------------------------------------------------------
+# Encoding (E*)
+# ---------------------------------------------------------------------------
+
+def _li_cat(spark, sf):
+    return V.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
+
+
+@register("encode_onehot", w("""
+SELECT l_orderkey, l_linenumber,
+       CASE WHEN l_returnflag = 'A' THEN 1.0 ELSE 0.0 END::DOUBLE AS l_returnflag_A,
+       CASE WHEN l_returnflag = 'N' THEN 1.0 ELSE 0.0 END::DOUBLE AS l_returnflag_N,
+       CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END::DOUBLE AS l_returnflag_R,
+       CASE WHEN l_linestatus = 'F' THEN 1.0 ELSE 0.0 END::DOUBLE AS l_linestatus_F,
+       CASE WHEN l_linestatus = 'O' THEN 1.0 ELSE 0.0 END::DOUBLE AS l_linestatus_O
+FROM lineitem"""))
+def q_encode_onehot(spark, sf):
+    return EN.one_hot(_li_cat(spark, sf))
+
+
+@register("encode_label", w("""
+WITH r AS (SELECT l_returnflag AS v, CAST(row_number() OVER (ORDER BY l_returnflag) - 1 AS INTEGER) AS code
+           FROM (SELECT DISTINCT l_returnflag FROM lineitem)),
+s AS (SELECT l_linestatus AS v, CAST(row_number() OVER (ORDER BY l_linestatus) - 1 AS INTEGER) AS code
+      FROM (SELECT DISTINCT l_linestatus FROM lineitem))
+SELECT l_orderkey, l_linenumber, coalesce(r.code, -1) AS l_returnflag, coalesce(s.code, -1) AS l_linestatus
+FROM lineitem LEFT JOIN r ON l_returnflag = r.v LEFT JOIN s ON l_linestatus = s.v"""))
+def q_encode_label(spark, sf):
+    return EN.label_encode(_li_cat(spark, sf))
+
+
+@register("smart_encode", w("""
+SELECT event_id, value, props, {d} FROM events""".format(
+    d=", ".join(f"(event_type = '{v}') AS event_type_{v}" for v in ("click", "error", "purchase", "signup", "view")))))
+def q_smart_encode(spark, sf):
+    ev = V.table(spark, sf, "events").select("event_id", "event_type", "value", "props")
+    return EN.smart_encode(ev, {"max_onehot_unique": 10})[0]
+
+
+@register("list_to_json")
+def q_list_to_json(spark, sf):
+    return EN.list_to_json(V.table(spark, sf, "embeddings"))
+
+
+# ---------------------------------------------------------------------------
+# Validation (V*)
+# ---------------------------------------------------------------------------
+
+@register("check_duplicates", w("""
+SELECT CAST(greatest({d}) AS BIGINT) AS duplicates FROM sales_dirty""".format(
+    d=", ".join(f"count({c}) - count(DISTINCT {c})"
+                for c in ("order_id", "customer_id", "order_date", "amount", "source", "country"))), dirty=True))
+def q_check_duplicates(spark, sf):
+    return VA.check_duplicates(V.sales_dirty(spark, sf))
+
+
+@register("drop_duplicates_all", w("SELECT DISTINCT * FROM sales_dirty", dirty=True))
+def q_drop_duplicates_all(spark, sf):
+    return VA.drop_duplicates(V.sales_dirty(spark, sf))
+
+
+@register("drop_duplicates_subset", w("""
+SELECT order_id, customer_id, order_date, amount, source, country FROM (
+  SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY order_date NULLS FIRST, order_id NULLS FIRST,
+         order_id, order_date NULLS FIRST, amount NULLS FIRST, source NULLS FIRST, country NULLS FIRST) AS rn
+  FROM sales_dirty) WHERE rn = 1""", dirty=True))
+def q_drop_duplicates_subset(spark, sf):
+    return VA.drop_duplicates(V.sales_dirty(spark, sf), ["customer_id"], ["order_date", "order_id"])
+
+
+@register("check_missing", w("""
+SELECT "column", CASE "column" WHEN 'order_id' THEN 'bigint' WHEN 'customer_id' THEN 'bigint'
+       WHEN 'order_date' THEN 'date' WHEN 'amount' THEN 'double' ELSE 'string' END AS dtype, missing
+FROM ({m})""".format(m=_missing_sql(["order_id", "customer_id", "order_date", "amount", "source", "country"],
+                                    "sales_dirty")), dirty=True))
+def q_check_missing(spark, sf):
+    return VA.check_missing(V.sales_dirty(spark, sf))
+
+
+@register("outliers_iqr", w("""
+WITH q AS (SELECT quantile_cont(amount, 0.25) AS q1, quantile_cont(amount, 0.75) AS q3 FROM sales_dirty)
+SELECT sales_dirty.*, coalesce(amount < q1 - 1.5 * (q3 - q1) OR amount > q3 + 1.5 * (q3 - q1), false)
+       AS outlier_amount FROM sales_dirty, q""", dirty=True))
+def q_outliers_iqr(spark, sf):
+    return VA.outliers_iqr(V.sales_dirty(spark, sf), ["amount"], 1.5)
+
+
+def _z_sql(cols, thr=3.0):
+    q = ", ".join(f"quantile_cont({c}, 0.25) AS q1_{c}, quantile_cont({c}, 0.75) AS q3_{c}" for c in cols)
+    m = ", ".join(
+        f"CASE WHEN count(CASE WHEN {c} BETWEEN q1_{c} AND q3_{c} THEN 1 END) > 0 "
+        f"THEN avg(CASE WHEN {c} BETWEEN q1_{c} AND q3_{c} THEN {c} END) ELSE avg({c}) END AS mu_{c}, "
+        f"CASE WHEN count(CASE WHEN {c} BETWEEN q1_{c} AND q3_{c} THEN 1 END) > 0 "
+        f"THEN stddev_pop(CASE WHEN {c} BETWEEN q1_{c} AND q3_{c} THEN {c} END) ELSE stddev_pop({c}) END AS sd_{c}"
+        for c in cols)
+    f = ", ".join(f"CASE WHEN sd_{c} IS NULL OR sd_{c} = 0 THEN false ELSE coalesce(abs(({c} - mu_{c}) / sd_{c}) > {thr}, "
+                  f"false) END AS outlier_{c}" for c in cols)
+    return (f"WITH q AS (SELECT {q} FROM lineitem),\nm AS (SELECT {m} FROM lineitem, q)\n"
+            f"SELECT l_orderkey, l_linenumber, {', '.join(cols)}, {f} FROM lineitem, m")
+
+
+@register("outliers_zscore", w(_z_sql(["l_extendedprice", "l_quantity"])))
+def q_outliers_zscore(spark, sf):
+    li = V.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity")
+    return VA.outliers_zscore(li, ["l_extendedprice", "l_quantity"], 3.0)
+
+
+# ---------------------------------------------------------------------------
+# Integration (I*)
+# ---------------------------------------------------------------------------
+
+@register("source_tag", w("""
+SELECT order_id, customer_id, order_date, amount, coalesce(source, 'db') AS source, country FROM sales_dirty""",
+                          dirty=True))
+def q_source_tag(spark, sf):
+    return I.add_source(V.sales_dirty(spark, sf), "db")
+
+
+@register("union_sources", w("""
+SELECT order_id, customer_id, order_date, amount, 'db' AS source FROM sales
+UNION ALL BY NAME
+SELECT s.order_id, s.customer_id, s.order_date, s.amount, c.country, 'db' AS source
+  FROM sales s JOIN customers c ON s.customer_id = c.customer_id
+UNION ALL BY NAME
+SELECT customer_id, country, 'file' AS source FROM customers
+UNION ALL BY NAME
+SELECT order_id, customer_id, order_date, amount, coalesce(source, 'api') AS source, country FROM sales_dirty
+WHERE source = 'api' OR source IS NULL""", customers=True, dirty=True))
+def q_union_sources(spark, sf):
+    s, cu, d = V.sales(spark, sf), V.customers(spark, sf), V.sales_dirty(spark, sf)
+    db1 = s.drop("source")
+    db2 = s.drop("source").join(cu, "customer_id").select("order_id", "customer_id", "order_date", "amount", "country")
+    api = d.where((F.col("source") == "api") | F.col("source").isNull())
+    parts = [I.add_source(db1, "db"), I.add_source(db2, "db"), I.add_source(cu, "file"), I.add_source(api, "api")]
+    return I.union_sources(parts)
+
+
+@register("project_keep", w("SELECT order_id, amount FROM sales"))
+def q_project_keep(spark, sf):
+    return I.project_keep(V.sales(spark, sf), ["order_id", "amount", "not_a_column"])
+
+
+@register("concat_columns", w("""
+WITH a AS (SELECT row_number() OVER (ORDER BY order_id) - 1 AS row_idx, order_id, amount FROM sales),
+b AS (SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS row_idx, c_custkey, c_name FROM customer),
+c AS (SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS row_idx, p_partkey, p_name, p_retailprice FROM part)
+SELECT coalesce(a.row_idx, b.row_idx, c.row_idx) AS row_idx, order_id, amount, c_custkey, c_name, p_partkey, p_name,
+       p_retailprice
+FROM a FULL OUTER JOIN b ON a.row_idx = b.row_idx FULL OUTER JOIN c ON coalesce(a.row_idx, b.row_idx) = c.row_idx"""))
+def q_concat_columns(spark, sf):
+    frames = {"sales": V.sales(spark, sf).select("order_id", "amount"),
+              "users": V.table(spark, sf, "customer").select("c_custkey", "c_name"),
+              "products": V.table(spark, sf, "part").select("p_partkey", "p_name", "p_retailprice")}
+    order = {"sales": ["order_id"], "users": ["c_custkey"], "products": ["p_partkey"]}
+    return I.concat_columns(frames, order)
+
+
+# The two SQL source texts of the reference configuration.
+SQL_SALES_SCAN = "SELECT order_id, customer_id, order_date, amount FROM sales"
+SQL_SALES_JOIN_COUNTRY = """SELECT s.order_id, s.customer_id, s.order_date, s.amount, c.country
+FROM sales s
+JOIN customers c ON s.customer_id = c.customer_id"""
+
+
+def _sql_source(spark, sf, text):
+    from .sources.sql import read_sql_source
+    V.register_all(spark, sf)
+    return read_sql_source(spark, {"name": "q", "query": text})[0]
+
+
+@register("sql_sales_scan", w(SQL_SALES_SCAN))
+def q_sql_sales_scan(spark, sf):
+    return _sql_source(spark, sf, SQL_SALES_SCAN)
+
+
+@register("sales_join_country", w(SQL_SALES_JOIN_COUNTRY, customers=True))
+def q_sales_join_country(spark, sf):
+    return _sql_source(spark, sf, SQL_SALES_JOIN_COUNTRY)
