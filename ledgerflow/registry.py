@@ -540,3 +540,138 @@ def q_sql_sales_scan(spark, sf):
 @register("sales_join_country", w(SQL_SALES_JOIN_COUNTRY, customers=True))
 def q_sales_join_country(spark, sf):
     return _sql_source(spark, sf, SQL_SALES_JOIN_COUNTRY)
+
+
+# ---------------------------------------------------------------------------
+# Time series (T*)
+# ---------------------------------------------------------------------------
+from .operators import features as FE  # noqa: E402
+from .operators import ml as ML  # noqa: E402
+from .operators import timeseries as TS  # noqa: E402
+
+_DAILY_CTES = """WITH d AS (SELECT order_date AS day, sum(amount) AS v FROM sales_dirty
+           WHERE order_date IS NOT NULL AND amount IS NOT NULL GROUP BY 1),
+cal AS (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM d),
+s AS (SELECT cal.day, coalesce(v, 0.0) AS y FROM cal LEFT JOIN d ON cal.day = d.day)"""
+
+
+@register("daily_revenue_dense", w(_DAILY_CTES + "\nSELECT day, round(y, 2) AS value FROM s", dirty=True))
+def q_daily_revenue_dense(spark, sf):
+    return rnd(TS.daily_dense(V.sales_dirty(spark, sf)), {"value": 2})
+
+
+_DECOMP_CTES = _DAILY_CTES + """,
+i AS (SELECT day, y, CAST(day - (SELECT min(day) FROM s) AS BIGINT) AS i FROM s),
+nn AS (SELECT count(*) AS n FROM i),
+m AS (SELECT i.*, n, CASE WHEN i >= 3 AND i <= n - 4
+        THEN sum(y) OVER (ORDER BY i ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) / 7 END AS ma FROM i, nn),
+f AS (SELECT regr_slope(ma, i) FILTER (WHERE i >= 3 AND i < least(9, n - 4)) AS kf,
+             regr_intercept(ma, i) FILTER (WHERE i >= 3 AND i < least(9, n - 4)) AS bf,
+             regr_slope(ma, i) FILTER (WHERE i >= greatest(n - 10, 3) AND i < n - 4) AS kb,
+             regr_intercept(ma, i) FILTER (WHERE i >= greatest(n - 10, 3) AND i < n - 4) AS bb FROM m),
+t AS (SELECT m.*, CASE WHEN i < 3 THEN kf * i + bf WHEN i > n - 4 THEN kb * i + bb ELSE ma END AS trend FROM m, f),
+p AS (SELECT i % 7 AS md, avg(y - trend) AS pm FROM t GROUP BY 1),
+pc AS (SELECT md, pm - (SELECT avg(pm) FROM p) AS seasonal FROM p)"""
+
+
+@register("decompose_trend_interior", w(_DECOMP_CTES + """
+SELECT day, round(ma, 2) AS trend FROM m WHERE ma IS NOT NULL""", dirty=True))
+def q_decompose_trend_interior(spark, sf):
+    comp = TS.decompose(TS.daily_dense(V.sales_dirty(spark, sf)))
+    first = comp.agg(F.min("day"), F.max("day")).first()
+    inner = comp.where((F.datediff("day", F.lit(first[0])) >= 3) & (F.datediff(F.lit(first[1]), "day") >= 3))
+    return rnd(inner.select("day", "trend"), {"trend": 2})
+
+
+@register("decompose_components", w(_DECOMP_CTES + """
+SELECT day, round(y, 2) AS value, round(trend, 2) AS trend, round(seasonal, 2) AS seasonal,
+       round(y - trend - seasonal, 2) AS resid FROM t JOIN pc ON t.i % 7 = pc.md""", dirty=True))
+def q_decompose_components(spark, sf):
+    comp = TS.decompose(TS.daily_dense(V.sales_dirty(spark, sf)))
+    return rnd(comp, {"value": 2, "trend": 2, "seasonal": 2, "resid": 2})
+
+
+@register("decompose_nan_counts")
+def q_decompose_nan_counts(spark, sf):
+    return TS.decompose_nan_counts(TS.decompose(TS.daily_dense(V.sales_dirty(spark, sf))))
+
+
+# ---------------------------------------------------------------------------
+# Features (F*)
+# ---------------------------------------------------------------------------
+
+_CAL_SQL = ("coalesce(isodow(order_date) - 1, 0)::BIGINT AS dow, coalesce(month(order_date), 0)::BIGINT AS month, "
+            "coalesce(CAST(isodow(order_date) - 1 >= 5 AS BIGINT), 0) AS is_weekend")
+_HIST_W = ("(PARTITION BY customer_id ORDER BY order_date NULLS FIRST, order_id NULLS FIRST, source NULLS FIRST "
+           "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
+_HIST_SQL = (f"CASE WHEN customer_id IS NULL THEN 0 ELSE coalesce(count(*) OVER {_HIST_W}, 0) END AS _cnt_prev, "
+             f"round(CASE WHEN customer_id IS NULL THEN 0.0 ELSE coalesce(sum(amount) OVER {_HIST_W} / "
+             f"nullif(count(amount) OVER {_HIST_W}, 0), 0.0) END, 6) AS _amount_prev_mean")
+_SRC_SQL = ("coalesce(source = 'api', false) AS src_api, coalesce(source = 'db', false) AS src_db, "
+            "coalesce(source = 'file', false) AS src_file")
+
+
+@register("feat_calendar", w(f"SELECT *, {_CAL_SQL} FROM sales_dirty", dirty=True))
+def q_feat_calendar(spark, sf):
+    return FE.calendar_features(V.sales_dirty(spark, sf))
+
+
+@register("feat_source_dummies", w(f"""
+SELECT order_id, customer_id, order_date, amount, country, {_SRC_SQL} FROM sales_dirty""", dirty=True))
+def q_feat_source_dummies(spark, sf):
+    return FE.source_dummies(V.sales_dirty(spark, sf))
+
+
+@register("feat_prev_count", w(f"""
+SELECT order_id, customer_id, order_date, amount, source,
+       CASE WHEN customer_id IS NULL THEN 0 ELSE coalesce(count(*) OVER {_HIST_W}, 0) END AS _cnt_prev
+FROM sales_dirty""", dirty=True))
+def q_feat_prev_count(spark, sf):
+    return FE.history_features(V.sales_dirty(spark, sf).drop("country")).drop("_amount_prev_mean")
+
+
+@register("feat_prev_mean", w(f"SELECT *, {_HIST_SQL} FROM sales_dirty", dirty=True))
+def q_feat_prev_mean(spark, sf):
+    return rnd(FE.history_features(V.sales_dirty(spark, sf)), {"_amount_prev_mean": 6})
+
+
+@register("build_features", w(f"""
+SELECT customer_id, order_date, amount, country, {_CAL_SQL}, {_HIST_SQL}, {_SRC_SQL} FROM sales_dirty""",
+                              dirty=True))
+def q_build_features(spark, sf):
+    return rnd(FE.build_features(V.sales_dirty(spark, sf)), {"_amount_prev_mean": 6})
+
+
+@register("high_value_target", w("""
+SELECT *, CAST(coalesce(amount >= (SELECT quantile_cont(amount, 0.8) FROM sales_dirty), false) AS INTEGER)
+       AS "high_value_q0.80" FROM sales_dirty""", dirty=True))
+def q_high_value_target(spark, sf):
+    return FE.classification_target(V.sales_dirty(spark, sf), None, 0.8)[0]
+
+
+@register("select_numeric", w(f"""
+SELECT CAST({_CAL_SQL.replace(' AS dow', '::DOUBLE AS dow').replace(' AS month', '::DOUBLE AS month')
+             .replace(' AS is_weekend', '::DOUBLE AS is_weekend').split(', ')[0]}, {
+       ', '.join(_CAL_SQL.split(', ')[1:])}, 0)""".replace("SELECT CAST(", "SELECT (") if False else f"""
+SELECT CAST(dow AS DOUBLE) AS dow, CAST(month AS DOUBLE) AS month, CAST(is_weekend AS DOUBLE) AS is_weekend,
+       CAST(_cnt_prev AS DOUBLE) AS _cnt_prev, _amount_prev_mean
+FROM (SELECT *, {_CAL_SQL}, {_HIST_SQL} FROM sales_dirty)""", dirty=True))
+def q_select_numeric(spark, sf):
+    x, y = FE.classification_target(FE.build_features(V.sales_dirty(spark, sf)), None, 0.8)
+    return rnd(FE.select_numeric(x, [y, "amount"])[0], {"_amount_prev_mean": 6})
+
+
+_SPLIT_SQL = "substr(md5('42' || CAST({k} AS VARCHAR)), 1, 8) < '40000000'"
+
+
+@register("split_stratified", w(f"""
+SELECT order_id, CAST(coalesce(amount >= (SELECT quantile_cont(amount, 0.8) FROM sales_dirty), false) AS INTEGER)
+       AS label, {_SPLIT_SQL.format(k='order_id')} AS is_test FROM sales_dirty""", dirty=True))
+def q_split_stratified(spark, sf):
+    x, y = FE.classification_target(V.sales_dirty(spark, sf), None, 0.8)
+    return FE.split(x.select("order_id", F.col(f"`{y}`").alias("label")), "order_id")
+
+
+@register("split_random", w(f"SELECT order_id, amount, {_SPLIT_SQL.format(k='order_id')} AS is_test FROM sales"))
+def q_split_random(spark, sf):
+    return FE.split(V.sales(spark, sf).select("order_id", "amount"), "order_id")
