@@ -156,11 +156,10 @@ def predict_forest(model: PipelineModel, df: DataFrame, feats: list[str]) -> Dat
 
 
 def regression_metrics(pred: DataFrame, actual: str, predicted: str = "prediction") -> DataFrame:
-    """RMSE, MAE, R² (1 − SSE/SST), n — one pass plus the mean as a scalar."""
+    """RMSE, MAE, R² (1 − SSE/SST, SST = n·var_pop), n — one pass."""
     y, p = F.col(actual).cast("double"), F.col(predicted).cast("double")
-    mean_y = pred.agg(F.avg(y)).scalar()
     m = pred.agg(F.count(F.lit(1)).alias("n"), F.sum((y - p) * (y - p)).alias("sse"),
-                 F.sum(F.abs(y - p)).alias("sae"), F.sum((y - mean_y) * (y - mean_y)).alias("sst"))
+                 F.sum(F.abs(y - p)).alias("sae"), (F.var_pop(y) * F.count(y)).alias("sst"))
     return m.select(F.sqrt(F.col("sse") / F.col("n")).alias("rmse"), (F.col("sae") / F.col("n")).alias("mae"),
                     (F.lit(1.0) - F.try_divide(F.col("sse"), F.col("sst"))).alias("r2"), F.col("n").alias("n_test"))
 
@@ -253,3 +252,33 @@ __all__ = ["train_logreg", "score_logreg", "threshold_predict", "classification_
            "pr_curve", "confusion_matrix", "logreg_coefficients", "train_forest", "predict_forest",
            "regression_metrics", "residual_histogram", "actual_vs_predicted_bins", "forest_importances",
            "save_model", "load_model", "run_ml", "split"]
+
+
+def _split_all(df: DataFrame, key: str | None) -> DataFrame:
+    k = F.col(key) if key else F.xxhash64(*[F.col(c) for c in df.columns])
+    return df.withColumn("_split_key", k).transform(lambda d: split(d, "_split_key")).drop("_split_key")
+
+
+def train_classification(df: DataFrame, target: str, key: str | None = None) -> DataFrame:
+    """M2: plain logistic regression on every other column (numeric), 75/25 hash
+    split; one metrics row (model, accuracy, precision, recall, f1, roc_auc)."""
+    x = _split_all(df.withColumn(target, F.col(target).cast("int")), key)
+    feats = numeric_feature_columns(x, drop=[target] + ([key] if key else []))
+    train, test = x.where(~F.col("is_test")), x.where(F.col("is_test"))
+    model = train_logreg(train, feats, target, balanced=False)
+    scored = score_logreg(model, test, feats)
+    m = classification_metrics(scored, target).drop("n_test")
+    auc = roc_auc(scored, target).scalar()
+    return m.select(F.lit("LogisticRegression").alias("model"), "*", auc.alias("roc_auc"))
+
+
+def train_regression(df: DataFrame, target: str, key: str | None = None, num_trees: int = 200,
+                     max_depth: int = 16) -> DataFrame:
+    """Random forest (200 trees) on every other numeric column; one metrics
+    row (model, rmse, mae, r2)."""
+    x = _split_all(df.where(F.col(target).isNotNull()), key)
+    feats = numeric_feature_columns(x, drop=[target] + ([key] if key else []))
+    train, test = x.where(~F.col("is_test")), x.where(F.col("is_test"))
+    model = train_forest(train, feats, target, num_trees, max_depth)
+    m = regression_metrics(predict_forest(model, test, feats), target).drop("n_test")
+    return m.select(F.lit("RandomForestRegressor").alias("model"), "*")

@@ -675,3 +675,375 @@ def q_split_stratified(spark, sf):
 @register("split_random", w(f"SELECT order_id, amount, {_SPLIT_SQL.format(k='order_id')} AS is_test FROM sales"))
 def q_split_random(spark, sf):
     return FE.split(V.sales(spark, sf).select("order_id", "amount"), "order_id")
+
+
+# ---------------------------------------------------------------------------
+# Sources and sinks (S*) and the multi-source load (I4)
+# ---------------------------------------------------------------------------
+from .session import scratch_path  # noqa: E402
+from .sources import files as SF  # noqa: E402
+from .sources import json_docs as SJ  # noqa: E402
+from .sources import tables as ST  # noqa: E402
+from .sources.sql import read_sql_source  # noqa: E402
+
+_SALES_SCHEMA = "order_id BIGINT, customer_id BIGINT, order_date DATE, amount DOUBLE, source STRING"
+
+
+@register("src_csv", w("SELECT * FROM sales"))
+def q_src_csv(spark, sf):
+    path = SF.write_csv(V.sales(spark, sf), scratch_path(spark, "sales_csv"))
+    return SF.read_csv(spark, path, _SALES_SCHEMA)
+
+
+SQL_SOURCE_AGG = "SELECT source, count(*) AS n, round(sum(amount), 2) AS revenue FROM sales GROUP BY source"
+
+
+@register("src_sql_query", w(SQL_SOURCE_AGG))
+def q_src_sql_query(spark, sf):
+    V.register_all(spark, sf)
+    return read_sql_source(spark, {"name": "agg", "query": SQL_SOURCE_AGG})[0]
+
+
+def _event_docs(spark, sf):
+    """One landed API response per event: the list sits under response.items,
+    next to a scalar and a nested object, so the root walk and the "first list
+    member" rule are both exercised."""
+    e = V.table(spark, sf, "events")
+    doc = F.concat(F.lit('{"meta": {"id": '), F.col("event_id").cast("string"),
+                   F.lit('}, "response": {"count": 2, "items": ['), F.col("props"),
+                   F.lit(', {"k": '), F.col("user_id").cast("string"), F.lit("}]}}"))
+    return e.select("event_id", doc.alias("doc"))
+
+
+@register("json_root_rows", w("""
+SELECT event_id, CAST(0 AS INTEGER) AS pos, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events
+UNION ALL
+SELECT event_id, CAST(1 AS INTEGER) AS pos, user_id AS k FROM events"""))
+def q_json_root_rows(spark, sf):
+    return SJ.extract_root_rows(_event_docs(spark, sf), "doc", "response", "k BIGINT", keep=["event_id"])
+
+
+@register("json_flatten", w("""
+SELECT event_id, event_type AS "meta.type", value AS "meta.detail.value",
+       CAST(json_extract_string(props, '$.k') AS BIGINT) AS "meta.detail.props.k" FROM events"""))
+def q_json_flatten(spark, sf):
+    e = V.table(spark, sf, "events")
+    nested = e.select("event_id", F.struct(
+        F.col("event_type").alias("type"),
+        F.struct(F.col("value").alias("value"), F.from_json("props", "k BIGINT").alias("props")).alias("detail"))
+        .alias("meta"))
+    return SJ.flatten(nested)
+
+
+def _landed_pages(spark, sf, page_size=100):
+    """Paged API responses as landed: endpoint = event type, page p holds that
+    type's events among ids [p·page_size, (p+1)·page_size); each page carries the
+    endpoint's total.  Pages are bounded by page_size by construction."""
+    e = V.table(spark, sf, "events").select(
+        F.col("event_type").alias("endpoint"), F.floor(F.col("event_id") / page_size).cast("long").alias("page_no"),
+        "event_id", "value")
+    tot = e.groupBy("endpoint").agg(F.count(F.lit(1)).alias("total"))
+    pages = (e.groupBy("endpoint", "page_no")
+              .agg(F.collect_list(F.struct("event_id", "value")).alias("items"))
+              .join(tot, "endpoint"))
+    return pages.select("endpoint", "page_no",
+                        F.to_json(F.struct(F.col("items").alias("data"), F.col("total").alias("total"))).alias("doc"))
+
+
+@register("json_pages_assemble", w("""
+WITH e AS (SELECT event_type AS endpoint, CAST(floor(event_id / 100) AS BIGINT) AS page_no, event_id, value FROM events),
+tot AS (SELECT endpoint, count(*) AS total FROM e GROUP BY endpoint),
+p AS (SELECT endpoint, page_no, count(*) AS n FROM e GROUP BY endpoint, page_no),
+c AS (SELECT p.*, total, sum(n) OVER (PARTITION BY p.endpoint ORDER BY page_no
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum
+      FROM p JOIN tot ON p.endpoint = tot.endpoint WHERE page_no < 1000),
+s AS (SELECT endpoint, min(CASE WHEN n < 12 OR cum >= total THEN page_no END) AS stop FROM c GROUP BY endpoint)
+SELECT e.endpoint, e.page_no, event_id, value FROM e JOIN s ON e.endpoint = s.endpoint
+WHERE e.page_no < 1000 AND (s.stop IS NULL OR e.page_no <= s.stop)"""))
+def q_json_pages_assemble(spark, sf):
+    out = SJ.assemble_pages(_landed_pages(spark, sf), "doc", "page_no", "event_id BIGINT, value DOUBLE",
+                            root="data", key_cols=["endpoint"], limit=12, max_pages=1000, total_path="total")
+    return out.drop("pos")
+
+
+@register("sink_parquet_roundtrip", w("SELECT * FROM sales_dirty", dirty=True))
+def q_sink_parquet_roundtrip(spark, sf):
+    path = SF.save_parquet(V.sales_dirty(spark, sf), scratch_path(spark, "sales_dirty_pq"), partition_by=["source"])
+    return SF.read_parquet(spark, path)
+
+
+def _table_name(spark, stem):
+    return f"{stem}_{scratch_path(spark, 't').rsplit('-', 1)[-1]}"
+
+
+@register("sink_table_append", w("SELECT * FROM sales UNION ALL SELECT * FROM sales"))
+def q_sink_table_append(spark, sf):
+    name = _table_name(spark, "sales_copy")
+    loc = scratch_path(spark, name)
+    s = V.sales(spark, sf)
+    for _ in range(2):
+        s.write.mode("append").format("parquet").option("path", loc).saveAsTable(name)
+    return spark.table(name)
+
+
+@register("load_typed_csv", w("SELECT CAST(customer_id AS INTEGER) AS customer_id, country FROM customers",
+                              customers=True))
+def q_load_typed_csv(spark, sf):
+    path = SF.write_csv(V.customers(spark, sf), scratch_path(spark, "customers_csv"))
+    return SF.load_typed_csv(spark, path, "customers")
+
+
+@register("export_metrics_kv", w("""
+SELECT 'sales_count' AS metric, CAST((SELECT count(*) FROM sales) AS VARCHAR) AS value
+UNION ALL SELECT 'customers_count', CAST((SELECT count(*) FROM customers) AS VARCHAR)
+UNION ALL SELECT * FROM (SELECT 'top_country_' || c.country, CAST(count(*) AS VARCHAR) FROM sales s
+  JOIN customers c ON s.customer_id = c.customer_id GROUP BY c.country ORDER BY count(*) DESC, c.country LIMIT 3)""",
+                                 customers=True))
+def q_export_metrics_kv(spark, sf):
+    return ST.export_metrics(V.sales(spark, sf), V.customers(spark, sf))
+
+
+def _api_docs(spark, sf):
+    """The API part of the load: one landed response per 'api' order, rows under "data"."""
+    s = V.sales(spark, sf).where(F.col("source") == "api")
+    item = F.struct("order_id", "customer_id", "order_date", "amount")
+    return s.select(F.to_json(F.struct(F.array(item).alias("data"))).alias("doc"))
+
+
+def load_config(spark, sf) -> dict:
+    """A reference-shaped source configuration over the test tables: two SQL
+    sources, one CSV and one JSON (landed API) source."""
+    V.register_all(spark, sf)
+    csv_path = SF.write_csv(V.customers(spark, sf), scratch_path(spark, "customers_csv"))
+    return {"sources": {
+        "sql": [{"name": "sales", "query": SQL_SALES_SCAN, "target": "sales"},
+                {"name": "sales_join_country", "query": SQL_SALES_JOIN_COUNTRY, "target": "sales"}],
+        "csv": [{"name": "customers", "path": csv_path, "schema": "customer_id BIGINT, country STRING",
+                 "target": "customers"},
+                {"name": "missing", "path": scratch_path(spark, "does_not_exist")}],
+        "json": [{"name": "sales_api", "docs": _api_docs(spark, sf), "doc_col": "doc", "json_root": "data",
+                  "item_schema": "order_id BIGINT, customer_id BIGINT, order_date DATE, amount DOUBLE",
+                  "target": "sales"}],
+    }}
+
+
+@register("multi_source_load", w("""
+SELECT order_id, customer_id, order_date, amount, 'db' AS source FROM sales
+UNION ALL BY NAME
+SELECT s.order_id, s.customer_id, s.order_date, s.amount, c.country, 'db' AS source
+  FROM sales s JOIN customers c ON s.customer_id = c.customer_id
+UNION ALL BY NAME
+SELECT customer_id, country, 'file' AS source FROM customers
+UNION ALL BY NAME
+SELECT order_id, customer_id, order_date, amount, 'api' AS source FROM sales WHERE source = 'api'""",
+                                 customers=True))
+def q_multi_source_load(spark, sf):
+    return I.load_sources(spark, load_config(spark, sf))[0]
+
+
+# ---------------------------------------------------------------------------
+# Model evaluation on a rule score (M3–M8, M12, M13): exact in both engines
+# ---------------------------------------------------------------------------
+
+def _rule_scored(spark, sf):
+    x, y = FE.classification_target(V.sales_dirty(spark, sf), None, 0.8)
+    x = FE.split(x, "order_id")
+    num = (F.col("order_id") * 7919) % 500 + F.least(F.floor(F.coalesce(F.col("amount"), F.lit(0.0)) / 1000),
+                                                     F.lit(499))
+    return x.where("is_test").select("order_id", F.col(f"`{y}`").alias("label"), (num / 1000.0).alias("score"))
+
+
+_RULE_SQL = """WITH x AS (SELECT order_id, CAST(coalesce(amount >= (SELECT quantile_cont(amount, 0.8) FROM sales_dirty),
+       false) AS INTEGER) AS label,
+       ((order_id * 7919) % 500 + least(floor(coalesce(amount, 0.0) / 1000), 499)) / CAST(1000 AS DOUBLE) AS score,
+       substr(md5('42' || CAST(order_id AS VARCHAR)), 1, 8) < '40000000' AS is_test FROM sales_dirty),
+sc AS (SELECT order_id, label, score, CAST(score >= 0.5 AS INTEGER) AS pred FROM x WHERE is_test)"""
+
+
+@register("threshold_predict", w(_RULE_SQL + "\nSELECT * FROM sc", dirty=True))
+def q_threshold_predict(spark, sf):
+    return ML.threshold_predict(_rule_scored(spark, sf))
+
+
+@register("clf_metrics", w(_RULE_SQL + """
+SELECT round(count(*) FILTER (WHERE label = pred) / count(*), 10) AS accuracy,
+       round(coalesce(count(*) FILTER (WHERE label = 1 AND pred = 1) /
+             nullif(count(*) FILTER (WHERE pred = 1), 0), 0.0), 10) AS precision,
+       round(coalesce(count(*) FILTER (WHERE label = 1 AND pred = 1) /
+             nullif(count(*) FILTER (WHERE label = 1), 0), 0.0), 10) AS recall,
+       round(coalesce(2 * count(*) FILTER (WHERE label = 1 AND pred = 1) /
+             nullif(2 * count(*) FILTER (WHERE label = 1 AND pred = 1) + count(*) FILTER (WHERE label <> pred), 0),
+             0.0), 10) AS f1,
+       count(*) AS n_test FROM sc""", dirty=True))
+def q_clf_metrics(spark, sf):
+    m = ML.classification_metrics(ML.threshold_predict(_rule_scored(spark, sf)), "label")
+    return rnd(m, {c: 10 for c in ("accuracy", "precision", "recall", "f1")})
+
+
+@register("roc_auc", w(_RULE_SQL + """,
+g AS (SELECT score, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label = 0) AS neg
+      FROM sc GROUP BY score),
+r AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+      FROM g)
+SELECT round(sum(pos * (below + 0.5 * neg)) / (sum(pos) * sum(neg)), 10) AS roc_auc FROM r""", dirty=True))
+def q_roc_auc(spark, sf):
+    return rnd(ML.roc_auc(_rule_scored(spark, sf), "label"), {"roc_auc": 10})
+
+
+@register("confusion_matrix", w(_RULE_SQL + """,
+cells AS (SELECT CAST(l AS INTEGER) AS label, CAST(p AS INTEGER) AS pred FROM (VALUES (0, 0), (0, 1), (1, 0), (1, 1))
+          t(l, p))
+SELECT cells.label, cells.pred, count(sc.order_id) AS count FROM cells
+LEFT JOIN sc ON cells.label = sc.label AND cells.pred = sc.pred GROUP BY cells.label, cells.pred""", dirty=True))
+def q_confusion_matrix(spark, sf):
+    return ML.confusion_matrix(ML.threshold_predict(_rule_scored(spark, sf)), "label")
+
+
+_CURVE_SQL = _RULE_SQL + """,
+g AS (SELECT score, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label = 0) AS neg
+      FROM sc GROUP BY score),
+r AS (SELECT score, sum(pos) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
+             sum(neg) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp,
+             sum(pos) OVER () AS P, sum(neg) OVER () AS N FROM g)"""
+
+
+@register("roc_curve", w(_CURVE_SQL + """
+SELECT score AS threshold, round(fp / N, 10) AS fpr, round(tp / P, 10) AS tpr FROM r""", dirty=True))
+def q_roc_curve(spark, sf):
+    return rnd(ML.roc_curve(_rule_scored(spark, sf), "label"), {"fpr": 10, "tpr": 10})
+
+
+@register("pr_curve", w(_CURVE_SQL + """
+SELECT score AS threshold, round(tp / (tp + fp), 10) AS precision, round(tp / P, 10) AS recall FROM r""",
+                        dirty=True))
+def q_pr_curve(spark, sf):
+    return rnd(ML.pr_curve(_rule_scored(spark, sf), "label"), {"precision": 10, "recall": 10})
+
+
+def _rule_regression(spark, sf):
+    h = FE.split(FE.history_features(V.sales_dirty(spark, sf)), "order_id")
+    return h.where(F.col("is_test") & F.col("amount").isNotNull()).select(
+        "order_id", "amount", F.round("_amount_prev_mean", 2).alias("prediction"))
+
+
+_REG_SQL = f"""WITH h AS (SELECT order_id, amount, round(CASE WHEN customer_id IS NULL THEN 0.0 ELSE
+       coalesce(sum(amount) OVER {_HIST_W} / nullif(count(amount) OVER {_HIST_W}, 0), 0.0) END, 2) AS prediction,
+       substr(md5('42' || CAST(order_id AS VARCHAR)), 1, 8) < '40000000' AS is_test FROM sales_dirty),
+t AS (SELECT order_id, amount, prediction FROM h WHERE is_test AND amount IS NOT NULL)"""
+
+
+@register("reg_metrics", w(_REG_SQL + """
+SELECT round(sqrt(avg((amount - prediction) * (amount - prediction))), 4) AS rmse,
+       round(avg(abs(amount - prediction)), 4) AS mae,
+       round(1 - sum((amount - prediction) * (amount - prediction)) /
+             sum((amount - (SELECT avg(amount) FROM t)) * (amount - (SELECT avg(amount) FROM t))), 6) AS r2,
+       count(*) AS n_test FROM t""", dirty=True))
+def q_reg_metrics(spark, sf):
+    return rnd(ML.regression_metrics(_rule_regression(spark, sf), "amount"), {"rmse": 4, "mae": 4, "r2": 6})
+
+
+@register("residual_histogram", w(_REG_SQL + """,
+x AS (SELECT amount - prediction AS x FROM t),
+st AS (SELECT CASE WHEN min(x) = max(x) THEN min(x) - 0.5 ELSE min(x) END AS lo,
+              CASE WHEN min(x) = max(x) THEN max(x) + 0.5 ELSE max(x) END AS hi FROM x),
+b AS (SELECT CAST(least(floor((x - lo) / ((hi - lo) / 30)) + 1, 30) AS INTEGER) AS bin FROM x, st),
+c AS (SELECT bin, count(*) AS cnt FROM b GROUP BY bin),
+g AS (SELECT CAST(i AS INTEGER) AS bin FROM range(1, 31) t(i))
+SELECT g.bin, round(lo + (g.bin - 1) * ((hi - lo) / 30), 4) AS bin_lo, round(lo + g.bin * ((hi - lo) / 30), 4) AS bin_hi,
+       CAST(coalesce(cnt, 0) AS BIGINT) AS count
+FROM g CROSS JOIN st LEFT JOIN c ON g.bin = c.bin""", dirty=True))
+def q_residual_histogram(spark, sf):
+    return rnd(ML.residual_histogram(_rule_regression(spark, sf), "amount"), {"bin_lo": 4, "bin_hi": 4})
+
+
+@register("actual_vs_pred_bins", w(_REG_SQL + """,
+st AS (SELECT least(min(amount), min(prediction)) AS lo, greatest(max(amount), max(prediction)) AS hi FROM t)
+SELECT CAST(least(floor((amount - lo) / ((hi - lo) / 20)) + 1, 20) AS INTEGER) AS actual_bin,
+       CAST(least(floor((prediction - lo) / ((hi - lo) / 20)) + 1, 20) AS INTEGER) AS pred_bin, count(*) AS count
+FROM t, st GROUP BY ALL""", dirty=True))
+def q_actual_vs_pred_bins(spark, sf):
+    return ML.actual_vs_predicted_bins(_rule_regression(spark, sf), "amount")
+
+
+# ---------------------------------------------------------------------------
+# Model training (M1, M2, M9–M11, M14–M16): rows-only checks + pytest properties
+# ---------------------------------------------------------------------------
+
+def _ml_features(spark, sf):
+    clean = C.run_cleaning(V.sales_dirty(spark, sf)).df
+    return FE.build_features(FE.split(clean, "order_id"))
+
+
+@register("logreg_train")
+def q_logreg_train(spark, sf):
+    x, y = FE.classification_target(_ml_features(spark, sf), None, 0.8)
+    feats = FE.numeric_feature_columns(x, drop=[y, "amount"])
+    model = ML.train_logreg(x.where(~F.col("is_test")), feats, y)
+    scored = ML.score_logreg(model, x.where(F.col("is_test")), feats)
+    auc = ML.roc_auc(scored, y).scalar()
+    return ML.classification_metrics(scored, y).select("*", auc.alias("roc_auc"), F.lit(y).alias("target"))
+
+
+def _lineitem_numeric(spark, sf):
+    return V.table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        (F.col("l_returnflag") == "R").cast("int").alias("is_returned"))
+
+
+@register("logreg_plain")
+def q_logreg_plain(spark, sf):
+    li = _lineitem_numeric(spark, sf).withColumn("_key", F.concat_ws("-", "l_orderkey", "l_linenumber"))
+    return ML.train_classification(li.drop("l_orderkey", "l_linenumber"), "is_returned", key="_key")
+
+
+@register("logreg_coeffs")
+def q_logreg_coeffs(spark, sf):
+    x, y = FE.classification_target(_ml_features(spark, sf), None, 0.8)
+    feats = FE.numeric_feature_columns(x, drop=[y, "amount"])
+    return ML.logreg_coefficients(ML.train_logreg(x.where(~F.col("is_test")), feats, y), feats)
+
+
+def _rf(spark, sf, trees=250):
+    x = _ml_features(spark, sf).where(F.col("amount").isNotNull())
+    feats = FE.numeric_feature_columns(x, drop=["amount"])
+    model = ML.train_forest(x.where(~F.col("is_test")), feats, "amount", num_trees=trees)
+    return x, feats, model
+
+
+@register("rf_train")
+def q_rf_train(spark, sf):
+    x, feats, model = _rf(spark, sf)
+    return ML.regression_metrics(ML.predict_forest(model, x.where(F.col("is_test")), feats), "amount")
+
+
+@register("rf_plain")
+def q_rf_plain(spark, sf):
+    li = _lineitem_numeric(spark, sf).withColumn("_key", F.concat_ws("-", "l_orderkey", "l_linenumber"))
+    return ML.train_regression(li.drop("l_orderkey", "l_linenumber", "is_returned"), "l_extendedprice", key="_key")
+
+
+@register("rf_importance")
+def q_rf_importance(spark, sf):
+    _, feats, model = _rf(spark, sf)
+    return ML.forest_importances(model, feats)
+
+
+@register("model_roundtrip")
+def q_model_roundtrip(spark, sf):
+    x, y = FE.classification_target(_ml_features(spark, sf), None, 0.8)
+    feats = FE.numeric_feature_columns(x, drop=[y, "amount"])
+    model = ML.train_logreg(x.where(~F.col("is_test")), feats, y)
+    path = ML.save_model(model, scratch_path(spark, "logreg_model"))
+    return ML.score_logreg(ML.load_model(path), x.where(F.col("is_test")), feats).select(F.col(f"`{y}`"), "score",
+                                                                                          "pred")
+
+
+@register("ml_stage_metrics")
+def q_ml_stage_metrics(spark, sf):
+    res = ML.run_ml(_ml_features(spark, sf), {"ml": {"enabled": True, "regression": {"n_estimators": 250}}})
+    parts = [ST.metrics_to_kv(m).select(F.lit(task).alias("task"), "metric", "value")
+             for task, m in res["metrics"].items()]
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return out

@@ -33,6 +33,11 @@ def root_value(doc: Column, root: str | None) -> Column:
     return F.coalesce(F.get_json_object(doc, _json_path(root)), doc)
 
 
+def _member(raw: Column, key: Column) -> Column:
+    """JSON text of the member named by a per-row key (path built per row)."""
+    return F.call_function("get_json_object", raw, F.concat(F.lit("$['"), key, F.lit("']")))
+
+
 def _first_char(c: Column) -> Column:
     return F.substring(F.ltrim(c), 1, 1)
 
@@ -43,9 +48,8 @@ def items_of(raw: Column, item_schema: T.StructType | str, wrap_object: bool = T
     ``wrap_object`` (the paged reader appends nothing for it)."""
     arr_type = T.ArrayType(_schema(item_schema))
     keys = F.json_object_keys(raw)
-    first_list_key = F.filter(keys, lambda k: _first_char(
-        F.get_json_object(raw, F.concat(F.lit("$['"), k, F.lit("']")))) == "[")[0]
-    first_list = F.get_json_object(raw, F.concat(F.lit("$['"), first_list_key, F.lit("']")))
+    first_list_key = F.filter(keys, lambda k: _first_char(_member(raw, k)) == "[")[0]
+    first_list = _member(raw, first_list_key)
     single = F.array(F.from_json(raw, _schema(item_schema))) if wrap_object else F.array().cast(arr_type)
     from_obj = F.when(first_list_key.isNotNull(), F.from_json(first_list, arr_type)).otherwise(single)
     return (F.when(_first_char(raw) == "[", F.from_json(raw, arr_type))
