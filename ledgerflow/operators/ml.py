@@ -18,7 +18,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.exprs import equal_width_bin
+from ..functions.exprs import equal_width_bin, qcol
 from ..functions.prefix import prefix_by_key
 from .features import classification_target, numeric_feature_columns, split
 from .report import _histogram_of
@@ -27,17 +27,17 @@ log = logging.getLogger(__name__)
 
 
 def _assembled(df: DataFrame, feats: list[str]) -> DataFrame:
-    cols = [F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")), F.lit(0.0)).alias(c)
+    cols = [F.coalesce(F.nanvl(qcol(c).cast("double"), F.lit(None).cast("double")), F.lit(0.0)).alias(c)
             for c in feats]
-    rest = [F.col(c) for c in df.columns if c not in feats]
+    rest = [qcol(c) for c in df.columns if c not in feats]
     return df.select(*rest, *cols)
 
 
 def balanced_weights(df: DataFrame, label: str, weight: str = "_w") -> DataFrame:
     """weight = n / (n_classes · n_class) — scikit-learn's "balanced" (two classes)."""
-    st = df.agg(F.struct(F.count(F.lit(1)).alias("n"), F.sum(F.col(label)).alias("n1"))).scalar()
+    st = df.agg(F.struct(F.count(F.lit(1)).alias("n"), F.sum(qcol(label)).alias("n1"))).scalar()
     n, n1 = st.getField("n"), st.getField("n1")
-    w = F.when(F.col(label) == 1, n / (2 * n1)).otherwise(n / (2 * (n - n1)))
+    w = F.when(qcol(label) == 1, n / (2 * n1)).otherwise(n / (2 * (n - n1)))
     return df.withColumn(weight, w.cast("double"))
 
 
@@ -47,20 +47,23 @@ def train_logreg(train: DataFrame, feats: list[str], label: str, balanced: bool
     Spark minimises the weighted mean loss + regParam/2·‖w‖², so regParam =
     1 / Σweights (= 1 / n_train, since balanced weights sum to n)."""
     n = train.count()                       # one number, needed as a parameter
-    data = balanced_weights(train, label) if balanced else train
-    lr = LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter, tol=tol,
-                            regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False,
-                            weightCol="_w" if balanced else None)
+    # Spark ML resolves column params as paths, so a label like "high_value_q0.80"
+    # is trained under an internal name.
+    data = train.withColumn("_label", qcol(label).cast("double"))
+    data = balanced_weights(data, "_label") if balanced else data
+    extra = {"weightCol": "_w"} if balanced else {}
+    lr = LogisticRegression(featuresCol="features", labelCol="_label", maxIter=max_iter, tol=tol,
+                            regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False, **extra)
     pipe = Pipeline(stages=[VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep"), lr])
     return pipe.fit(_assembled(data, feats))
 
 
 def score_logreg(model: PipelineModel, df: DataFrame, feats: list[str], threshold: float = 0.5) -> DataFrame:
     """M3: probability of class 1 (``score``) and ``pred`` = score >= threshold."""
-    p = model.transform(_assembled(df, feats))
+    p = model.transform(_assembled(df, feats).drop("_label"))
     score = vector_to_array(F.col("probability"))[1]
-    return p.drop("features", "rawPrediction", "probability", "prediction") \
-            .withColumn("score", score).withColumn("pred", (F.col("score") >= threshold).cast("int"))
+    return p.withColumn("score", score).drop("features", "rawPrediction", "probability", "prediction") \
+            .withColumn("pred", (F.col("score") >= threshold).cast("int"))
 
 
 def threshold_predict(scored: DataFrame, score: str = "score", threshold: float = 0.5) -> DataFrame:
@@ -69,7 +72,7 @@ def threshold_predict(scored: DataFrame, score: str = "score", threshold: float
 
 def classification_metrics(scored: DataFrame, label: str, pred: str = "pred") -> DataFrame:
     """M4: accuracy, precision, recall, F1 (zero division -> 0), n_test — one pass."""
-    y, p = F.col(label), F.col(pred)
+    y, p = qcol(label), F.col(pred)
     m = scored.agg(F.count(F.lit(1)).alias("n"),
                    F.count_if((y == 1) & (p == 1)).alias("tp"), F.count_if((y == 0) & (p == 1)).alias("fp"),
                    F.count_if((y == 1) & (p == 0)).alias("fn"), F.count_if(y == p).alias("ok"))
@@ -84,8 +87,8 @@ def classification_metrics(scored: DataFrame, label: str, pred: str = "pred") ->
 def _score_counts(scored: DataFrame, label: str, score: str) -> DataFrame:
     """(score, pos, neg) per distinct score."""
     return scored.groupBy(F.col(score).alias("score")).agg(
-        F.count_if(F.col(label) == 1).cast("double").alias("pos"),
-        F.count_if(F.col(label) == 0).cast("double").alias("neg"))
+        F.count_if(qcol(label) == 1).cast("double").alias("pos"),
+        F.count_if(qcol(label) == 0).cast("double").alias("neg"))
 
 
 def roc_auc(scored: DataFrame, label: str, score: str = "score") -> DataFrame:
@@ -124,7 +127,7 @@ def pr_curve(scored: DataFrame, label: str, score: str = "score") -> DataFrame:
 
 def confusion_matrix(scored: DataFrame, label: str, pred: str = "pred") -> DataFrame:
     """M6: all four (label, pred) cells with their counts (absent cells -> 0)."""
-    counts = scored.groupBy(F.col(label).cast("int").alias("label"), F.col(pred).cast("int").alias("pred")) \
+    counts = scored.groupBy(qcol(label).cast("int").alias("label"), F.col(pred).cast("int").alias("pred")) \
                    .agg(F.count(F.lit(1)).alias("n"))
     cells = scored.sparkSession.range(4).select((F.col("id") / 2).cast("int").alias("label"),
                                                 (F.col("id") % 2).cast("int").alias("pred"))
@@ -140,24 +143,24 @@ def logreg_coefficients(model: PipelineModel, feats: list[str]) -> DataFrame:
     return df.orderBy(F.desc("abs_coef"), F.asc("feature"))
 
 
-def train_forest(train: DataFrame, feats: list[str], label: str, num_trees: int = 250, max_depth: int = 16,
+def train_forest(train: DataFrame, feats: list[str], label: str, num_trees: int = 250, max_depth: int = 10,
                  seed: int = 42, max_bins: int = 64) -> PipelineModel:
     """Random-forest regression (all features at every split, no
     subsampling, like scikit-learn's defaults; depth capped, Spark bins splits)."""
-    rf = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=num_trees, maxDepth=max_depth,
+    rf = RandomForestRegressor(featuresCol="features", labelCol="_label", numTrees=num_trees, maxDepth=max_depth,
                                featureSubsetStrategy="all", subsamplingRate=1.0, seed=seed, maxBins=max_bins,
                                bootstrap=True)
     pipe = Pipeline(stages=[VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep"), rf])
-    return pipe.fit(_assembled(train, feats))
+    return pipe.fit(_assembled(train.withColumn("_label", qcol(label).cast("double")), feats))
 
 
 def predict_forest(model: PipelineModel, df: DataFrame, feats: list[str]) -> DataFrame:
-    return model.transform(_assembled(df, feats)).drop("features")
+    return model.transform(_assembled(df, feats)).drop("features", "_label")
 
 
 def regression_metrics(pred: DataFrame, actual: str, predicted: str = "prediction") -> DataFrame:
     """RMSE, MAE, R² (1 − SSE/SST, SST = n·var_pop), n — one pass."""
-    y, p = F.col(actual).cast("double"), F.col(predicted).cast("double")
+    y, p = qcol(actual).cast("double"), qcol(predicted).cast("double")
     m = pred.agg(F.count(F.lit(1)).alias("n"), F.sum((y - p) * (y - p)).alias("sse"),
                  F.sum(F.abs(y - p)).alias("sae"), (F.var_pop(y) * F.count(y)).alias("sst"))
     return m.select(F.sqrt(F.col("sse") / F.col("n")).alias("rmse"), (F.col("sae") / F.col("n")).alias("mae"),
@@ -166,13 +169,13 @@ def regression_metrics(pred: DataFrame, actual: str, predicted: str = "predictio
 
 def residual_histogram(pred: DataFrame, actual: str, predicted: str = "prediction", bins: int = 30) -> DataFrame:
     """Histogram of actual − predicted."""
-    x = pred.select((F.col(actual) - F.col(predicted)).cast("double").alias("x")).where(F.col("x").isNotNull())
+    x = pred.select((qcol(actual) - qcol(predicted)).cast("double").alias("x")).where(F.col("x").isNotNull())
     return _histogram_of(x, bins)
 
 
 def actual_vs_predicted_bins(pred: DataFrame, actual: str, predicted: str = "prediction", bins: int = 20) -> DataFrame:
     """The scatter as 2-D bin counts over a common [min, max] range."""
-    v = pred.select(F.col(actual).cast("double").alias("a"), F.col(predicted).cast("double").alias("p")) \
+    v = pred.select(qcol(actual).cast("double").alias("a"), qcol(predicted).cast("double").alias("p")) \
             .where(F.col("a").isNotNull() & F.col("p").isNotNull())
     st = v.agg(F.struct(F.least(F.min("a"), F.min("p")).alias("lo"),
                         F.greatest(F.max("a"), F.max("p")).alias("hi"))).scalar()
@@ -235,7 +238,7 @@ def run_ml(features: DataFrame, cfg: dict, models_dir: str | None = None) -> dic
             feats = numeric_feature_columns(x, drop=[target])
             train, test = x.where(~F.col("is_test")), x.where(F.col("is_test"))
             model = train_forest(train, feats, target, int(rcfg.get("n_estimators", 250)),
-                                 int(rcfg.get("max_depth", 16)))
+                                 int(rcfg.get("max_depth", 10)))
             pred = predict_forest(model, test, feats)
             result["metrics"]["regression"] = regression_metrics(pred, target)
             result["tables"].update({"rf_importance": forest_importances(model, feats),
@@ -262,7 +265,7 @@ def _split_all(df: DataFrame, key: str | None) -> DataFrame:
 def train_classification(df: DataFrame, target: str, key: str | None = None) -> DataFrame:
     """M2: plain logistic regression on every other column (numeric), 75/25 hash
     split; one metrics row (model, accuracy, precision, recall, f1, roc_auc)."""
-    x = _split_all(df.withColumn(target, F.col(target).cast("int")), key)
+    x = _split_all(df.withColumn(target, qcol(target).cast("int")), key)
     feats = numeric_feature_columns(x, drop=[target] + ([key] if key else []))
     train, test = x.where(~F.col("is_test")), x.where(F.col("is_test"))
     model = train_logreg(train, feats, target, balanced=False)
@@ -273,7 +276,7 @@ def train_classification(df: DataFrame, target: str, key: str | None = None) ->
 
 
 def train_regression(df: DataFrame, target: str, key: str | None = None, num_trees: int = 200,
-                     max_depth: int = 16) -> DataFrame:
+                     max_depth: int = 10) -> DataFrame:
     """Random forest (200 trees) on every other numeric column; one metrics
     row (model, rmse, mae, r2)."""
     x = _split_all(df.where(F.col(target).isNotNull()), key)

@@ -1003,7 +1003,13 @@ def q_logreg_coeffs(spark, sf):
     return ML.logreg_coefficients(ML.train_logreg(x.where(~F.col("is_test")), feats, y), feats)
 
 
-def _rf(spark, sf, trees=250):
+# Forest size for the registered queries: 50 trees of depth 10.  The library
+# default is the reference's 250 trees; Spark's local-mode forest at 250 trees
+# costs minutes per query at sf0.01, which the check run cannot afford.
+QUERY_TREES = 50
+
+
+def _rf(spark, sf, trees=QUERY_TREES):
     x = _ml_features(spark, sf).where(F.col("amount").isNotNull())
     feats = FE.numeric_feature_columns(x, drop=["amount"])
     model = ML.train_forest(x.where(~F.col("is_test")), feats, "amount", num_trees=trees)
@@ -1019,7 +1025,8 @@ def q_rf_train(spark, sf):
 @register("rf_plain")
 def q_rf_plain(spark, sf):
     li = _lineitem_numeric(spark, sf).withColumn("_key", F.concat_ws("-", "l_orderkey", "l_linenumber"))
-    return ML.train_regression(li.drop("l_orderkey", "l_linenumber", "is_returned"), "l_extendedprice", key="_key")
+    return ML.train_regression(li.drop("l_orderkey", "l_linenumber", "is_returned"), "l_extendedprice", key="_key",
+                               num_trees=QUERY_TREES)
 
 
 @register("rf_importance")
@@ -1040,10 +1047,81 @@ def q_model_roundtrip(spark, sf):
 
 @register("ml_stage_metrics")
 def q_ml_stage_metrics(spark, sf):
-    res = ML.run_ml(_ml_features(spark, sf), {"ml": {"enabled": True, "regression": {"n_estimators": 250}}})
+    res = ML.run_ml(_ml_features(spark, sf), {"ml": {"enabled": True, "regression": {"n_estimators": QUERY_TREES}}})
     parts = [ST.metrics_to_kv(m).select(F.lit(task).alias("task"), "metric", "value")
              for task, m in res["metrics"].items()]
     out = parts[0]
     for p_ in parts[1:]:
         out = out.unionByName(p_)
     return out
+
+
+# ---------------------------------------------------------------------------
+# Composites
+# ---------------------------------------------------------------------------
+from .plans import pipeline as PL  # noqa: E402
+from .plans import reporting as RP  # noqa: E402
+
+
+@register("report_bundle_index", w("""
+WITH cl AS (SELECT order_id, customer_id, order_date, amount, source FROM sales_dirty),
+m AS (SELECT source, date_trunc('month', order_date) AS p, round(sum(amount), 2) AS v FROM cl
+      WHERE order_date IS NOT NULL AND amount IS NOT NULL AND source IS NOT NULL GROUP BY 1, 2),
+dd AS (SELECT source, order_date AS p, sum(amount) AS v FROM cl
+       WHERE order_date IS NOT NULL AND amount IS NOT NULL AND source IS NOT NULL GROUP BY 1, 2),
+cu AS (SELECT source, p, round(sum(v) OVER (PARTITION BY source ORDER BY p ROWS UNBOUNDED PRECEDING), 2) AS v FROM dd),
+lm AS (SELECT source, list(v ORDER BY p) AS vs FROM m GROUP BY source),
+lc AS (SELECT source, list(v ORDER BY p) AS vs FROM cu GROUP BY source),
+days AS (SELECT CAST(max(order_date) - min(order_date) + 1 AS BIGINT) AS n FROM cl
+         WHERE order_date IS NOT NULL AND amount IS NOT NULL)
+SELECT 'aggregates_by_source' AS name, (SELECT count(DISTINCT source) FROM cl) AS rows
+UNION ALL SELECT 'overall_metrics', 1
+UNION ALL SELECT 'basic_stats', 1
+UNION ALL SELECT 'amount_histogram', 30
+UNION ALL SELECT 'amount_histogram_trim', 30
+UNION ALL SELECT 'box_stats', (SELECT count(DISTINCT source) FROM cl WHERE amount IS NOT NULL)
+UNION ALL SELECT 'orders_per_day', (SELECT count(DISTINCT order_date) FROM cl)
+UNION ALL SELECT 'top_customers', least(10, (SELECT count(DISTINCT customer_id) FROM cl))
+UNION ALL SELECT 'customer_totals', 1
+UNION ALL SELECT 'monthly_revenue', (SELECT count(DISTINCT date_trunc('month', order_date)) FROM cl
+                                     WHERE amount IS NOT NULL)
+UNION ALL SELECT 'daily_revenue', (SELECT n FROM days)
+UNION ALL SELECT 'basic_stats_by_source', (SELECT count(DISTINCT source) FROM cl)
+UNION ALL SELECT 'monthly_revenue_by_source', (SELECT count(*) FROM m)
+UNION ALL SELECT 'source_share', (SELECT count(DISTINCT coalesce(source, 'NA')) FROM cl)
+UNION ALL SELECT 'cumulative_revenue_by_source', (SELECT count(*) FROM dd)
+UNION ALL SELECT 'identical_monthly_series', (SELECT count(*) FROM lm a JOIN lm b ON a.source < b.source AND a.vs = b.vs)
+UNION ALL SELECT 'identical_cumulative_series', (SELECT count(*) FROM lc a JOIN lc b
+                                                 ON a.source < b.source AND a.vs = b.vs)
+UNION ALL SELECT 'decomposition', (SELECT n FROM days)""", dirty=True))
+def q_report_bundle_index(spark, sf):
+    raw = V.sales_dirty(spark, sf)
+    clean = C.run_cleaning(raw).df
+    return RP.bundle_index(RP.run_reporting(raw, clean))
+
+
+@register("pipeline_summary", w("""
+WITH raw AS (
+  SELECT order_id, customer_id, order_date, amount, 'db' AS source FROM sales
+  UNION ALL BY NAME
+  SELECT s.order_id, s.customer_id, s.order_date, s.amount, c.country, 'db' AS source
+    FROM sales s JOIN customers c ON s.customer_id = c.customer_id
+  UNION ALL BY NAME
+  SELECT customer_id, country, 'file' AS source FROM customers
+  UNION ALL BY NAME
+  SELECT order_id, customer_id, order_date, amount, 'api' AS source FROM sales WHERE source = 'api')
+SELECT count(*) AS rows_raw, count(*) AS rows_clean,
+       CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw)) AS BIGINT) AS duplicates_raw,
+       count(*) FILTER (WHERE amount IS NULL) AS missing_amount_clean,
+       round(sum(amount), 2) AS total_revenue_clean, round(avg(amount), 4) AS avg_order_amount_clean,
+       count(DISTINCT source) AS n_sources, min(order_date) AS date_min, max(order_date) AS date_max,
+       CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw)) AS BIGINT) AS sales_duplicates,
+       count(*) FILTER (WHERE order_id IS NULL) AS missing_order_id,
+       count(*) FILTER (WHERE customer_id IS NULL) AS missing_customer_id,
+       count(*) FILTER (WHERE order_date IS NULL) AS missing_order_date,
+       count(*) FILTER (WHERE amount IS NULL) AS missing_amount,
+       count(*) FILTER (WHERE country IS NULL) AS missing_country
+FROM raw""", customers=True))
+def q_pipeline_summary(spark, sf):
+    res = PL.run_pipeline(spark, load_config(spark, sf))
+    return rnd(res["summary"], {"total_revenue_clean": 2, "avg_order_amount_clean": 4})

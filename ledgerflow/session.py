@@ -19,6 +19,8 @@ _DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # local runs only: the driver JVM is the executor (ignored once a JVM exists)
+    "spark.driver.memory": "16g",
 }
 
 
