@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.exprs import qcol
 from ..session import cut_lineage
 
 _LOW33 = (1 << 33) - 1
@@ -23,7 +24,7 @@ def with_row_index(df: DataFrame, order_by: list[str | Column], name: str = "row
     """Add ``name`` = 0-based position of each row in ``order_by`` order
     (ties broken by every column, so the index is deterministic)."""
     keys = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    tie = [F.col(c) for c in df.columns]
+    tie = [qcol(c) for c in df.columns]
     srt = df.orderBy(*keys, *tie)
     tagged = srt.select("*", F.spark_partition_id().alias("_pid"),
                         F.monotonically_increasing_id().alias("_mid"))
@@ -35,4 +36,4 @@ def with_row_index(df: DataFrame, order_by: list[str | Column], name: str = "row
         Window.unboundedPreceding, -1))).alias("_off"))
     out = tagged.join(F.broadcast(offs), "_pid")
     idx = F.coalesce(F.col("_off"), F.lit(0)) + F.col("_mid").bitwiseAND(F.lit(_LOW33))
-    return out.select(*[F.col(c) for c in df.columns], idx.cast("long").alias(name))
+    return out.select(*[qcol(c) for c in df.columns], idx.cast("long").alias(name))

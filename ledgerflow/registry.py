@@ -650,9 +650,6 @@ def q_high_value_target(spark, sf):
 
 
 @register("select_numeric", w(f"""
-SELECT CAST({_CAL_SQL.replace(' AS dow', '::DOUBLE AS dow').replace(' AS month', '::DOUBLE AS month')
-             .replace(' AS is_weekend', '::DOUBLE AS is_weekend').split(', ')[0]}, {
-       ', '.join(_CAL_SQL.split(', ')[1:])}, 0)""".replace("SELECT CAST(", "SELECT (") if False else f"""
 SELECT CAST(dow AS DOUBLE) AS dow, CAST(month AS DOUBLE) AS month, CAST(is_weekend AS DOUBLE) AS is_weekend,
        CAST(_cnt_prev AS DOUBLE) AS _cnt_prev, _amount_prev_mean
 FROM (SELECT *, {_CAL_SQL}, {_HIST_SQL} FROM sales_dirty)""", dirty=True))

@@ -48,7 +48,7 @@ def items_of(raw: Column, item_schema: T.StructType | str, wrap_object: bool = T
     ``wrap_object`` (the paged reader appends nothing for it)."""
     arr_type = T.ArrayType(_schema(item_schema))
     keys = F.json_object_keys(raw)
-    first_list_key = F.filter(keys, lambda k: _first_char(_member(raw, k)) == "[")[0]
+    first_list_key = F.get(F.filter(keys, lambda k: _first_char(_member(raw, k)) == "["), 0)
     first_list = _member(raw, first_list_key)
     single = F.array(F.from_json(raw, _schema(item_schema))) if wrap_object else F.array().cast(arr_type)
     from_obj = F.when(first_list_key.isNotNull(), F.from_json(first_list, arr_type)).otherwise(single)
