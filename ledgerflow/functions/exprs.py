@@ -49,14 +49,18 @@ def safe_pearson(a: Column, b: Column) -> Column:
     return F.try_divide(F.covar_pop(a2, b2), F.stddev_pop(a2) * F.stddev_pop(b2))
 
 
-def equal_width_bin(x: Column, lo: Column, hi: Column, bins: int) -> Column:
-    """1-based equal-width bin in [lo, hi]; the right edge belongs to the last bin;
-    a constant column (hi == lo) puts everything in bin 1."""
-    width = (hi - lo) / F.lit(bins)
-    raw = F.floor((x - lo) / width) + 1
-    return (F.when(x.isNull(), F.lit(None))
-             .when(hi == lo, F.lit(1))
-             .otherwise(F.least(raw, F.lit(bins)))).cast("int")
+def bin_edges(mn: Column, mx: Column, bins: int) -> tuple[Column, Column]:
+    """(lo, width) of ``bins`` equal-width bins over [mn, mx]; a constant column
+    is widened to [mn - 0.5, mx + 0.5] (numpy's histogram rule)."""
+    lo = F.when(mn == mx, mn - 0.5).otherwise(mn)
+    hi = F.when(mn == mx, mx + 0.5).otherwise(mx)
+    return lo, (hi - lo) / F.lit(bins)
+
+
+def bin_index(x: Column, lo: Column, width: Column, bins: int) -> Column:
+    """1-based bin of x given precomputed (lo, width); the right edge belongs to
+    the last bin.  Kept small: it is evaluated per row."""
+    return F.least(F.floor((x - lo) / width) + 1, F.lit(bins)).cast("int")
 
 
 def split_flag(key: Column, seed: int = 42, test_fraction: float = 0.25) -> Column:
@@ -81,3 +85,12 @@ def quantile(c: Column, p, accuracy: int | None = None) -> Column:
 
 def round2(c: Column) -> Column:
     return F.round(c, 2)
+
+
+def bind_scalar(df: DataFrame, scalar: Column, name: str = "_st") -> tuple[DataFrame, Column]:
+    """Attach a scalar subquery as one column and return a reference to it.
+
+    Every textual use of a ``DataFrame.scalar()`` expression becomes its own
+    subquery (its own job); binding it once as a column makes it one subquery
+    however many expressions read it.  Drop ``name`` when done."""
+    return df.select("*", scalar.alias(name)), F.col(name)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.exprs import is_numeric, nan_to_null, numeric_columns, qcol, quantile
+from ..functions.exprs import bind_scalar, is_numeric, nan_to_null, numeric_columns, qcol, quantile
 from .profile import duplicate_rows
 
 # Key columns coerced and reported by the cleaning stage.
@@ -156,13 +156,15 @@ def impute(df: DataFrame, strategy: str = "median", accuracy: int | None = None,
     num = [c for c in df.columns if is_numeric(fields[c])]
     other = [c for c in df.columns if c not in num]
     fills = {}
+    base = df
     if num:
         agg = F.avg if strategy == "mean" else (lambda x: quantile(x, F.lit(0.5), accuracy))
-        st = df.agg(F.struct(*[agg(nan_to_null(qcol(c).cast("double"))).alias(c) for c in num])).scalar()
+        base, st = bind_scalar(base, df.agg(F.struct(*[agg(nan_to_null(qcol(c).cast("double"))).alias(c)
+                                                       for c in num])).scalar(), "_fill_num")
         for c in num:
             fills[c] = st.getField(c).cast(fields[c])
     if other:
-        modes = _mode_values(df, other)
+        base, modes = bind_scalar(base, _mode_values(df, other), "_fill_mode")
         for c in other:
             v = modes.getField(c)
             if isinstance(fields[c], T.StringType):
@@ -173,7 +175,7 @@ def impute(df: DataFrame, strategy: str = "median", accuracy: int | None = None,
     for c in df.columns:
         x = nan_to_null(qcol(c)) if isinstance(fields[c], (T.FloatType, T.DoubleType)) else qcol(c)
         out.append(F.coalesce(x, fills[c]).alias(c) if c in fills else qcol(c))
-    return df.select(*out)
+    return base.select(*out)
 
 
 def scale(df: DataFrame, method: str = "standard", columns=None) -> DataFrame:
@@ -184,11 +186,12 @@ def scale(df: DataFrame, method: str = "standard", columns=None) -> DataFrame:
         return df
     x = {c: nan_to_null(qcol(c).cast("double")) for c in cols}
     if method == "minmax":
-        st = df.agg(F.struct(*[F.struct(F.min(x[c]).alias("a"), (F.max(x[c]) - F.min(x[c])).alias("b")).alias(c)
+        st_expr = df.agg(F.struct(*[F.struct(F.min(x[c]).alias("a"), (F.max(x[c]) - F.min(x[c])).alias("b")).alias(c)
                                for c in cols])).scalar()
     else:
-        st = df.agg(F.struct(*[F.struct(F.avg(x[c]).alias("a"), F.stddev_pop(x[c]).alias("b")).alias(c)
-                               for c in cols])).scalar()
+        st_expr = df.agg(F.struct(*[F.struct(F.avg(x[c]).alias("a"), F.stddev_pop(x[c]).alias("b")).alias(c)
+                                    for c in cols])).scalar()
+    base, st = bind_scalar(df, st_expr)
     out = []
     for c in df.columns:
         if c in cols:
@@ -197,4 +200,4 @@ def scale(df: DataFrame, method: str = "standard", columns=None) -> DataFrame:
             out.append(((x[c] - a) / den).alias(c))
         else:
             out.append(qcol(c))
-    return df.select(*out)
+    return base.select(*out)

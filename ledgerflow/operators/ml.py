@@ -18,7 +18,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.exprs import equal_width_bin, qcol
+from ..functions.exprs import bin_edges, bin_index, bind_scalar, qcol
 from ..functions.prefix import prefix_by_key
 from .features import classification_target, numeric_feature_columns, split
 from .report import _histogram_of
@@ -35,10 +35,11 @@ def _assembled(df: DataFrame, feats: list[str]) -> DataFrame:
 
 def balanced_weights(df: DataFrame, label: str, weight: str = "_w") -> DataFrame:
     """weight = n / (n_classes · n_class) — scikit-learn's "balanced" (two classes)."""
-    st = df.agg(F.struct(F.count(F.lit(1)).alias("n"), F.sum(qcol(label)).alias("n1"))).scalar()
+    base, st = bind_scalar(df, df.agg(F.struct(F.count(F.lit(1)).alias("n"),
+                                                F.sum(qcol(label)).alias("n1"))).scalar(), "_cw")
     n, n1 = st.getField("n"), st.getField("n1")
     w = F.when(qcol(label) == 1, n / (2 * n1)).otherwise(n / (2 * (n - n1)))
-    return df.withColumn(weight, w.cast("double"))
+    return base.withColumn(weight, w.cast("double")).drop("_cw")
 
 
 def train_logreg(train: DataFrame, feats: list[str], label: str, balanced: bool = True, max_iter: int = 1000,
@@ -106,8 +107,8 @@ def _running_from_top(scored: DataFrame, label: str, score: str) -> DataFrame:
     tp = prefix_by_key(g, "_k", ["_desc"], "pos").select("score", (F.col("_prev_sum") + F.col("pos")).alias("tp"))
     fp = prefix_by_key(g, "_k", ["_desc"], "neg").select("score", (F.col("_prev_sum") + F.col("neg")).alias("fp"))
     tot = g.agg(F.struct(F.sum("pos").alias("P"), F.sum("neg").alias("N"))).scalar()
-    return tp.join(fp, "score").select("score", "tp", "fp", tot.getField("P").alias("P"),
-                                       tot.getField("N").alias("N"))
+    j, tot = bind_scalar(tp.join(fp, "score"), tot, "_tot")
+    return j.select("score", "tp", "fp", tot.getField("P").alias("P"), tot.getField("N").alias("N"))
 
 
 def roc_curve(scored: DataFrame, label: str, score: str = "score") -> DataFrame:
@@ -177,11 +178,12 @@ def actual_vs_predicted_bins(pred: DataFrame, actual: str, predicted: str = "pre
     """The scatter as 2-D bin counts over a common [min, max] range."""
     v = pred.select(qcol(actual).cast("double").alias("a"), qcol(predicted).cast("double").alias("p")) \
             .where(F.col("a").isNotNull() & F.col("p").isNotNull())
-    st = v.agg(F.struct(F.least(F.min("a"), F.min("p")).alias("lo"),
-                        F.greatest(F.max("a"), F.max("p")).alias("hi"))).scalar()
-    lo, hi = st.getField("lo"), st.getField("hi")
-    return (v.select(equal_width_bin(F.col("a"), lo, hi, bins).alias("actual_bin"),
-                     equal_width_bin(F.col("p"), lo, hi, bins).alias("pred_bin"))
+    mm = v.agg(F.least(F.min("a"), F.min("p")).alias("mn"), F.greatest(F.max("a"), F.max("p")).alias("mx"))
+    lo, width = bin_edges(F.col("mn"), F.col("mx"), bins)
+    v, st = bind_scalar(v, mm.select(F.struct(lo.alias("lo"), width.alias("w"))).scalar())
+    lo, width = st.getField("lo"), st.getField("w")
+    return (v.select(bin_index(F.col("a"), lo, width, bins).alias("actual_bin"),
+                     bin_index(F.col("p"), lo, width, bins).alias("pred_bin"))
              .groupBy("actual_bin", "pred_bin").agg(F.count(F.lit(1)).alias("count")))
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import ID_COLUMNS, nan_to_null, numeric_columns, qcol, quantile, safe_pearson
+from ..functions.exprs import ID_COLUMNS, bind_scalar, nan_to_null, numeric_columns, qcol, quantile, safe_pearson
 
 _DESCRIBE_FIELDS = ("count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
@@ -102,6 +102,7 @@ def overall_metrics(raw: DataFrame, clean: DataFrame, amount_col: str = "amount"
             F.lit(None).cast("double").alias("total_revenue_clean"),
             F.lit(None).cast("double").alias("avg_order_amount_clean"))).scalar()
     d = dups.scalar()
+    raw_n, c = bind_scalar(raw_n, c)
     return raw_n.select(
         F.col("rows_raw"), c.getField("rows_clean").alias("rows_clean"),
         F.when(F.col("rows_raw") > 0, d).otherwise(F.lit(0)).cast("long").alias("duplicates_raw"),

@@ -11,33 +11,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import equal_width_bin, nan_to_null, numeric_columns, qcol, quantile, ID_COLUMNS
+from ..functions.exprs import (ID_COLUMNS, bin_edges, bin_index, bind_scalar, nan_to_null, numeric_columns, qcol,
+                               quantile)
 
 
 def _values(df: DataFrame, column: str) -> DataFrame:
     return df.select(nan_to_null(qcol(column).cast("double")).alias("x")).where(F.col("x").isNotNull())
 
 
-def _range_stats(x: DataFrame) -> Column:
-    """Scalar struct(lo, hi) of the values; a constant column is widened by ±0.5
-    (numpy's histogram rule)."""
+def _range_stats(x: DataFrame, bins: int) -> Column:
+    """Scalar struct(lo, width) of the values (see ``bin_edges``)."""
     st = x.agg(F.min("x").alias("mn"), F.max("x").alias("mx"))
-    st = st.select(F.struct(
-        F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn")).alias("lo"),
-        F.when(F.col("mn") == F.col("mx"), F.col("mx") + 0.5).otherwise(F.col("mx")).alias("hi"),
-    ).alias("s"))
-    return st.scalar()
+    lo, width = bin_edges(F.col("mn"), F.col("mx"), bins)
+    return st.select(F.struct(lo.alias("lo"), width.alias("width")).alias("s")).scalar()
 
 
 def _histogram_of(x: DataFrame, bins: int) -> DataFrame:
     spark = x.sparkSession
-    s = _range_stats(x)
-    lo, hi = s.getField("lo"), s.getField("hi")
-    counts = (x.select(equal_width_bin(F.col("x"), lo, hi, bins).alias("bin"))
-               .groupBy("bin").agg(F.count(F.lit(1)).alias("cnt")))
+    xs, s = bind_scalar(x, _range_stats(x, bins))
+    counts = (xs.select(bin_index(F.col("x"), s.getField("lo"), s.getField("width"), bins).alias("bin"))
+                .groupBy("bin").agg(F.count(F.lit(1)).alias("cnt")))
     # All bins, including empty ones: a `bins`-row grid, outer-joined to the counts.
-    grid = spark.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
-    width = (hi - lo) / F.lit(bins)
+    grid, s2 = bind_scalar(spark.range(1, bins + 1).select(F.col("id").cast("int").alias("bin")),
+                           _range_stats(x, bins))
+    lo, width = s2.getField("lo"), s2.getField("width")
     out = grid.join(counts, "bin", "left").select(
         "bin",
         (lo + (F.col("bin") - 1) * width).alias("bin_lo"),
@@ -183,26 +180,39 @@ def identical_series(series: DataFrame, key: str = "source", order: str = "month
     return chk.where(F.col("eq") == F.col("n")).select(F.col("ka").alias(f"{key}_a"), F.col("kb").alias(f"{key}_b"))
 
 
-def pairwise_bins(df: DataFrame, columns: list[str] | None = None, bins: int = 10) -> DataFrame:
+def pairwise_bins(df: DataFrame, columns: list[str] | None = None, bins: int = 10,
+                  max_cells: int = 1_000_000) -> DataFrame:
     """Pair-plot data without scattering every row: for each pair of numeric
     non-ID columns (a <= b; a == b is the diagonal histogram) the counts of the
-    2-D equal-width bins.  One scan; pairs are generated per row and pre-aggregated
+    2-D equal-width bins.
+
+    One scan bins every column; when the joint grid (bins ** k cells) is small
+    the rows are first counted per joint cell (map-side combined, at most
+    ``max_cells`` groups) and the pair counts are marginals of that small table;
+    otherwise each row emits its k(k+1)/2 pair cells, still pre-aggregated
     map-side before the shuffle."""
     cols = columns or numeric_columns(df, exclude=ID_COLUMNS)
     if not cols:
         return df.sparkSession.createDataFrame([], "x_col string, y_col string, x_bin int, y_bin int, count long")
     vals = df.select(*[nan_to_null(qcol(c).cast("double")).alias(c) for c in cols])
-    st = vals.agg(F.struct(*[F.struct(F.min(c).alias("mn"), F.max(c).alias("mx")).alias(c) for c in cols])).scalar()
+    mm = vals.agg(*[f(c).alias(f"{n}{i}") for i, c in enumerate(cols) for n, f in (("mn", F.min), ("mx", F.max))])
+    edges = [bin_edges(F.col(f"mn{i}"), F.col(f"mx{i}"), bins) for i in range(len(cols))]
+    st_expr = mm.select(F.struct(*[F.struct(lo.alias("lo"), w.alias("w")).alias(f"c{i}")
+                                   for i, (lo, w) in enumerate(edges)])).scalar()
+    vals, st = bind_scalar(vals, st_expr)
 
     def b(c):
-        mn, mx = st.getField(c).getField("mn"), st.getField(c).getField("mx")
-        lo = F.when(mn == mx, mn - 0.5).otherwise(mn)
-        hi = F.when(mn == mx, mx + 0.5).otherwise(mx)
-        return equal_width_bin(qcol(c), lo, hi, bins)
+        e = st.getField(f"c{cols.index(c)}")
+        return bin_index(qcol(c), e.getField("lo"), e.getField("w"), bins)
 
     binned = vals.select(*[b(c).alias(c) for c in cols])
+    if (bins + 1) ** len(cols) <= max_cells:          # +1: the NULL "bin"
+        binned = binned.groupBy(*[qcol(c) for c in cols]).agg(F.count(F.lit(1)).alias("_w"))
+        weight = F.col("_w")
+    else:
+        weight = F.lit(1).cast("long")
     pairs = [F.struct(F.lit(a).alias("x_col"), F.lit(c).alias("y_col"),
-                      qcol(a).alias("x_bin"), qcol(c).alias("y_bin"))
+                      qcol(a).alias("x_bin"), qcol(c).alias("y_bin"), weight.alias("w"))
              for i, a in enumerate(cols) for c in cols[i:]]
     exploded = binned.select(F.inline(F.array(*pairs))).where(F.col("x_bin").isNotNull() & F.col("y_bin").isNotNull())
-    return exploded.groupBy("x_col", "y_col", "x_bin", "y_bin").agg(F.count(F.lit(1)).alias("count"))
+    return exploded.groupBy("x_col", "y_col", "x_bin", "y_bin").agg(F.sum("w").cast("long").alias("count"))

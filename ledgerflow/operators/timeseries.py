@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import nan_to_null, qcol
+from ..functions.exprs import bind_scalar, nan_to_null, qcol
 from ..session import cut_lineage
 
 
@@ -44,16 +44,19 @@ def decompose(series: DataFrame, period: int = 7, day_col: str = "day", value_co
     # The series is one row per day: materialise it once (reliable checkpoint)
     # so the scalar statistics below do not re-run the aggregation behind it.
     s = cut_lineage(series.select(qcol(day_col).alias("day"), qcol(value_col).cast("double").alias("y")))
-    first = s.agg(F.min("day")).scalar()
-    s = s.withColumn("i", F.datediff(F.col("day"), first))
-    n = s.agg(F.count(F.lit(1))).scalar()
+    s, st = bind_scalar(s, s.agg(F.struct(F.min("day").alias("first"), F.count(F.lit(1)).alias("n"))).scalar())
+    first, n = st.getField("first"), st.getField("n")
+    s = s.withColumn("i", F.datediff(F.col("day"), first)).withColumn("_n", n).drop("_st")
+    n = F.col("_n")
 
     # centred moving average: each point contributes to its `period` neighbours
     spread = s.select(F.explode(F.sequence(F.col("i") - h, F.col("i") + h)).alias("t"), "y")
     ma = (spread.groupBy("t").agg(F.sum("y").alias("sy"), F.count(F.lit(1)).alias("k"))
                 .where(F.col("k") == period)
                 .select(F.col("t").alias("i"), (F.col("sy") / period).alias("ma")))
-    s = s.join(ma, "i", "left")
+    # day-level intermediate (one row per day) pinned so the scalars below
+    # do not re-derive it
+    s = cut_lineage(s.join(ma, "i", "left"))
 
     front, back = F.lit(h), n - 1 - h               # first and last defined trend index
     in_front = (F.col("i") >= front) & (F.col("i") < F.least(front + npts, back))
@@ -63,12 +66,13 @@ def decompose(series: DataFrame, period: int = 7, day_col: str = "day", value_co
         F.regr_intercept(F.when(in_front, F.col("ma")), F.when(in_front, F.col("i"))).alias("bf"),
         F.regr_slope(F.when(in_back, F.col("ma")), F.when(in_back, F.col("i"))).alias("kb"),
         F.regr_intercept(F.when(in_back, F.col("ma")), F.when(in_back, F.col("i"))).alias("bb"))).scalar()
+    s, fit = bind_scalar(s, fit, "_fit")
     trend = (F.when(F.col("i") < front, fit.getField("kf") * F.col("i") + fit.getField("bf"))
               .when(F.col("i") > back, fit.getField("kb") * F.col("i") + fit.getField("bb"))
               .otherwise(F.col("ma")))
     guard = F.when(n < 2 * period, F.raise_error(F.lit(
         f"decompose: need at least {2 * period} observations"))).otherwise(F.lit(0.0))
-    s = s.withColumn("trend", trend + guard).withColumn("detr", F.col("y") - F.col("trend"))
+    s = cut_lineage(s.withColumn("trend", trend + guard).withColumn("detr", F.col("y") - F.col("trend")))
 
     # seasonal means per position mod period (a `period`-row table), centred
     pm = s.groupBy((F.col("i") % period).alias("m")).agg(F.avg("detr").alias("pm"))

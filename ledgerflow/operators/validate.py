@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import nan_to_null, qcol, quantile
+from ..functions.exprs import bind_scalar, nan_to_null, qcol, quantile
 from .clean import missing_counts
 
 
@@ -74,7 +74,7 @@ def outliers_iqr(df: DataFrame, columns: list[str], k: float = 1.5, accuracy: in
     cols = [c for c in (columns or []) if c in df.columns]
     if not cols:
         return df
-    q = _quartiles(df, cols, accuracy)
+    base, q = bind_scalar(df, _quartiles(df, cols, accuracy), "_q")
     flags = []
     for c in cols:
         x = nan_to_null(qcol(c).try_cast("double"))
@@ -82,7 +82,7 @@ def outliers_iqr(df: DataFrame, columns: list[str], k: float = 1.5, accuracy: in
         iqr = q3 - q1
         cond = (x < q1 - F.lit(k) * iqr) | (x > q3 + F.lit(k) * iqr)
         flags.append(F.coalesce(cond, F.lit(False)).alias(prefix + c))
-    return df.select("*", *flags)
+    return base.select(*[qcol(c) for c in df.columns], *flags)
 
 
 def outliers_zscore(df: DataFrame, columns: list[str], threshold: float = 3.0, accuracy: int | None = None,
@@ -93,7 +93,7 @@ def outliers_zscore(df: DataFrame, columns: list[str], threshold: float = 3.0, a
     cols = [c for c in (columns or []) if c in df.columns]
     if not cols:
         return df
-    q = _quartiles(df, cols, accuracy)
+    qd, q = bind_scalar(df, _quartiles(df, cols, accuracy), "_q")
     x = {c: nan_to_null(qcol(c).try_cast("double")) for c in cols}
     parts = []
     for c in cols:
@@ -103,7 +103,7 @@ def outliers_zscore(df: DataFrame, columns: list[str], threshold: float = 3.0, a
         parts.append(F.struct(
             F.when(has_central, F.avg(xc)).otherwise(F.avg(x[c])).alias("mu"),
             F.when(has_central, F.stddev_pop(xc)).otherwise(F.stddev_pop(x[c])).alias("sd")).alias(c))
-    mom = df.agg(F.struct(*parts)).scalar()
+    base, mom = bind_scalar(df, qd.agg(F.struct(*parts)).scalar(), "_m")
     flags = []
     for c in cols:
         mu, sd = mom.getField(c).getField("mu"), mom.getField(c).getField("sd")
@@ -111,7 +111,7 @@ def outliers_zscore(df: DataFrame, columns: list[str], threshold: float = 3.0, a
         flag = F.when(sd.isNull() | (sd == 0), F.lit(False)).otherwise(F.coalesce(F.abs(z) > F.lit(threshold),
                                                                                   F.lit(False)))
         flags.append(flag.alias(prefix + c))
-    return df.select("*", *flags)
+    return base.select(*[qcol(c) for c in df.columns], *flags)
 
 
 __all__ = ["check_duplicates", "drop_duplicates", "check_missing", "check_types", "outliers_iqr",

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..operators import features as FE
 from ..operators import ml as ML
 from ..operators import profile as P
+from ..functions.exprs import bind_scalar
 from ..operators.clean import run_cleaning
 from ..operators.integrate import load_sources
 from ..session import cut_lineage
@@ -53,10 +54,10 @@ def run_pipeline(spark: SparkSession, cfg: dict) -> dict:
 def summary_frame(raw: DataFrame, clean: DataFrame, stats: DataFrame) -> DataFrame:
     """One row: overall metrics, source count, date range and cleaning stats."""
     om = P.overall_metrics(raw, clean)
-    dr = P.date_range(clean).select(F.struct("*").alias("d")).select("d").scalar()
+    om, dr = bind_scalar(om, P.date_range(clean).select(F.struct("*").alias("d")).select("d").scalar(), "_dr")
     n_src = (clean.select("source").where(F.col("source").isNotNull()).distinct()
                   .agg(F.count(F.lit(1))).scalar() if "source" in clean.columns else F.lit(0))
-    st = stats.select(F.struct("*")).scalar()
+    om, st = bind_scalar(om, stats.select(F.struct("*")).scalar(), "_cs")
     extra = [st.getField(c).alias(c) for c in stats.columns]
-    return om.select("*", n_src.cast("long").alias("n_sources"), dr.getField("date_min").alias("date_min"),
+    return om.select(*[F.col(c) for c in om.columns if c not in ("_dr", "_cs")], n_src.cast("long").alias("n_sources"), dr.getField("date_min").alias("date_min"),
                      dr.getField("date_max").alias("date_max"), *extra)

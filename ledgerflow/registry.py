@@ -677,7 +677,7 @@ def q_split_random(spark, sf):
 # ---------------------------------------------------------------------------
 # Sources and sinks (S*) and the multi-source load (I4)
 # ---------------------------------------------------------------------------
-from .session import scratch_path  # noqa: E402
+from .session import cut_lineage, scratch_path  # noqa: E402
 from .sources import files as SF  # noqa: E402
 from .sources import json_docs as SJ  # noqa: E402
 from .sources import tables as ST  # noqa: E402
@@ -1093,7 +1093,8 @@ UNION ALL SELECT 'identical_cumulative_series', (SELECT count(*) FROM lc a JOIN
 UNION ALL SELECT 'decomposition', (SELECT n FROM days)""", dirty=True))
 def q_report_bundle_index(spark, sf):
     raw = V.sales_dirty(spark, sf)
-    clean = C.run_cleaning(raw).df
+    # as in the pipeline: the cleaned frame feeds every table, so it is pinned once
+    clean = cut_lineage(C.run_cleaning(raw).df)
     return RP.bundle_index(RP.run_reporting(raw, clean))
 
 
