@@ -243,6 +243,19 @@ def q_corr_matrix(spark, sf):
     return rnd(P.correlation(V.table(spark, sf, "lineitem"), _LI_NUM), {"rho": 8})
 
 
+@register("overall_metrics", w("""
+SELECT count(*) AS rows_raw, count(*) AS rows_clean,
+       CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM sales_dirty)) AS BIGINT) AS duplicates_raw,
+       count(*) FILTER (WHERE amount IS NULL) AS missing_amount_clean,
+       round(coalesce(sum(amount), 0.0), 2) AS total_revenue_clean, round(avg(amount), 4) AS avg_order_amount_clean
+FROM sales_dirty""", dirty=True))
+def q_overall_metrics(spark, sf):
+    from .operators.clean import run_cleaning
+    raw = V.sales_dirty(spark, sf)
+    out = P.overall_metrics(raw, run_cleaning(raw).df)
+    return rnd(out, {"total_revenue_clean": 2, "avg_order_amount_clean": 4})
+
+
 @register("table_counts", w("""
 SELECT (SELECT count(*) FROM sales) AS sales_count, (SELECT count(*) FROM customers) AS customers_count""",
                             customers=True))
@@ -340,6 +353,20 @@ def q_impute_mean(spark, sf):
     return rnd(C.impute(V.sales_dirty(spark, sf), "mean"), {"amount": 4})
 
 
+@register("impute_mode", w("""
+WITH m_order_date AS (SELECT order_date AS v FROM sales_dirty WHERE order_date IS NOT NULL GROUP BY order_date
+                      ORDER BY count(*) DESC, order_date LIMIT 1),
+m_source AS (SELECT source AS v FROM sales_dirty WHERE source IS NOT NULL GROUP BY source
+             ORDER BY count(*) DESC, source LIMIT 1)
+SELECT coalesce(order_date, (SELECT v FROM m_order_date)) AS order_date,
+       coalesce(source, (SELECT v FROM m_source), '') AS source,
+       coalesce(CAST(NULL AS VARCHAR), '') AS note
+FROM sales_dirty""", dirty=True))
+def q_impute_mode(spark, sf):
+    d = V.sales_dirty(spark, sf).select("order_date", "source", F.lit(None).cast("string").alias("note"))
+    return C.impute(d)
+
+
 def _li_scale_input(spark, sf):
     return V.table(spark, sf, "lineitem").select(*_LI_NUM, "l_returnflag", "l_shipdate")
 
@@ -661,12 +688,15 @@ def q_select_numeric(spark, sf):
 _SPLIT_SQL = "substr(md5('42' || CAST({k} AS VARCHAR)), 1, 8) < '40000000'"
 
 
-@register("split_stratified", w(f"""
-SELECT order_id, CAST(coalesce(amount >= (SELECT quantile_cont(amount, 0.8) FROM sales_dirty), false) AS INTEGER)
-       AS label, {_SPLIT_SQL.format(k='order_id')} AS is_test FROM sales_dirty""", dirty=True))
+@register("split_stratified", w("""
+WITH x AS (SELECT order_id, CAST(coalesce(amount >= (SELECT quantile_cont(amount, 0.8) FROM sales_dirty), false)
+           AS INTEGER) AS label, substr(md5('42' || CAST(order_id AS VARCHAR)), 1, 8) AS h FROM sales_dirty),
+r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY h, order_id) - 1 AS rk,
+             count(*) OVER (PARTITION BY label) AS n FROM x)
+SELECT order_id, label, rk < ceil(0.25 * n) AS is_test FROM r""", dirty=True))
 def q_split_stratified(spark, sf):
     x, y = FE.classification_target(V.sales_dirty(spark, sf), None, 0.8)
-    return FE.split(x.select("order_id", F.col(f"`{y}`").alias("label")), "order_id")
+    return FE.split_stratified(x.select("order_id", F.col(f"`{y}`").alias("label")), "label", "order_id")
 
 
 @register("split_random", w(f"SELECT order_id, amount, {_SPLIT_SQL.format(k='order_id')} AS is_test FROM sales"))
