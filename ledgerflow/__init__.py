@@ -1,0 +1 @@
+"""ledgerflow: multi-source sales analytics on Spark."""

@@ -1,0 +1 @@
+"""Column-expression and distributed row/prefix helpers."""

@@ -1,0 +1 @@
+"""DataFrame -> DataFrame operators, grouped as in the survey inventory."""

@@ -1,0 +1,5 @@
+"""Streaming: intentionally empty.
+
+The reference has no streaming operators; its repeat runs are driven by an
+external scheduler.  Nothing here re-implements scheduling.
+"""
