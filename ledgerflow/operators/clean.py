@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.exprs import bind_scalar, is_numeric, nan_to_null, numeric_columns, qcol, quantile
+from ..functions.exprs import bind_scalar, is_numeric, nan_to_null, numeric_columns, qcol
+from ..functions.quantiles import quantile_table
 from .profile import duplicate_rows
 
 # Key columns coerced and reported by the cleaning stage.
@@ -158,9 +159,12 @@ def impute(df: DataFrame, strategy: str = "median", accuracy: int | None = None,
     fills = {}
     base = df
     if num:
-        agg = F.avg if strategy == "mean" else (lambda x: quantile(x, F.lit(0.5), accuracy))
-        base, st = bind_scalar(base, df.agg(F.struct(*[agg(nan_to_null(qcol(c).cast("double"))).alias(c)
-                                                       for c in num])).scalar(), "_fill_num")
+        if strategy == "mean":
+            st_expr = df.agg(F.struct(*[F.avg(nan_to_null(qcol(c).cast("double"))).alias(c) for c in num])).scalar()
+        else:
+            qt = quantile_table(df, num, [0.5], method="approx" if accuracy else "auto", accuracy=accuracy or 10_000)
+            st_expr = qt.select(F.struct(*[qcol(c)[0].alias(c) for c in num])).scalar()
+        base, st = bind_scalar(base, st_expr, "_fill_num")
         for c in num:
             fills[c] = st.getField(c).cast(fields[c])
     if other:

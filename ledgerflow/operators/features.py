@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import ID_COLUMNS, is_numeric, nan_to_null, qcol, quantile, split_flag
+from ..functions.exprs import ID_COLUMNS, bind_scalar, is_numeric, nan_to_null, qcol, split_flag
+from ..functions.quantiles import quantile_table
 from ..functions.prefix import prefix_by_key
 from .encode import distinct_values
 
@@ -75,8 +76,9 @@ def classification_target(df: DataFrame, target: str | None = None, q: float = 0
         raise ValueError("No 'amount' column to derive classification target.")
     name = f"high_value_q{q:.2f}"
     a = nan_to_null(qcol(amount_col).cast("double"))
-    thr = df.agg(quantile(a, F.lit(q), accuracy)).scalar()
-    return df.withColumn(name, F.coalesce(a >= thr, F.lit(False)).cast("int")), name
+    qt = quantile_table(df, [amount_col], [q], method="approx" if accuracy else "auto", accuracy=accuracy or 10_000)
+    base, thr = bind_scalar(df, qt.select(qcol(amount_col)[0]).scalar(), "_thr")
+    return base.withColumn(name, F.coalesce(a >= thr, F.lit(False)).cast("int")).drop("_thr"), name
 
 
 def numeric_feature_columns(df: DataFrame, drop: list[str]) -> list[str]:

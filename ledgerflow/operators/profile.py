@@ -10,46 +10,59 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import ID_COLUMNS, bind_scalar, nan_to_null, numeric_columns, qcol, quantile, safe_pearson
+from ..functions.exprs import ID_COLUMNS, bind_scalar, nan_to_null, numeric_columns, qcol, safe_pearson
+from ..functions.quantiles import quantile_table
 
-_DESCRIBE_FIELDS = ("count", "mean", "std", "min", "q25", "q50", "q75", "max")
+_QS = [0.25, 0.5, 0.75]
 
 
-def _describe_structs(cols: list[str], accuracy: int | None):
+def _moments(cols: list[str]) -> list:
     out = []
-    for c in cols:
+    for i, c in enumerate(cols):
         x = nan_to_null(qcol(c).cast("double"))
-        qs = quantile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), accuracy)
-        out.append(F.struct(
-            F.lit(c).alias("column"),
-            F.count(x).cast("long").alias("count"),
-            F.avg(x).alias("mean"),
-            F.stddev_samp(x).alias("std"),
-            F.min(x).alias("min"),
-            qs[0].alias("q25"), qs[1].alias("q50"), qs[2].alias("q75"),
-            F.max(x).alias("max")))
+        out.append(F.struct(F.count(x).cast("long").alias("count"), F.avg(x).alias("mean"),
+                            F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"))
+                   .alias(f"_m{i}"))
     return out
 
 
+def _describe_rows(cols: list[str], q) -> list:
+    """array of per-column structs from the moment columns ``_m<i>`` and the
+    quantile arrays ``q(c)``."""
+    return [F.struct(F.lit(c).alias("column"), F.col(f"_m{i}.count").alias("count"),
+                     F.col(f"_m{i}.mean").alias("mean"), F.col(f"_m{i}.std").alias("std"),
+                     F.col(f"_m{i}.min").alias("min"), q(c)[0].alias("q25"), q(c)[1].alias("q50"),
+                     q(c)[2].alias("q75"), F.col(f"_m{i}.max").alias("max"))
+            for i, c in enumerate(cols)]
+
+
 def describe(df: DataFrame, columns: list[str] | None = None, exclude_ids: bool = True,
-             accuracy: int | None = None) -> DataFrame:
-    """Count, mean, sample std, min, quartiles (linear, exact unless
-    ``accuracy`` is given), max for each numeric column, one row per column."""
+             accuracy: int | None = None, method: str = "auto") -> DataFrame:
+    """Count, mean, sample std, min, quartiles (linear; exact unless
+    ``accuracy`` is given, see ``functions.quantiles``), max per numeric column,
+    one row per column."""
     cols = columns or numeric_columns(df, exclude=ID_COLUMNS if exclude_ids else ())
     if not cols:
         return df.sparkSession.createDataFrame(
             [], "column string, count long, mean double, std double, min double, q25 double, "
                 "q50 double, q75 double, max double")
-    row = df.agg(F.array(*_describe_structs(cols, accuracy)).alias("s"))
-    return row.select(F.inline("s"))
+    qt = quantile_table(df, cols, _QS, method="approx" if accuracy else method, accuracy=accuracy or 10_000)
+    row, q = bind_scalar(df.agg(*_moments(cols)), qt.select(F.struct(*[qcol(c) for c in cols])).scalar(), "_q")
+    return row.select(F.inline(F.array(*_describe_rows(cols, lambda c: q.getField(c)))))
 
 
 def describe_by(df: DataFrame, by: str = "source", columns: list[str] | None = None,
-                exclude_ids: bool = True, accuracy: int | None = None) -> DataFrame:
-    """P1 per group, in one grouped aggregation (null groups dropped)."""
+                exclude_ids: bool = True, accuracy: int | None = None, method: str = "auto") -> DataFrame:
+    """P1 per group (null groups dropped): grouped moments joined with the
+    grouped quantiles (both one row per group)."""
     cols = columns or numeric_columns(df, exclude=tuple(ID_COLUMNS if exclude_ids else ()) + (by,))
-    g = df.where(qcol(by).isNotNull()).groupBy(by).agg(F.array(*_describe_structs(cols, accuracy)).alias("s"))
-    return g.select(by, F.inline("s"))
+    base = df.where(qcol(by).isNotNull())
+    mom = base.groupBy(qcol(by).alias(by)).agg(*_moments(cols))
+    qt = quantile_table(base, cols, _QS, by=by, method="approx" if accuracy else method,
+                        accuracy=accuracy or 10_000)
+    qt = qt.select(qcol(by), *[qcol(c).alias(f"_q{i}") for i, c in enumerate(cols)])
+    j = mom.join(qt, by)
+    return j.select(qcol(by), F.inline(F.array(*_describe_rows(cols, lambda c: F.col(f"_q{cols.index(c)}")))))
 
 
 def date_range(df: DataFrame, date_col: str = "order_date") -> DataFrame:

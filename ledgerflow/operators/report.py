@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import (ID_COLUMNS, bin_edges, bin_index, bind_scalar, nan_to_null, numeric_columns, qcol,
-                               quantile)
+from ..functions.exprs import ID_COLUMNS, bin_edges, bin_index, bind_scalar, nan_to_null, numeric_columns, qcol
+from ..functions.quantiles import quantile_table
 
 
 def _values(df: DataFrame, column: str) -> DataFrame:
@@ -51,15 +51,16 @@ def histogram(df: DataFrame, column: str = "amount", bins: int = 30) -> DataFram
 
 
 def histogram_trimmed(df: DataFrame, column: str = "amount", q: float = 0.99, bins: int = 30,
-                      accuracy: int | None = None) -> DataFrame:
+                      accuracy: int | None = None, method: str = "auto") -> DataFrame:
     """R2: histogram of the values at or below the q-quantile."""
     x = _values(df, column)
-    cut = x.agg(quantile(F.col("x"), F.lit(q), accuracy)).scalar()
-    return _histogram_of(x.where(F.col("x") <= cut), bins)
+    qt = quantile_table(x, ["x"], [q], method="approx" if accuracy else method, accuracy=accuracy or 10_000)
+    x, cut = bind_scalar(x, qt.select(F.col("x")[0]).scalar(), "_cut")
+    return _histogram_of(x.where(F.col("x") <= cut).drop("_cut"), bins)
 
 
 def box_stats(df: DataFrame, column: str = "amount", by: str | None = "source", k: float = 1.5,
-              accuracy: int | None = None) -> DataFrame:
+              accuracy: int | None = None, method: str = "auto") -> DataFrame:
     """Box-plot numbers per group: quartiles, whiskers (furthest data point
     within k·IQR of the box) and the outlier count.  Rows with a null group are
     dropped; without ``by`` (or the column) everything is one group (key NULL)."""
@@ -68,10 +69,10 @@ def box_stats(df: DataFrame, column: str = "amount", by: str | None = "source",
     key = qcol(by).cast("string") if has_by else F.lit("")
     x = df.select(key.alias("grp"), nan_to_null(qcol(column).cast("double")).alias("x"))
     x = x.where(F.col("x").isNotNull() & F.col("grp").isNotNull())
-    q = x.groupBy("grp").agg(
-        quantile(F.col("x"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), accuracy).alias("qs"),
-        F.count(F.lit(1)).alias("n"))
-    q = q.select("grp", "n", F.col("qs")[0].alias("q1"), F.col("qs")[1].alias("median"), F.col("qs")[2].alias("q3"))
+    qs = quantile_table(x, ["x"], [0.25, 0.5, 0.75], by="grp", method="approx" if accuracy else method,
+                        accuracy=accuracy or 10_000)
+    q = x.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).join(qs, "grp")
+    q = q.select("grp", "n", F.col("x")[0].alias("q1"), F.col("x")[1].alias("median"), F.col("x")[2].alias("q3"))
     fences = q.select("grp", (F.col("q1") - F.lit(k) * (F.col("q3") - F.col("q1"))).alias("lo_fence"),
                       (F.col("q3") + F.lit(k) * (F.col("q3") - F.col("q1"))).alias("hi_fence"))
     # Second pass: join the per-group fences back (one row per group; AQE

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import bind_scalar, nan_to_null, qcol, quantile
+from ..functions.exprs import bind_scalar, nan_to_null, qcol
+from ..functions.quantiles import quantile_table
 from .clean import missing_counts
 
 
@@ -61,10 +62,10 @@ def check_types(df: DataFrame) -> dict[str, str]:
     return {f.name: f.dataType.simpleString() for f in df.schema.fields}
 
 
-def _quartiles(df: DataFrame, cols: list[str], accuracy: int | None):
-    return df.agg(F.struct(*[
-        quantile(nan_to_null(qcol(c).try_cast("double")), F.array(F.lit(0.25), F.lit(0.75)), accuracy).alias(c)
-        for c in cols])).scalar()
+def _quartiles(df: DataFrame, cols: list[str], accuracy: int | None, method: str = "auto"):
+    """Scalar struct: per column the array [Q1, Q3] (see ``functions.quantiles``)."""
+    qt = quantile_table(df, cols, [0.25, 0.75], method="approx" if accuracy else method, accuracy=accuracy or 10_000)
+    return qt.select(F.struct(*[qcol(c) for c in cols])).scalar()
 
 
 def outliers_iqr(df: DataFrame, columns: list[str], k: float = 1.5, accuracy: int | None = None,
