@@ -152,7 +152,13 @@ def table_counts(sales: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def top_countries(sales: DataFrame, customers: DataFrame, k: int = 3) -> DataFrame:
-    """Countries by joined order count, top k (ties by country name)."""
-    j = sales.select("customer_id").join(customers.select("customer_id", "country"), "customer_id")
-    return (j.groupBy("country").agg(F.count(F.lit(1)).alias("cnt"))
+    """Countries by joined order count, top k (ties by country name).
+
+    Orders are counted per customer before the join (eager aggregation): the
+    join then sees one row per customer instead of one per order, and a hot
+    customer is combined map-side."""
+    per_cust = sales.where(F.col("customer_id").isNotNull()).groupBy("customer_id") \
+                    .agg(F.count(F.lit(1)).alias("_n"))
+    j = per_cust.join(customers.select("customer_id", "country"), "customer_id")
+    return (j.groupBy("country").agg(F.sum("_n").alias("cnt"))
              .orderBy(F.desc("cnt"), F.asc("country")).limit(k))

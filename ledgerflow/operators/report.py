@@ -136,8 +136,8 @@ def source_share(df: DataFrame, source_col: str = "source") -> DataFrame | None:
         return None
     agg = (df.select(F.coalesce(qcol(source_col).cast("string"), F.lit("NA")).alias("source"))
              .groupBy("source").agg(F.count(F.lit(1)).alias("rows")))
-    # The window runs on the aggregate (one row per source), not on raw rows.
-    total = F.sum("rows").over(Window.partitionBy())
+    # the total is one value over the (one row per source) aggregate
+    agg, total = bind_scalar(agg, agg.agg(F.sum("rows")).scalar(), "_total")
     return agg.select("source", "rows", (F.col("rows") * 100.0 / total).alias("share_pct"))
 
 
