@@ -54,7 +54,11 @@ def run_pipeline(spark: SparkSession, cfg: dict) -> dict:
 def summary_frame(raw: DataFrame, clean: DataFrame, stats: DataFrame) -> DataFrame:
     """One row: overall metrics, source count, date range and cleaning stats."""
     om = P.overall_metrics(raw, clean)
-    om, dr = bind_scalar(om, P.date_range(clean).select(F.struct("*").alias("d")).select("d").scalar(), "_dr")
+    if "order_date" in clean.columns:
+        dr_expr = P.date_range(clean).select(F.struct("*").alias("d")).select("d").scalar()
+    else:
+        dr_expr = F.struct(F.lit(None).cast("date").alias("date_min"), F.lit(None).cast("date").alias("date_max"))
+    om, dr = bind_scalar(om, dr_expr, "_dr")
     n_src = (clean.select("source").where(F.col("source").isNotNull()).distinct()
                   .agg(F.count(F.lit(1))).scalar() if "source" in clean.columns else F.lit(0))
     om, st = bind_scalar(om, stats.select(F.struct("*")).scalar(), "_cs")
