@@ -11,8 +11,17 @@ Methods
               by the skew-safe prefix count (range-partitioned sort; a hot group
               is split across tasks), the wanted ranks are a tiny table
               (groups × probabilities), and two equi-joins fetch the neighbours.
+- ``refine``: exact, for whole-table quantiles.  A ``percentile_approx`` sketch
+              (rank error at most n/accuracy, a deterministic bound) brackets
+              each target rank; one pass counts the values below each bracket;
+              the distinct values inside the brackets, with their counts (at most
+              ``max_bracket`` each), are fetched and the exact neighbours picked
+              by rank.  Two to three
+              scans, no shuffle of rows, no single-task value map.  A bracket
+              that is too wide (very large n) falls back to ``sort``.
 - ``approx``: ``percentile_approx`` with the given accuracy.
-- ``auto``:   one HyperLogLog pass; ``hash`` when every column has at most
+- ``auto``:   whole-table quantiles use ``refine``; grouped ones do one
+              HyperLogLog pass and use ``hash`` when every column has at most
               ``max_distinct`` distinct values (so the map provably fits),
               otherwise ``sort``.
 
@@ -40,6 +49,12 @@ def quantile_table(df: DataFrame, cols: list[str], probs: list[float], by: str |
                      *[nan_to_null(qcol(c).try_cast("double")).alias(c) for c in cols])
     if by:
         vals = vals.where(F.col("_g").isNotNull())
+    if method == "auto" and not by:
+        method = "refine"
+    if method == "refine":
+        if by:
+            raise ValueError("refine computes whole-table quantiles; use sort or hash per group")
+        return _refined_quantiles(vals, cols, probs, accuracy)
     if method == "auto":
         nd = vals.agg(*[F.approx_count_distinct(qcol(c), 0.05).alias(c) for c in cols]).collect()[0]
         method = "hash" if max(nd[c] or 0 for c in cols) <= max_distinct else "sort"
@@ -73,3 +88,74 @@ def _sorted_quantiles(vals: DataFrame, c: str, probs: list[float]) -> DataFrame:
         (F.col("_hi") - F.col("_pos")) * F.col("_vlo") + (F.col("_pos") - F.col("_lo")) * F.col("_vhi"))
     per = got.groupBy("_g").agg(F.array_sort(F.collect_list(F.struct("_i", q.alias("_q")))).alias("_a"))
     return per.select("_g", F.transform("_a", lambda s: s["_q"]).alias(c))
+
+
+def _interp(counts: list[tuple[float, int]], below: int, n: int, p: float):
+    """Exact linear quantile from a bracket given as sorted (value, count) pairs
+    and the number of values below it; None when the bracket does not hold both
+    neighbouring ranks."""
+    pos = p * (n - 1)
+    lo, hi = int(pos // 1), int(-(-pos // 1))
+
+    def at(rank):
+        r = rank - below
+        if r < 0:
+            return None
+        for v, c in counts:
+            if r < c:
+                return v
+            r -= c
+        return None
+
+    v_lo, v_hi = at(lo), at(hi)
+    if v_lo is None or v_hi is None:
+        return None
+    if lo == hi:
+        return v_lo
+    return (hi - pos) * v_lo + (pos - lo) * v_hi
+
+
+def _refined_quantiles(vals: DataFrame, cols: list[str], probs: list[float], accuracy: int,
+                       max_bracket: int = 100_000) -> DataFrame:
+    spark = vals.sparkSession
+    eps = 1.0 / accuracy
+    edges = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-2 * eps, 2 * eps)})
+    earr = F.array(*[F.lit(e) for e in edges])
+    # pass 1: counts and the bracketing sketch quantiles (one row)
+    r1 = vals.agg(*[F.count(qcol(c)).alias(f"n{i}") for i, c in enumerate(cols)],
+                  *[F.percentile_approx(qcol(c), earr, accuracy).alias(f"a{i}") for i, c in enumerate(cols)]
+                  ).collect()[0]
+    brackets = []                              # (k, column index, prob index, lo, hi)
+    for i, c in enumerate(cols):
+        if not r1[f"n{i}"]:
+            continue
+        at = dict(zip(edges, r1[f"a{i}"]))
+        for j, p in enumerate(probs):
+            brackets.append((len(brackets), i, j, at[min(1.0, max(0.0, p - 2 * eps))],
+                             at[min(1.0, max(0.0, p + 2 * eps))]))
+    result = {c: [None] * len(probs) for c in cols}
+    if brackets:
+        # pass 2: how many values lie below each bracket (one row)
+        r2 = vals.agg(*[F.count_if(qcol(cols[i]) < lo).alias(f"b{k}") for k, i, _, lo, _ in brackets]).collect()[0]
+        # pass 3: the distinct values inside each bracket with their counts
+        # (plain CASE expressions, codegen-friendly; ties collapse to one row),
+        # fetched with a hard cap
+        hits = F.array(*[F.when(qcol(cols[i]).between(lo, hi),
+                                F.struct(F.lit(k).alias("k"), qcol(cols[i]).alias("v")))
+                         for k, i, _, lo, hi in brackets])
+        inside = (vals.select(F.inline(hits)).where(F.col("k").isNotNull())
+                      .groupBy("k", "v").agg(F.count(F.lit(1)).alias("c")))
+        cap = max_bracket * len(brackets)
+        rows = inside.limit(cap + 1).collect()
+        if len(rows) > cap:                    # very wide brackets (huge n): exact sort method
+            return quantile_table(vals.drop("_g"), cols, probs, method="sort")
+        got: dict[int, list[tuple[float, int]]] = {k: [] for k, *_ in brackets}
+        for row in rows:
+            got[row["k"]].append((row["v"], row["c"]))
+        for k, i, j, _, _ in brackets:
+            q = _interp(sorted(got[k]), r2[f"b{k}"], r1[f"n{i}"], probs[j])
+            if q is None:                      # sketch bound not met: exact fallback
+                return quantile_table(vals.drop("_g"), cols, probs, method="sort")
+            result[cols[i]][j] = q
+    return spark.range(1).select(*[F.array(*[F.lit(v).cast("double") for v in result[c]]).alias(c)
+                                   for c in cols])

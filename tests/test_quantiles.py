@@ -28,7 +28,7 @@ def _np(vals):
     return list(np.quantile(v, PROBS))
 
 
-@pytest.mark.parametrize("method", ["sort", "hash", "auto"])
+@pytest.mark.parametrize("method", ["sort", "hash", "auto", "refine"])
 def test_global(spark, data, method):
     df, rows = data
     r = quantile_table(df, ["x", "y"], PROBS, method=method).first()
@@ -48,3 +48,10 @@ def test_approx_close(spark, data):
     df, rows = data
     r = quantile_table(df, ["y"], [0.5], method="approx", accuracy=10000).first()
     assert abs(r.y[0] - _np([b for _, _, b in rows])[2]) < 5.0
+
+
+def test_refine_tiny_and_empty(spark):
+    df = spark.createDataFrame([(1.0,), (None,)], "x double")
+    assert quantile_table(df, ["x"], PROBS, method="refine").first().x == [1.0] * len(PROBS)
+    e = spark.createDataFrame([], "x double")
+    assert quantile_table(e, ["x"], [0.5], method="refine").first().x == [None]

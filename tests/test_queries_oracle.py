@@ -16,6 +16,10 @@ SLOW = {"logreg_train", "logreg_coeffs", "rf_train", "rf_plain", "rf_importance"
         "ml_stage_metrics", "logreg_plain"}
 
 
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+          "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
 def _norm(v):
     if isinstance(v, float):
         return None if math.isnan(v) else round(v, 9)
@@ -47,6 +51,10 @@ def test_query_matches_oracle(spark, duck, name):
     if sql is None:
         assert len(rows) > 0
         return
+    rel = duck.sql(sql)
+    dtypes = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    stypes = {f.name: _TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    assert stypes == dtypes
     cur = duck.execute(sql)
     dcols = [d[0] for d in cur.description]
     assert sorted(cols) == sorted(dcols)
