@@ -223,7 +223,8 @@ def run_ml(features: DataFrame, cfg: dict, models_dir: str | None = None) -> dic
             train, test = x.where(~F.col("is_test")), x.where(F.col("is_test"))
             model = train_logreg(train, feats, y, tol=float(ccfg.get("tol", 1e-6)))
             scored = score_logreg(model, test, feats)
-            m = classification_metrics(scored, y).withColumn("target", F.lit(y))
+            n_train = train.agg(F.count(F.lit(1))).scalar()
+            m = classification_metrics(scored, y).select("*", F.lit(y).alias("target"), n_train.alias("n_train"))
             result["metrics"]["classification"] = m
             result["tables"].update({"clf_confusion": confusion_matrix(scored, y), "clf_roc": roc_curve(scored, y),
                                      "clf_pr": pr_curve(scored, y), "clf_auc": roc_auc(scored, y),
@@ -242,7 +243,9 @@ def run_ml(features: DataFrame, cfg: dict, models_dir: str | None = None) -> dic
             model = train_forest(train, feats, target, int(rcfg.get("n_estimators", 250)),
                                  int(rcfg.get("max_depth", 10)))
             pred = predict_forest(model, test, feats)
-            result["metrics"]["regression"] = regression_metrics(pred, target)
+            n_train = train.agg(F.count(F.lit(1))).scalar()
+            result["metrics"]["regression"] = regression_metrics(pred, target).select("*",
+                                                                                      n_train.alias("n_train"))
             result["tables"].update({"rf_importance": forest_importances(model, feats),
                                      "reg_residuals": residual_histogram(pred, target),
                                      "reg_scatter": actual_vs_predicted_bins(pred, target)})

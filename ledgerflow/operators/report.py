@@ -118,6 +118,14 @@ def monthly_revenue(df: DataFrame, date_col: str = "order_date", amount_col: str
                 .groupBy("month").agg(F.sum("amount").alias("revenue"), F.count(F.lit(1)).alias("orders")))
 
 
+def monthly_revenue_header(df: DataFrame, date_col: str = "order_date", amount_col: str = "amount") -> DataFrame:
+    """R7 header facts: rows with a date and an amount, first and last month."""
+    base = df.select(_month(date_col).alias("month"), nan_to_null(qcol(amount_col)).alias("amount"))
+    ok = base.where(F.col("month").isNotNull() & F.col("amount").isNotNull())
+    return ok.agg(F.count(F.lit(1)).alias("n"), F.min("month").alias("month_first"),
+                  F.max("month").alias("month_last"))
+
+
 def monthly_revenue_by_source(df: DataFrame, date_col: str = "order_date", amount_col: str = "amount",
                               source_col: str = "source") -> DataFrame | None:
     """Revenue per (month, source); rows missing date, amount or source dropped.

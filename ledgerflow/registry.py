@@ -123,6 +123,14 @@ def q_monthly_revenue(spark, sf):
     return rnd(R.monthly_revenue(V.sales_dirty(spark, sf)), {"revenue": 2})
 
 
+@register("monthly_revenue_header", w("""
+SELECT count(*) AS n, min(CAST(date_trunc('month', order_date) AS DATE)) AS month_first,
+       max(CAST(date_trunc('month', order_date) AS DATE)) AS month_last
+FROM sales_dirty WHERE order_date IS NOT NULL AND amount IS NOT NULL""", dirty=True))
+def q_monthly_revenue_header(spark, sf):
+    return R.monthly_revenue_header(V.sales_dirty(spark, sf))
+
+
 @register("source_share", w("""
 SELECT coalesce(source, 'NA') AS source, count(*) AS rows,
        round(count(*) * 100.0 / sum(count(*)) OVER (), 6) AS share_pct
@@ -1008,7 +1016,9 @@ def q_logreg_train(spark, sf):
     model = ML.train_logreg(x.where(~F.col("is_test")), feats, y)
     scored = ML.score_logreg(model, x.where(F.col("is_test")), feats)
     auc = ML.roc_auc(scored, y).scalar()
-    return ML.classification_metrics(scored, y).select("*", auc.alias("roc_auc"), F.lit(y).alias("target"))
+    n_train = x.where(~F.col("is_test")).agg(F.count(F.lit(1))).scalar()
+    return ML.classification_metrics(scored, y).select("*", auc.alias("roc_auc"), F.lit(y).alias("target"),
+                                                       n_train.alias("n_train"))
 
 
 def _lineitem_numeric(spark, sf):
@@ -1046,7 +1056,9 @@ def _rf(spark, sf, trees=QUERY_TREES):
 @register("rf_train")
 def q_rf_train(spark, sf):
     x, feats, model = _rf(spark, sf)
-    return ML.regression_metrics(ML.predict_forest(model, x.where(F.col("is_test")), feats), "amount")
+    n_train = x.where(~F.col("is_test")).agg(F.count(F.lit(1))).scalar()
+    return ML.regression_metrics(ML.predict_forest(model, x.where(F.col("is_test")), feats), "amount") \
+             .select("*", n_train.alias("n_train"))
 
 
 @register("rf_plain")
