@@ -8,6 +8,7 @@ product.  With ``output_dir`` each table is written as Parquet (S6).
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,8 +22,43 @@ from ..sources.files import save_parquet
 log = logging.getLogger(__name__)
 
 
+class LazyTables(Mapping):
+    """name -> DataFrame, each table built on first access.
+
+    Building some tables runs small jobs up front (quantile brackets, the
+    decomposition's day-level checkpoints); a caller that reads only a few
+    tables pays only for those.  Iterating (writing, indexing) builds all."""
+
+    def __init__(self) -> None:
+        self._build: dict[str, Callable[[], DataFrame]] = {}
+        self._done: dict[str, DataFrame] = {}
+
+    def add(self, name: str, build: Callable[[], DataFrame]) -> None:
+        self._build[name] = build
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._done:
+            self._done[name] = self._build[name]()
+        return self._done[name]
+
+    def __iter__(self):
+        return iter(self._build)
+
+    def __len__(self) -> int:
+        return len(self._build)
+
+
+def _decomposition(daily: DataFrame) -> DataFrame:
+    try:
+        return TS.decompose(daily)
+    except Exception as e:  # noqa: BLE001 — too short a series is logged, as in the reference
+        log.info("decomposition skipped: %s", e)
+        return daily.sparkSession.createDataFrame(
+            [], "day date, value double, trend double, seasonal double, resid double")
+
+
 def run_reporting(raw: DataFrame, clean: DataFrame, cfg: dict | None = None,
-                  extra_tables: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+                  extra_tables: dict[str, DataFrame] | None = None) -> LazyTables:
     cfg = cfg or {}
     rep = cfg.get("reporting") or {}
     plots = rep.get("plots") or {}
@@ -30,44 +66,41 @@ def run_reporting(raw: DataFrame, clean: DataFrame, cfg: dict | None = None,
     q = float((plots.get("sales_hist_trim") or {}).get("trim_quantile", 0.99))
     cols = set(clean.columns)
     has = lambda *need: all(c in cols for c in need)
-    t: dict[str, DataFrame] = {"overall_metrics": P.overall_metrics(raw, clean)}
+    t = LazyTables()
+    t.add("overall_metrics", lambda: P.overall_metrics(raw, clean))
     if has("source"):
-        t["aggregates_by_source"] = P.aggregates_by_source(clean)
-        t["source_share"] = R.source_share(clean)
+        t.add("aggregates_by_source", lambda: P.aggregates_by_source(clean))
+        t.add("source_share", lambda: R.source_share(clean))
     if numeric_columns(clean, exclude=ID_COLUMNS):
-        t["basic_stats"] = P.describe(clean)
+        t.add("basic_stats", lambda: P.describe(clean))
     if has("amount"):
-        t["amount_histogram"] = R.histogram(clean, "amount", 30)
-        t["amount_histogram_trim"] = R.histogram_trimmed(clean, "amount", q, 30)
-        t["box_stats"] = R.box_stats(clean, "amount", "source")
+        t.add("amount_histogram", lambda: R.histogram(clean, "amount", 30))
+        t.add("amount_histogram_trim", lambda: R.histogram_trimmed(clean, "amount", q, 30))
+        t.add("box_stats", lambda: R.box_stats(clean, "amount", "source"))
     if has("order_date"):
-        t["orders_per_day"] = R.orders_per_day(clean)
+        t.add("orders_per_day", lambda: R.orders_per_day(clean))
     if has("customer_id"):
-        t["top_customers"] = R.top_customers(clean, top_n)
-        t["customer_totals"] = R.customer_totals(clean)
+        t.add("top_customers", lambda: R.top_customers(clean, top_n))
+        t.add("customer_totals", lambda: R.customer_totals(clean))
     if has("order_date", "amount"):
-        t["monthly_revenue"] = R.monthly_revenue(clean)
-        t["daily_revenue"] = TS.daily_dense(clean)
+        t.add("monthly_revenue", lambda: R.monthly_revenue(clean))
+        t.add("daily_revenue", lambda: TS.daily_dense(clean))
     if has("source", "order_date", "amount"):
-        mbs = R.monthly_revenue_by_source(clean)
-        cum = R.cumulative_revenue_by_source(clean)
-        t.update({
-            "basic_stats_by_source": P.describe_by(clean, "source"),
-            "monthly_revenue_by_source": mbs,
-            "cumulative_revenue_by_source": cum,
-            "identical_monthly_series": R.identical_series(mbs, "source", "month", "revenue"),
-            "identical_cumulative_series": R.identical_series(cum, "source", "day", "cum_revenue"),
-        })
+        t.add("basic_stats_by_source", lambda: P.describe_by(clean, "source"))
+        t.add("monthly_revenue_by_source", lambda: R.monthly_revenue_by_source(clean))
+        t.add("cumulative_revenue_by_source", lambda: R.cumulative_revenue_by_source(clean))
+        t.add("identical_monthly_series",
+              lambda: R.identical_series(t["monthly_revenue_by_source"], "source", "month", "revenue"))
+        t.add("identical_cumulative_series",
+              lambda: R.identical_series(t["cumulative_revenue_by_source"], "source", "day", "cum_revenue"))
     num = numeric_columns(clean, exclude=ID_COLUMNS)
     if len(num) >= 2:                      # the reference draws these only for >= 2 columns
-        t["corr_matrix"] = P.correlation(clean, num)
-        t["pairwise_bins"] = R.pairwise_bins(clean, num)
-    if "daily_revenue" in t:
-        try:
-            t["decomposition"] = TS.decompose(t["daily_revenue"])
-        except Exception as e:  # noqa: BLE001 — too short a series is logged, as in the reference
-            log.info("decomposition skipped: %s", e)
-    t.update(extra_tables or {})
+        t.add("corr_matrix", lambda: P.correlation(clean, num))
+        t.add("pairwise_bins", lambda: R.pairwise_bins(clean, num))
+    if has("order_date", "amount"):
+        t.add("decomposition", lambda: _decomposition(t["daily_revenue"]))
+    for name, df in (extra_tables or {}).items():
+        t.add(name, lambda df=df: df)
     out_dir = rep.get("output_dir")
     if out_dir:
         for name, df in t.items():
@@ -75,7 +108,7 @@ def run_reporting(raw: DataFrame, clean: DataFrame, cfg: dict | None = None,
     return t
 
 
-def bundle_index(tables: dict[str, DataFrame]) -> DataFrame:
+def bundle_index(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(name, rows) for every table of the bundle, as one lazy union of counts."""
     parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("name"), "rows")
              for name, df in tables.items()]
