@@ -36,11 +36,6 @@ def nan_to_null(c: Column) -> Column:
     return F.nanvl(c, F.lit(None).cast("double"))
 
 
-def dbl(v: float) -> Column:
-    """A typed DOUBLE literal (a bare 1.0 in SQL text is DECIMAL in Spark)."""
-    return F.lit(float(v)).cast("double")
-
-
 def safe_pearson(a: Column, b: Column) -> Column:
     """Pearson correlation over pairwise-complete rows; NULL when either side has
     zero variance (bare ``corr`` raises DIVIDE_BY_ZERO under ANSI)."""
@@ -75,18 +70,6 @@ def split_flag(key: Column, seed: int = 42, test_fraction: float = 0.25) -> Colu
     return h < F.lit(bound)
 
 
-def quantile(c: Column, p, accuracy: int | None = None) -> Column:
-    """Exact linear-interpolated quantile (pandas / numpy default) or, with
-    ``accuracy``, the bounded-memory approximate one for very large groups."""
-    if accuracy:
-        return F.percentile_approx(c, p, accuracy)
-    return F.percentile(c, p)
-
-
-def round2(c: Column) -> Column:
-    return F.round(c, 2)
-
-
 def bind_scalar(df: DataFrame, scalar: Column, name: str = "_st") -> tuple[DataFrame, Column]:
     """Attach a scalar subquery as one column and return a reference to it.
 
