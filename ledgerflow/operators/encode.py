@@ -33,13 +33,17 @@ def distinct_values(df: DataFrame, cols: list[str], max_categories: int = 1000)
         return {}
     pairs = F.array(*[F.struct(F.lit(c).alias("c"), qcol(c).cast("string").alias("v")) for c in cols])
     vals = df.select(F.inline(pairs)).where(F.col("v").isNotNull()).distinct()
-    sizes = {r["c"]: r["n"] for r in vals.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()}
-    over = {c: n for c, n in sizes.items() if n > max_categories}
-    if over:
-        raise TooManyCategories(f"too many categories to one-hot encode: {over} (cap {max_categories})")
+    # one capped fetch: if more than cap·k pairs exist, some column must exceed
+    # the cap (pigeonhole), so nothing beyond the bound is ever transferred
+    cap = max_categories * len(cols)
+    rows = vals.limit(cap + 1).collect()
     out: dict[str, list] = {c: [] for c in cols}
-    for r in vals.collect():           # bounded: <= max_categories per column
+    for r in rows:
         out[r["c"]].append(r["v"])
+    over = {c: len(v) for c, v in out.items() if len(v) > max_categories}
+    if over or len(rows) > cap:
+        raise TooManyCategories(f"too many categories to one-hot encode: {over or 'over the total cap'} "
+                                f"(cap {max_categories} per column)")
     return {c: sorted(v) for c, v in out.items()}
 
 

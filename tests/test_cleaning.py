@@ -91,3 +91,10 @@ def test_list_to_json_sorted_keys(spark):
     df = spark.createDataFrame([({"b": 1, "a": 2}, [1, 2])], "m map<string,int>, l array<int>")
     r = EN.list_to_json(df).first()
     assert r.m == '{"a":2,"b":1}' and r.l == "[1,2]"
+
+
+def test_one_hot_category_cap(spark):
+    df = spark.createDataFrame([("a", "x"), ("b", "x"), ("c", "x")], "c string, d string")
+    with pytest.raises(EN.TooManyCategories):
+        EN.one_hot(df, max_categories=2)
+    assert EN.distinct_values(df, ["c", "d"], 3) == {"c": ["a", "b", "c"], "d": ["x"]}
