@@ -21,12 +21,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.exprs import qcol
 from ..session import cut_lineage
 
 
 def prefix_by_key(df: DataFrame, key: str, order_by: list[str], value: str | None = None,
                   partitions: int | None = None) -> DataFrame:
-    """Add ``_prev_n`` (rows before this one in the key group), and with
+    """Add ``_prev_n`` (rows before this one in the key group), ``_key_n`` (rows
+    in the key group, summed from the block table), and with
     ``value`` also ``_prev_sum`` / ``_prev_nn`` (sum and count of the earlier
     non-null values).  Rows with a NULL key get NULLs."""
     spark = df.sparkSession
@@ -45,7 +47,8 @@ def prefix_by_key(df: DataFrame, key: str, order_by: list[str], value: str | Non
         block_aggs += [F.sum(v).alias("_bs"), F.count(v).alias("_bnn")]
     blocks = ranged.groupBy(key, "_pid").agg(*block_aggs)
     before = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = [F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_on")]
+    offs = [F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_on"),
+            F.sum("_bn").over(Window.partitionBy(key)).alias("_kn")]
     if value:
         offs += [F.coalesce(F.sum("_bs").over(before), F.lit(0.0)).alias("_os"),
                  F.coalesce(F.sum("_bnn").over(before), F.lit(0)).alias("_onn")]
@@ -53,15 +56,16 @@ def prefix_by_key(df: DataFrame, key: str, order_by: list[str], value: str | Non
 
     w = (Window.partitionBy("_pid", key).orderBy(*order, F.col("_tb").asc())
                .rowsBetween(Window.unboundedPreceding, -1))
-    cols: list[Column] = [F.col(c) for c in df.columns]
+    cols: list[Column] = [qcol(c) for c in df.columns]
     j = ranged.join(offsets, [key, "_pid"])
-    out = [*cols, (F.col("_on") + F.coalesce(F.count(F.lit(1)).over(w), F.lit(0))).cast("long").alias("_prev_n")]
+    out = [*cols, (F.col("_on") + F.coalesce(F.count(F.lit(1)).over(w), F.lit(0))).cast("long").alias("_prev_n"),
+           F.col("_kn").cast("long").alias("_key_n")]
     if value:
         out += [(F.col("_os") + F.coalesce(F.sum(v).over(w), F.lit(0.0))).alias("_prev_sum"),
                 (F.col("_onn") + F.coalesce(F.count(v).over(w), F.lit(0))).cast("long").alias("_prev_nn")]
     res = j.select(*out)
     nulls = t.where(F.col(key).isNull()).select(
-        *cols, F.lit(None).cast("long").alias("_prev_n"),
+        *cols, F.lit(None).cast("long").alias("_prev_n"), F.lit(None).cast("long").alias("_key_n"),
         *([F.lit(None).cast("double").alias("_prev_sum"), F.lit(None).cast("long").alias("_prev_nn")]
           if value else []))
     return res.unionByName(nulls)

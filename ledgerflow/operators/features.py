@@ -103,15 +103,13 @@ def split_stratified(df: DataFrame, label: str, key: str, seed: int = 42, test_f
                      flag: str = "is_test") -> DataFrame:
     """F8: exact per-class split.  Within each class the rows are ranked by the
     same md5 hash as ``split`` (then by key) and the first ceil(fraction · n_class)
-    are held out.  The rank is a skew-safe prefix count (a class is one huge
-    group), the class sizes a small aggregate."""
+    are held out.  Rank and class size both come from the skew-safe prefix count
+    (a class is one huge group); no join on the label."""
     h = F.substring(F.md5(F.concat(F.lit(str(seed)), qcol(key).cast("string"))), 1, 8)
-    x = df.withColumn("_h", h)
-    sizes = x.groupBy(qcol(label).alias("_lbl")).agg(F.count(F.lit(1)).alias("_nc"))
-    ranked = prefix_by_key(x.withColumn("_lbl", qcol(label)), "_lbl", ["_h", key])
-    out = ranked.join(sizes, "_lbl", "left")
-    held = F.col("_prev_n") < F.ceil(F.lit(test_fraction) * F.col("_nc"))
-    return out.select(*[qcol(c) for c in df.columns], F.coalesce(held, F.lit(False)).alias(flag))
+    x = df.withColumn("_h", h).withColumn("_lbl", qcol(label))
+    ranked = prefix_by_key(x, "_lbl", ["_h", key])      # also gives the class size (_key_n)
+    held = F.col("_prev_n") < F.ceil(F.lit(test_fraction) * F.col("_key_n"))
+    return ranked.select(*[qcol(c) for c in df.columns], F.coalesce(held, F.lit(False)).alias(flag))
 
 
 __all__ = ["split_stratified", "calendar_features", "source_dummies", "history_features", "build_features", "classification_target",
