@@ -626,7 +626,11 @@ def q_decompose_components(spark, sf):
     return rnd(comp, {"value": 2, "trend": 2, "seasonal": 2, "resid": 2})
 
 
-@register("decompose_nan_counts")
+@register("decompose_nan_counts", w(_DECOMP_CTES + """
+SELECT count(*) FILTER (WHERE trend IS NULL OR isnan(trend)) AS trend_nan,
+       count(*) FILTER (WHERE seasonal IS NULL OR isnan(seasonal)) AS seasonal_nan,
+       count(*) FILTER (WHERE (y - trend - seasonal) IS NULL OR isnan(y - trend - seasonal)) AS resid_nan
+FROM t JOIN pc ON t.i % 7 = pc.md""", dirty=True))
 def q_decompose_nan_counts(spark, sf):
     return TS.decompose_nan_counts(TS.decompose(TS.daily_dense(V.sales_dirty(spark, sf))))
 
