@@ -13,11 +13,11 @@ Methods
               (groups × probabilities), and two equi-joins fetch the neighbours.
 - ``refine``: exact, for whole-table quantiles.  A ``percentile_approx`` sketch
               (rank error at most n/accuracy, a deterministic bound) brackets
-              each target rank; one pass counts the values below each bracket;
-              the distinct values inside the brackets, with their counts (at most
-              ``max_bracket`` each), are fetched and the exact neighbours picked
-              by rank.  Two to three
-              scans, no shuffle of rows, no single-task value map.  A bracket
+              each target rank; a second pass counts the values below each
+              bracket and fetches the distinct values inside it with their
+              counts (at most ``max_bracket`` each); the exact neighbours are
+              picked by rank.  Two scans, no shuffle of rows, no single-task
+              value map.  A bracket
               that is too wide (very large n) falls back to ``sort``.
 - ``approx``: ``percentile_approx`` with the given accuracy.
 - ``auto``:   whole-table quantiles use ``refine``; grouped ones do one
@@ -135,25 +135,29 @@ def _refined_quantiles(vals: DataFrame, cols: list[str], probs: list[float], acc
                              at[min(1.0, max(0.0, p + 2 * eps))]))
     result = {c: [None] * len(probs) for c in cols}
     if brackets:
-        # pass 2: how many values lie below each bracket (one row)
-        r2 = vals.agg(*[F.count_if(qcol(cols[i]) < lo).alias(f"b{k}") for k, i, _, lo, _ in brackets]).collect()[0]
-        # pass 3: the distinct values inside each bracket with their counts
-        # (plain CASE expressions, codegen-friendly; ties collapse to one row),
-        # fetched with a hard cap
-        hits = F.array(*[F.when(qcol(cols[i]).between(lo, hi),
-                                F.struct(F.lit(k).alias("k"), qcol(cols[i]).alias("v")))
-                         for k, i, _, lo, hi in brackets])
-        inside = (vals.select(F.inline(hits)).where(F.col("k").isNotNull())
-                      .groupBy("k", "v").agg(F.count(F.lit(1)).alias("c")))
+        # pass 2 (one scan): for each bracket k, a row below it counts into the
+        # (k, NULL) group and a row inside it into (k, value); rows above emit
+        # nothing.  Ties collapse; the fetch is capped.
+        hits = []
+        for k, i, _, lo, hi in brackets:
+            x = qcol(cols[i])
+            hits.append(F.when(x < lo, F.struct(F.lit(k).alias("k"), F.lit(None).cast("double").alias("v")))
+                         .when(x.between(lo, hi), F.struct(F.lit(k).alias("k"), x.alias("v"))))
+        cells = (vals.select(F.inline(F.array(*hits))).where(F.col("k").isNotNull())
+                     .groupBy("k", "v").agg(F.count(F.lit(1)).alias("c")))
         cap = max_bracket * len(brackets)
-        rows = inside.limit(cap + 1).collect()
-        if len(rows) > cap:                    # very wide brackets (huge n): exact sort method
+        rows = cells.limit(cap + len(brackets) + 1).collect()
+        if len(rows) > cap + len(brackets):    # very wide brackets (huge n): exact sort method
             return quantile_table(vals.drop("_g"), cols, probs, method="sort")
+        below = {k: 0 for k, *_ in brackets}
         got: dict[int, list[tuple[float, int]]] = {k: [] for k, *_ in brackets}
         for row in rows:
-            got[row["k"]].append((row["v"], row["c"]))
+            if row["v"] is None:
+                below[row["k"]] = row["c"]
+            else:
+                got[row["k"]].append((row["v"], row["c"]))
         for k, i, j, _, _ in brackets:
-            q = _interp(sorted(got[k]), r2[f"b{k}"], r1[f"n{i}"], probs[j])
+            q = _interp(sorted(got[k]), below[k], r1[f"n{i}"], probs[j])
             if q is None:                      # sketch bound not met: exact fallback
                 return quantile_table(vals.drop("_g"), cols, probs, method="sort")
             result[cols[i]][j] = q
