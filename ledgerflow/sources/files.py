@@ -28,15 +28,22 @@ TYPED_TABLES = {
 }
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, **options) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
+             corrupt_column: str | None = None, **options) -> DataFrame:
     """Header row, explicit or inferred types, extra reader options passed
-    through; a missing path raises ``FileNotFoundError`` up front."""
+    through; a missing path raises ``FileNotFoundError`` up front.  Malformed rows
+    become NULLs (PERMISSIVE); with an explicit schema and ``corrupt_column`` the
+    raw text of such rows is kept in that column instead of failing the job."""
     if not path_exists(spark, path):
         raise FileNotFoundError(f"CSV not found: {path}")
     opts = {"header": "true", "mode": "PERMISSIVE"}
     opts.update({k: str(v) for k, v in options.items()})
     reader = spark.read.options(**opts)
     if schema is not None:
+        if corrupt_column:
+            sch = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+            schema = T.StructType([*sch.fields, T.StructField(corrupt_column, T.StringType())])
+            reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
         reader = reader.schema(schema)
     else:
         reader = reader.option("inferSchema", "true")

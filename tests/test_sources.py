@@ -93,3 +93,12 @@ def test_metrics_kv(spark):
     kv = {r.metric: r.value for r in metrics_to_kv(m).collect()}
     assert kv == {"n": "3", "avg": "1.5"}
     assert F is not None
+
+
+def test_csv_corrupt_rows_kept(spark):
+    path = scratch_path(spark, "bad_csv")
+    spark.createDataFrame([("1", "2.5"), ("x", "3.0")], "a string, b string").write.option("header", "true").csv(path)
+    df = SF.read_csv(spark, path, "a INT, b DOUBLE", corrupt_column="_bad")
+    rows = sorted(df.collect(), key=lambda r: (r.a is None, r.a))
+    assert rows[0].a == 1 and rows[0]._bad is None
+    assert rows[1].a is None and rows[1]._bad == "x,3.0"
