@@ -35,7 +35,9 @@ COLUMN_TARGETS = (
 
 def add_source(df: DataFrame, source: str, column: str = "source") -> DataFrame:
     """Tag every row with its source kind; an existing column only has its
-    NULLs filled."""
+    NULLs filled; a frame without columns is returned untouched."""
+    if not df.columns:
+        return df
     if column in df.columns:
         return df.withColumn(column, F.coalesce(qcol(column), F.lit(source)))
     return df.withColumn(column, F.lit(source))
@@ -142,6 +144,10 @@ def load_sources(spark: SparkSession, cfg: dict) -> tuple[DataFrame | None, Data
             continue
         route("json", str(item.get("name", "")).lower(), df, item.get("target"), "api")
 
+    for item in sources.get("excel") or []:
+        log.warning("Excel source %r skipped: Excel is not read (export it to CSV or Parquet)",
+                    item.get("name") or item.get("path"))
+
     if not sales_parts:
         for pth in cfg.get("default_paths") or []:
             try:
