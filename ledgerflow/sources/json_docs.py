@@ -45,13 +45,16 @@ def _first_char(c: Column) -> Column:
 def items_of(raw: Column, item_schema: T.StructType | str, wrap_object: bool = True) -> Column:
     """Array of items from a JSON value: a list is the rows; an object yields its
     first list-valued member; an object without one is a single row when
-    ``wrap_object`` (the paged reader appends nothing for it)."""
+    ``wrap_object`` (the paged reader appends nothing for it).  Malformed text
+    yields no rows."""
     arr_type = T.ArrayType(_schema(item_schema))
     keys = F.json_object_keys(raw)
     first_list_key = F.get(F.filter(keys, lambda k: _first_char(_member(raw, k)) == "["), 0)
     first_list = _member(raw, first_list_key)
     single = F.array(F.from_json(raw, _schema(item_schema))) if wrap_object else F.array().cast(arr_type)
-    from_obj = F.when(first_list_key.isNotNull(), F.from_json(first_list, arr_type)).otherwise(single)
+    # json_object_keys is NULL for text that is not a valid object: no rows from it
+    from_obj = (F.when(keys.isNull(), F.lit(None).cast(arr_type))
+                 .when(first_list_key.isNotNull(), F.from_json(first_list, arr_type)).otherwise(single))
     return (F.when(_first_char(raw) == "[", F.from_json(raw, arr_type))
              .when(_first_char(raw) == "{", from_obj))
 

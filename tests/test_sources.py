@@ -102,3 +102,9 @@ def test_csv_corrupt_rows_kept(spark):
     rows = sorted(df.collect(), key=lambda r: (r.a is None, r.a))
     assert rows[0].a == 1 and rows[0]._bad is None
     assert rows[1].a is None and rows[1]._bad == "x,3.0"
+
+
+def test_json_malformed_and_empty_lists(spark):
+    docs = _docs(spark, '{"data": [}', '{"data": []}', 'not json at all', '{"data": [{"k": 9}]}')
+    rows = SJ.extract_root_rows(docs, "doc", "data", "k long", keep=["id"]).collect()
+    assert [(r.id, r.k) for r in rows] == [(3, 9)]
