@@ -820,8 +820,8 @@ def q_sink_table_append(spark, sf):
     name = _table_name(spark, "sales_copy")
     loc = scratch_path(spark, name)
     s = V.sales(spark, sf)
-    for _ in range(2):
-        s.write.mode("append").format("parquet").option("path", loc).saveAsTable(name)
+    for _ in range(2):      # stored bucketed by customer, as a reusable join input would be
+        ST.save_table(s, name, "append", bucket_by=(8, ["customer_id"]), path=loc)
     return spark.table(name)
 
 

@@ -10,16 +10,28 @@ from ..functions.exprs import qcol
 _MODES = {"append": "append", "replace": "overwrite", "fail": "errorifexists"}
 
 
-def save_table(df: DataFrame, table: str, if_exists: str = "append", jdbc: dict | None = None) -> None:
+def save_table(df: DataFrame, table: str, if_exists: str = "append", jdbc: dict | None = None,
+               bucket_by: tuple[int, list[str]] | None = None, path: str | None = None) -> None:
     """Append to / replace a catalog table, or — with ``jdbc`` options (url,
-    user, ...) — a table in an external database through Spark's JDBC writer."""
+    user, ...) — a table in an external database through Spark's JDBC writer.
+
+    ``bucket_by=(n, keys)`` stores the table hash-bucketed (and sorted) on
+    ``keys``: later joins / aggregations on those keys between tables bucketed
+    the same way read co-located data without a shuffle.  ``path`` makes it an
+    external table in shared storage."""
     mode = _MODES.get(if_exists, if_exists)
     if jdbc:
         opts = dict(jdbc)
         url = opts.pop("url")
         df.write.mode(mode).jdbc(url, table, properties=opts)
         return
-    df.write.mode(mode).format("parquet").saveAsTable(table)
+    w = df.write.mode(mode).format("parquet")
+    if path:
+        w = w.option("path", path)
+    if bucket_by:
+        n, keys = bucket_by
+        w = w.bucketBy(n, *keys).sortBy(*keys)
+    w.saveAsTable(table)
 
 
 def metrics_to_kv(metrics: DataFrame, columns: list[str] | None = None) -> DataFrame:

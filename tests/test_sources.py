@@ -108,3 +108,20 @@ def test_json_malformed_and_empty_lists(spark):
     docs = _docs(spark, '{"data": [}', '{"data": []}', 'not json at all', '{"data": [{"k": 9}]}')
     rows = SJ.extract_root_rows(docs, "doc", "data", "k long", keep=["id"]).collect()
     assert [(r.id, r.k) for r in rows] == [(3, 9)]
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    from ledgerflow.sources.tables import save_table
+    a = spark.range(2000).selectExpr("id % 97 AS customer_id", "id AS order_id")
+    b = spark.range(97).selectExpr("id AS customer_id", "CAST(id AS STRING) AS country")
+    save_table(a, "t_orders_b", "replace", bucket_by=(8, ["customer_id"]), path=scratch_path(spark, "ob"))
+    save_table(b, "t_cust_b", "replace", bucket_by=(8, ["customer_id"]), path=scratch_path(spark, "cb"))
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = spark.table("t_orders_b").join(spark.table("t_cust_b"), "customer_id")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert j.count() == 2000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
