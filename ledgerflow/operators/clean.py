@@ -66,18 +66,24 @@ def coerce_types(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def null_ratios(df: DataFrame) -> dict[str, float]:
-    """Share of missing values per column (NaN counts as missing), one pass.
-    Returns a small dict (one number per column) to the driver."""
-    if not df.columns:
-        return {}
-    exprs = []
+def null_counts(df: DataFrame) -> tuple[int, dict[str, int]]:
+    """Rows and missing values per column (NaN counts as missing), one pass;
+    one number per column reaches the driver."""
+    exprs = [F.count(F.lit(1)).alias("_n")]
     for f in df.schema.fields:
         c = qcol(f.name)
         miss = c.isNull() | F.isnan(c) if isinstance(f.dataType, (T.FloatType, T.DoubleType)) else c.isNull()
-        exprs.append(F.avg(miss.cast("double")).alias(f.name))
+        exprs.append(F.count_if(miss).alias(f.name))
     row = df.agg(*exprs).collect()[0]
-    return {k: (row[k] if row[k] is not None else 0.0) for k in df.columns}
+    return row["_n"], {c: row[c] for c in df.columns}
+
+
+def null_ratios(df: DataFrame) -> dict[str, float]:
+    """Share of missing values per column (NaN counts as missing)."""
+    if not df.columns:
+        return {}
+    n, miss = null_counts(df)
+    return {c: (miss[c] / n if n else 0.0) for c in df.columns}
 
 
 def drop_high_missing(df: DataFrame, threshold: float = 0.8) -> tuple[DataFrame, list[str]]:
@@ -118,13 +124,15 @@ def run_cleaning(df: DataFrame, cfg: dict | None = None) -> CleaningResult:
     typed = coerce_types(df)
     if cfg.get("cache", False):
         typed = typed.persist()
-    clean, dropped = drop_high_missing(typed, thr)
+    # one pass gives both the drop decision and the missing counts of the keys
+    n, nulls = null_counts(typed) if typed.columns else (0, {})
+    dropped = [c for c in typed.columns if n and nulls[c] / n > thr]
+    clean = typed.drop(*dropped) if dropped else typed
     keys = [c for c in KEY_COLUMNS if c in clean.columns]
     miss = missing_counts(clean, keys)
-    dup = duplicate_rows(clean).scalar()
-    row = clean.agg(*[F.count_if(qcol(c).isNull()).cast("long").alias(f"missing_{c}") for c in keys]) \
-        if keys else clean.agg(F.count(F.lit(1)).alias("_n")).drop("_n")
-    stats = row.select(dup.alias("sales_duplicates"), "*")
+    stats = duplicate_rows(clean).select(
+        F.col("duplicates").alias("sales_duplicates"),
+        *[F.lit(nulls[c]).cast("long").alias(f"missing_{c}") for c in keys])
     return CleaningResult(df=clean, dropped=dropped, stats=stats, missing=miss)
 
 
