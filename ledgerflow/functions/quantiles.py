@@ -35,6 +35,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .exprs import nan_to_null, qcol
 from .prefix import prefix_by_key
@@ -44,7 +45,9 @@ DEFAULT_MAX_DISTINCT = 2_000_000
 
 def quantile_table(df: DataFrame, cols: list[str], probs: list[float], by: str | None = None,
                    method: str = "auto", accuracy: int = 10_000,
-                   max_distinct: int = DEFAULT_MAX_DISTINCT) -> DataFrame:
+                   max_distinct: int = DEFAULT_MAX_DISTINCT, extra_aggs: list | None = None) -> DataFrame:
+    """``extra_aggs`` (whole-table ``refine`` only): further aggregate columns over
+    the same values, computed in the sketch pass and returned alongside."""
     vals = df.select(*([qcol(by).alias("_g")] if by else [F.lit(0).alias("_g")]),
                      *[nan_to_null(qcol(c).try_cast("double")).alias(c) for c in cols])
     if by:
@@ -54,7 +57,7 @@ def quantile_table(df: DataFrame, cols: list[str], probs: list[float], by: str |
     if method == "refine":
         if by:
             raise ValueError("refine computes whole-table quantiles; use sort or hash per group")
-        return _refined_quantiles(vals, cols, probs, accuracy)
+        return _refined_quantiles(vals, cols, probs, accuracy, extra_aggs=extra_aggs)
     if method == "auto":
         nd = vals.agg(*[F.approx_count_distinct(qcol(c), 0.05).alias(c) for c in cols]).collect()[0]
         method = "hash" if max(nd[c] or 0 for c in cols) <= max_distinct else "sort"
@@ -115,16 +118,26 @@ def _interp(counts: list[tuple[float, int]], below: int, n: int, p: float):
     return (hi - pos) * v_lo + (pos - lo) * v_hi
 
 
+def _literal(v, dt: T.DataType):
+    """A collected value back as a typed literal column (structs recursively)."""
+    if isinstance(dt, T.StructType):
+        return F.struct(*[_literal(None if v is None else v[f.name], f.dataType).alias(f.name) for f in dt.fields])
+    return F.lit(v).cast(dt)
+
+
 def _refined_quantiles(vals: DataFrame, cols: list[str], probs: list[float], accuracy: int,
-                       max_bracket: int = 100_000) -> DataFrame:
+                       max_bracket: int = 100_000, extra_aggs: list | None = None) -> DataFrame:
     spark = vals.sparkSession
     eps = 1.0 / accuracy
     edges = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-2 * eps, 2 * eps)})
     earr = F.array(*[F.lit(e) for e in edges])
     # pass 1: counts and the bracketing sketch quantiles (one row)
-    r1 = vals.agg(*[F.count(qcol(c)).alias(f"n{i}") for i, c in enumerate(cols)],
-                  *[F.percentile_approx(qcol(c), earr, accuracy).alias(f"a{i}") for i, c in enumerate(cols)]
-                  ).collect()[0]
+    p1 = vals.agg(*[F.count(qcol(c)).alias(f"n{i}") for i, c in enumerate(cols)],
+                  *[F.percentile_approx(qcol(c), earr, accuracy).alias(f"a{i}") for i, c in enumerate(cols)],
+                  *(extra_aggs or []))
+    r1 = p1.collect()[0]
+    extra = [_literal(r1[f.name], f.dataType).alias(f.name)
+             for f in p1.schema.fields[2 * len(cols):]]
     brackets = []                              # (k, column index, prob index, lo, hi)
     for i, c in enumerate(cols):
         if not r1[f"n{i}"]:
@@ -148,7 +161,7 @@ def _refined_quantiles(vals: DataFrame, cols: list[str], probs: list[float], acc
         cap = max_bracket * len(brackets)
         rows = cells.limit(cap + len(brackets) + 1).collect()
         if len(rows) > cap + len(brackets):    # very wide brackets (huge n): exact sort method
-            return quantile_table(vals.drop("_g"), cols, probs, method="sort")
+            return quantile_table(vals.drop("_g"), cols, probs, method="sort").select("*", *extra)
         below = {k: 0 for k, *_ in brackets}
         got: dict[int, list[tuple[float, int]]] = {k: [] for k, *_ in brackets}
         for row in rows:
@@ -159,7 +172,7 @@ def _refined_quantiles(vals: DataFrame, cols: list[str], probs: list[float], acc
         for k, i, j, _, _ in brackets:
             q = _interp(sorted(got[k]), below[k], r1[f"n{i}"], probs[j])
             if q is None:                      # sketch bound not met: exact fallback
-                return quantile_table(vals.drop("_g"), cols, probs, method="sort")
+                return quantile_table(vals.drop("_g"), cols, probs, method="sort").select("*", *extra)
             result[cols[i]][j] = q
     return spark.range(1).select(*[F.array(*[F.lit(v).cast("double") for v in result[c]]).alias(c)
-                                   for c in cols])
+                                   for c in cols], *extra)

@@ -46,7 +46,12 @@ def describe(df: DataFrame, columns: list[str] | None = None, exclude_ids: bool
         return df.sparkSession.createDataFrame(
             [], "column string, count long, mean double, std double, min double, q25 double, "
                 "q50 double, q75 double, max double")
-    qt = quantile_table(df, cols, _QS, method="approx" if accuracy else method, accuracy=accuracy or 10_000)
+    m = "approx" if accuracy else method
+    if m in ("auto", "refine"):
+        # exact whole-table quantiles: the moments ride along in the sketch pass
+        row = quantile_table(df, cols, _QS, method="refine", extra_aggs=_moments(cols))
+        return row.select(F.inline(F.array(*_describe_rows(cols, lambda c: qcol(c)))))
+    qt = quantile_table(df, cols, _QS, method=m, accuracy=accuracy or 10_000)
     row, q = bind_scalar(df.agg(*_moments(cols)), qt.select(F.struct(*[qcol(c) for c in cols])).scalar(), "_q")
     return row.select(F.inline(F.array(*_describe_rows(cols, lambda c: q.getField(c)))))
 
