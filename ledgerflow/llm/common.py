@@ -33,6 +33,12 @@ def utf8(name: str) -> Column:
     return F.coalesce(qcol(name).cast("string").cast("binary"), F.lit("").cast("binary"))
 
 
+def hash_share(name: str, rows: int, of: int) -> Column:
+    """Keeps about ``rows`` of ``of`` rows by the hash of a column, all of them where there are no more."""
+    share = min(1.0, rows / max(of, 1))
+    return F.pmod(F.xxhash64(F.lit("sample"), qcol(name)), F.lit(1 << 30)) < int(share * (1 << 30))
+
+
 def crc_mod(id_col: str, m: int) -> Column:
     """crc32 of the id written as text, modulo m (null for a null id)."""
     return F.crc32(qcol(id_col).cast("string").cast("binary")) % m

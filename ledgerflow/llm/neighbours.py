@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import qcol
 from ..session import cut_lineage
-from .common import groups, rows_of, table
+from .common import groups, hash_share, rows_of, table
 from .components import connected
 from .vector_graph import build, medoid, search
 
@@ -237,7 +237,7 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddin
     component of their own.  Vectors of different lengths link with nothing either.  Equal vectors are one
     vector with copies: each copy links with the others and with all that the vector links with.  Rows with a
     null id count as links; they name no component.  A repeated id is one more row with that id.  The index is
-    fitted on at most ``sample_rows`` vectors (smallest hashes) and holds all; recall is audited with
+    fitted on about ``sample_rows`` vectors at most (by hash of the row) and holds all; recall is audited with
     ``audit_queries`` vectors.  Other columns are ignored, whatever their names.
     """
     rows = cut_lineage(unit_vectors(df, id_col, vec_col).withColumn("row", F.monotonically_increasing_id())
@@ -266,7 +266,7 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddin
 def _links(vecs, least, max_shard, sample_rows, overlap, probes, beam, degree, audit_queries, aim):
     """(rep, others: linked rows besides copies) and forest edges (a, b) of distinct vectors of one length."""
     n = vecs.count()
-    picked = vecs.orderBy(F.xxhash64("rep")).limit(sample_rows).select("rep", "v").toArrow()
+    picked = vecs.where(hash_share("rep", sample_rows, n)).select("rep", "v").toArrow()
     sample = np.array(picked.column(1).combine_chunks().flatten().to_numpy()).reshape(picked.num_rows, -1)
     centre = centres(sample, picked.num_rows / max(n, 1), max_shard)
     members = cut_lineage(_memberships(vecs, centre, overlap))

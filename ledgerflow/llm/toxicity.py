@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import qcol
 from ..session import cut_lineage
-from .common import STEP, crc_mod, table, rows_of, utf8
+from .common import crc_mod, hash_share, rows_of, table, utf8
 
 #: A-Z in lower case, other ASCII that isn't a letter or digit is a space.
 WORDS = bytes(b if b >= 128 else ord(chr(b).lower()) if chr(b).isalnum() else 32 for b in range(256))
@@ -184,8 +184,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     """doc_id, held_out, score, predicted, n_words and passages of every row of ``docs``.
 
     Word weights are learned from labelled rows whose crc32(id) mod ``held_mod`` is not ``held_rem``: all of
-    them up to ``rows_per_class`` ids a class, beyond that those with the smallest hash of the id (a bounded,
-    documented sample).  The calibration uses all labelled training rows.  A document with several labels is
+    them up to ``rows_per_class`` ids a class, beyond that about so many by hash of the id (a bounded, documented
+    sample).  The calibration uses all labelled training rows.  A document with several labels is
     toxic if one says so; null labels are ignored.  Null and empty texts have no passage and get the score of
     no evidence.  Rows with a null id are scored, not learned from, and not held out.  With one class or no
     labels nothing can be learned: the score is the add-one share of toxic labels.
@@ -196,7 +196,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
              .where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max(F.least(F.greatest("toxic", F.lit(0)), F.lit(1))).alias("toxic"))
              .where(crc_mod("doc_id", held_mod) != held_rem))
     marks = cut_lineage(marks)
-    pick = [marks.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows_per_class) for y in (0, 1)]
+    n = {r["toxic"]: r["n"] for r in marks.groupBy("toxic").agg(F.count("*").alias("n")).collect()}      # two rows
+    pick = [marks.where(F.col("toxic") == y).where(hash_share("doc_id", rows_per_class, n.get(y, 0))) for y in (0, 1)]
     lexicon, drift = significant(cut_lineage(class_counts(src.join(F.broadcast(pick[0].union(pick[1])), "doc_id"))))
     lam = rate(lexicon, drift) if lexicon else 1.0
 
