@@ -55,7 +55,7 @@ def codewords(k: int) -> np.ndarray:
     """k codewords of 0/1: all splits of the languages in two up to 6 languages, else the best of random dense codes."""
     if k <= 6:
         cols = [[int(i in on) for i in range(k)] for r in range(1, k) for on in combinations(range(k), r) if 0 in on]
-        return np.array(cols, np.int8).T.reshape(k, -1)
+        return np.array(cols, np.int8).reshape(len(cols), k).T
     rng, best, far = np.random.default_rng(0), None, -1
     for _ in range(200):
         code = rng.integers(0, 2, (k, int(np.ceil(10 * np.log2(k)))), dtype=np.int8)
