@@ -31,6 +31,27 @@ def qcol(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+# Date formats tried in order.
+DEFAULT_DATE_FORMATS = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss",
+                        "yyyy-MM-dd HH:mm:ss.SSSSSS", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+                        "yyyy-MM-dd'T'HH:mm:ssXXX", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX", "yyyy/MM/dd", "yyyy/MM/dd HH:mm:ss")
+
+
+def to_datetime(c: Column, dtype: T.DataType, formats=DEFAULT_DATE_FORMATS) -> Column:
+    """Timestamp (no time zone) from a date, timestamp or text column; text that
+    matches none of ``formats`` becomes NULL."""
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return c.cast("timestamp_ntz")
+    s = F.trim(c.cast("string"))
+    parsed = F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in formats])
+    return parsed.cast("timestamp_ntz")
+
+
+def day_of(df: DataFrame, name: str) -> Column:
+    """Calendar day of a date, timestamp or text column; text that is no date gives NULL."""
+    return F.to_date(to_datetime(qcol(name), df.schema[name].dataType))
+
+
 def nan_to_null(c: Column) -> Column:
     """Spark keeps NaN distinct from NULL; the reference treats both as missing."""
     return F.nanvl(c, F.lit(None).cast("double"))
@@ -70,6 +91,11 @@ def split_flag(key: Column, seed: int = 42, test_fraction: float = 0.25) -> Colu
     return h < F.lit(bound)
 
 
+def row_key(df: DataFrame) -> Column:
+    """Text that is never NULL and tells different rows apart (equal rows share it)."""
+    return F.coalesce(F.to_json(F.struct(*[qcol(c) for c in df.columns])), F.lit(""))
+
+
 def bind_scalar(df: DataFrame, scalar: Column, name: str = "_st") -> tuple[DataFrame, Column]:
     """Attach a scalar subquery as one column and return a reference to it.
 

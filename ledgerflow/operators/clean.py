@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.exprs import bind_scalar, is_numeric, nan_to_null, numeric_columns, qcol
+from ..functions.exprs import DEFAULT_DATE_FORMATS, bind_scalar, is_numeric, nan_to_null, numeric_columns, qcol, to_datetime
 from ..functions.quantiles import quantile_table
 from .profile import duplicate_rows
 
@@ -23,33 +23,19 @@ from .profile import duplicate_rows
 ID_INT_COLUMNS = ("order_id", "customer_id")
 KEY_COLUMNS = ("order_id", "customer_id", "order_date", "amount", "country")
 
-# Date formats tried in order (the reference infers one format per column;
-# we accept an explicit list instead).
-DEFAULT_DATE_FORMATS = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss",
-                        "yyyy-MM-dd HH:mm:ss.SSSSSS", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-
-
 def to_integer(c: Column) -> Column:
     """Numeric coercion to BIGINT; text that is not a number, and fractional
     values, become NULL."""
+    # whole numbers as they are written: no way through DOUBLE, which holds 53 bits only
+    exact = c.cast("string").try_cast("bigint")
     d = nan_to_null(c.try_cast("double"))
-    return F.when(d == F.floor(d), d.try_cast("bigint"))
+    return F.coalesce(exact, F.when(d == F.floor(d), d.try_cast("bigint")))
 
 
 def to_double(c: Column) -> Column:
     return nan_to_null(c.try_cast("double"))
 
 
-def to_datetime(c: Column, dtype: T.DataType, formats=DEFAULT_DATE_FORMATS) -> Column:
-    """Timestamp (no time zone) from a date, timestamp or text column; text that
-    matches none of ``formats`` becomes NULL."""
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return c.cast("timestamp_ntz")
-    s = F.trim(c.cast("string"))
-    parsed = F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in formats])
-    return parsed.cast("timestamp_ntz")
-
-
 def coerce_types(df: DataFrame) -> DataFrame:
     """Ids -> BIGINT, amount -> DOUBLE, order_date -> timestamp; bad -> NULL."""
     types = {f.name: f.dataType for f in df.schema.fields}

@@ -26,22 +26,23 @@ def _categorical_columns(df: DataFrame, columns=None) -> list[str]:
     return [c for c in cols if c in df.columns and "date" not in c.lower() and "time" not in c.lower()]
 
 
-def distinct_values(df: DataFrame, cols: list[str], max_categories: int = 1000) -> dict[str, list]:
-    """Sorted distinct non-null values per column (one unpivot + distinct), after
-    checking that no column has more than ``max_categories``."""
+def distinct_values(df: DataFrame, cols: list[str], max_categories: int | None = None) -> dict[str, list]:
+    """Sorted distinct non-null values per column (one unpivot + distinct).  They
+    become columns, so they must come to the driver; with ``max_categories`` a
+    column that has more raises before they do."""
     if not cols:
         return {}
     pairs = F.array(*[F.struct(F.lit(c).alias("c"), qcol(c).cast("string").alias("v")) for c in cols])
     vals = df.select(F.inline(pairs)).where(F.col("v").isNotNull()).distinct()
     # one capped fetch: if more than cap·k pairs exist, some column must exceed
     # the cap (pigeonhole), so nothing beyond the bound is ever transferred
-    cap = max_categories * len(cols)
-    rows = vals.limit(cap + 1).collect()
+    cap = max_categories * len(cols) if max_categories is not None else None
+    rows = (vals if cap is None else vals.limit(cap + 1)).collect()
     out: dict[str, list] = {c: [] for c in cols}
     for r in rows:
         out[r["c"]].append(r["v"])
-    over = {c: len(v) for c, v in out.items() if len(v) > max_categories}
-    if over or len(rows) > cap:
+    over = {c: len(v) for c, v in out.items() if cap is not None and len(v) > max_categories}
+    if over or cap is not None and len(rows) > cap:
         raise TooManyCategories(f"too many categories to one-hot encode: {over or 'over the total cap'} "
                                 f"(cap {max_categories} per column)")
     return {c: sorted(v) for c, v in out.items()}
@@ -58,7 +59,7 @@ def _dummies(df: DataFrame, cats: dict[str, list], as_float: bool, sep: str = "_
     return df.select(*keep, *new)
 
 
-def one_hot(df: DataFrame, columns=None, max_categories: int = 1000) -> DataFrame:
+def one_hot(df: DataFrame, columns=None, max_categories: int | None = None) -> DataFrame:
     """Text columns (names containing "date"/"time" excluded) replaced by
     ``<col>_<value>`` columns of 0.0/1.0 in sorted value order; NULL -> all 0."""
     cols = _categorical_columns(df, columns)
@@ -75,7 +76,7 @@ def label_encode(df: DataFrame, columns=None) -> DataFrame:
     for c in cols:
         cats = out.select(qcol(c).cast("string").alias("_v")).where(F.col("_v").isNotNull()).distinct()
         codes = with_row_index(cats, ["_v"], "_code")
-        out = (out.join(codes, out[c].cast("string") == codes["_v"], "left")
+        out = (out.join(codes, qcol(c).cast("string") == F.col("_v"), "left")
                   .withColumn(c, F.coalesce(F.col("_code"), F.lit(-1)).cast("int"))
                   .drop("_v", "_code"))
     return out

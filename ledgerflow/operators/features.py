@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import ID_COLUMNS, bind_scalar, is_numeric, nan_to_null, qcol, split_flag
+from ..functions.exprs import ID_COLUMNS, bind_scalar, day_of, is_numeric, nan_to_null, qcol, row_key, split_flag
 from ..functions.quantiles import quantile_table
 from ..functions.prefix import prefix_by_key
 from .encode import distinct_values
@@ -23,7 +23,7 @@ def calendar_features(df: DataFrame, date_col: str = "order_date") -> DataFrame:
     """dow (Monday = 0), month, is_weekend (dow >= 5); missing dates -> 0."""
     if date_col not in df.columns:
         return df
-    d = F.to_date(qcol(date_col))
+    d = day_of(df, date_col)
     dow = F.weekday(d)
     return df.select("*", F.coalesce(dow, F.lit(0)).cast("long").alias("dow"),
                      F.coalesce(F.month(d), F.lit(0)).cast("long").alias("month"),
@@ -31,7 +31,7 @@ def calendar_features(df: DataFrame, date_col: str = "order_date") -> DataFrame:
 
 
 def source_dummies(df: DataFrame, source_col: str = "source", prefix: str = "src",
-                   max_categories: int = 1000) -> DataFrame:
+                   max_categories: int | None = None) -> DataFrame:
     """``src_<value>`` boolean columns (sorted values) replacing the source column."""
     if source_col not in df.columns:
         return df
@@ -93,21 +93,25 @@ def select_numeric(df: DataFrame, drop: list[str]) -> tuple[DataFrame, list[str]
     return df.select(*[F.coalesce(nan_to_null(qcol(c).cast("double")), F.lit(0.0)).alias(c) for c in cols]), cols
 
 
-def split(df: DataFrame, key: str, seed: int = 42, test_fraction: float = 0.25, flag: str = "is_test") -> DataFrame:
+def split(df: DataFrame, key: str | None, seed: int = 42, test_fraction: float = 0.25, flag: str = "is_test") -> DataFrame:
     """Deterministic hash split (depends on the key only, so it is the
-    same under any partitioning and re-computation)."""
-    return df.withColumn(flag, split_flag(qcol(key), seed, test_fraction))
+    same under any partitioning and re-computation).  A NULL key, or ``key`` None,
+    is replaced by the whole row, so that every row is in one of the parts."""
+    k = F.coalesce(qcol(key).cast("string"), row_key(df)) if key else row_key(df)
+    return df.withColumn(flag, split_flag(k, seed, test_fraction))
 
 
-def split_stratified(df: DataFrame, label: str, key: str, seed: int = 42, test_fraction: float = 0.25,
+def split_stratified(df: DataFrame, label: str, key: str | None, seed: int = 42, test_fraction: float = 0.25,
                      flag: str = "is_test") -> DataFrame:
     """F8: exact per-class split.  Within each class the rows are ranked by the
     same md5 hash as ``split`` (then by key) and the first ceil(fraction · n_class)
     are held out.  Rank and class size both come from the skew-safe prefix count
-    (a class is one huge group); no join on the label."""
-    h = F.substring(F.md5(F.concat(F.lit(str(seed)), qcol(key).cast("string"))), 1, 8)
+    (a class is one huge group); no join on the label.  A NULL key, or ``key`` None,
+    is replaced by the whole row."""
+    k = F.coalesce(qcol(key).cast("string"), row_key(df)) if key else row_key(df)
+    h = F.substring(F.md5(F.concat(F.lit(str(seed)), k)), 1, 8)
     x = df.withColumn("_h", h).withColumn("_lbl", qcol(label))
-    ranked = prefix_by_key(x, "_lbl", ["_h", key])      # also gives the class size (_key_n)
+    ranked = prefix_by_key(x, "_lbl", ["_h", key] if key else ["_h"])      # also gives the class size (_key_n)
     held = F.col("_prev_n") < F.ceil(F.lit(test_fraction) * F.col("_key_n"))
     return ranked.select(*[qcol(c) for c in df.columns], F.coalesce(held, F.lit(False)).alias(flag))
 

@@ -12,8 +12,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.exprs import qcol
+from ..functions.exprs import is_numeric, qcol
 from ..functions.rows import with_row_index
 
 log = logging.getLogger(__name__)
@@ -62,6 +63,15 @@ def union_sources(parts: list[DataFrame]) -> DataFrame | None:
     parts = [p for p in parts if p is not None and p.columns]
     if not parts:
         return None
+    # a column that is text here and a date or number there is stacked as text; cleaning coerces it
+    types: dict[str, list] = {}
+    for p in parts:
+        for f in p.schema.fields:
+            types.setdefault(f.name, []).append(f.dataType)
+    mixed = {c for c, ts in types.items()
+             if len({t.simpleString() for t in ts}) > 1 and not all(is_numeric(t) for t in ts)
+             and any(isinstance(t, T.StringType) or is_numeric(t) for t in ts)}
+    parts = [p.withColumns({c: qcol(c).cast("string") for c in p.columns if c in mixed}) if mixed else p for p in parts]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 

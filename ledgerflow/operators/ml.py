@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import bin_edges, bin_index, bind_scalar, qcol
 from ..functions.prefix import prefix_by_key
-from .features import classification_target, numeric_feature_columns, split
+from ..session import cut_lineage
+from .features import classification_target, numeric_feature_columns, split, split_stratified
 from .report import _histogram_of
 
 log = logging.getLogger(__name__)
@@ -220,11 +221,14 @@ def run_ml(features: DataFrame, cfg: dict, models_dir: str | None = None) -> dic
         try:
             x, y = classification_target(features, ccfg.get("target"), float(ccfg.get("threshold_q", 0.8)))
             feats = numeric_feature_columns(x, drop=[y, "amount"])
+            if ccfg.get("stratify", True):              # the same share of either class is held out
+                x = cut_lineage(split_stratified(x.drop("is_test"), y, "order_id" if "order_id" in x.columns else None))
             train, test = x.where(~F.col("is_test")), x.where(F.col("is_test"))
             model = train_logreg(train, feats, y, tol=float(ccfg.get("tol", 1e-6)))
             scored = score_logreg(model, test, feats)
             n_train = train.agg(F.count(F.lit(1))).scalar()
-            m = classification_metrics(scored, y).select("*", F.lit(y).alias("target"), n_train.alias("n_train"))
+            m = classification_metrics(scored, y).select("*", F.lit(y).alias("target"), n_train.alias("n_train"),
+                                                               roc_auc(scored, y).scalar().alias("roc_auc"))
             result["metrics"]["classification"] = m
             result["tables"].update({"clf_confusion": confusion_matrix(scored, y), "clf_roc": roc_curve(scored, y),
                                      "clf_pr": pr_curve(scored, y), "clf_auc": roc_auc(scored, y),

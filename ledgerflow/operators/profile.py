@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import ID_COLUMNS, bind_scalar, nan_to_null, numeric_columns, qcol, safe_pearson
+from ..functions.exprs import ID_COLUMNS, bind_scalar, day_of, nan_to_null, numeric_columns, qcol, safe_pearson
 from ..functions.quantiles import quantile_table
 
 _QS = [0.25, 0.5, 0.75]
@@ -72,7 +72,7 @@ def describe_by(df: DataFrame, by: str = "source", columns: list[str] | None = N
 
 def date_range(df: DataFrame, date_col: str = "order_date") -> DataFrame:
     """First and last date."""
-    d = F.to_date(qcol(date_col))
+    d = day_of(df, date_col)
     return df.agg(F.min(d).alias("date_min"), F.max(d).alias("date_max"))
 
 

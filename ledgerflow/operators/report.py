@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import ID_COLUMNS, bin_edges, bin_index, bind_scalar, nan_to_null, numeric_columns, qcol
+from ..functions.exprs import ID_COLUMNS, bin_edges, bin_index, bind_scalar, day_of, nan_to_null, numeric_columns, qcol
 from ..functions.quantiles import quantile_table
 
 
@@ -82,7 +82,9 @@ def box_stats(df: DataFrame, column: str = "amount", by: str | None = "source",
         F.min(F.when(inside, F.col("x"))).alias("whisker_lo"),
         F.max(F.when(inside, F.col("x"))).alias("whisker_hi"),
         F.count(F.when(~inside, F.lit(1))).cast("long").alias("n_outliers"))
-    out = q.join(wsk, "grp")
+    # a whisker never ends inside the box
+    out = (q.join(wsk, "grp").withColumn("whisker_lo", F.least("whisker_lo", "q1"))
+           .withColumn("whisker_hi", F.greatest("whisker_hi", "q3")))
     grp = F.col("grp") if has_by else F.lit(None).cast("string")
     return out.select(grp.alias(by or "group"), F.col("n").cast("long").alias("n"), "q1", "median", "q3",
                       "whisker_lo", "whisker_hi", "n_outliers")
@@ -90,7 +92,7 @@ def box_stats(df: DataFrame, column: str = "amount", by: str | None = "source",
 
 def orders_per_day(df: DataFrame, date_col: str = "order_date") -> DataFrame:
     """Orders per calendar day (null dates dropped); days without orders are absent."""
-    d = F.to_date(qcol(date_col)).alias("day")
+    d = day_of(df, date_col).alias("day")
     return (df.select(d).where(F.col("day").isNotNull())
               .groupBy("day").agg(F.count(F.lit(1)).alias("orders")))
 
@@ -108,7 +110,7 @@ def customer_totals(df: DataFrame, id_col: str = "customer_id") -> DataFrame:
 
 
 def _month(date_col: str) -> Column:
-    return F.trunc(F.to_date(qcol(date_col)), "month")
+    return F.trunc(day_of(df, date_col), "month")
 
 
 def monthly_revenue(df: DataFrame, date_col: str = "order_date", amount_col: str = "amount") -> DataFrame:
@@ -155,7 +157,7 @@ def cumulative_revenue_by_source(df: DataFrame, date_col: str = "order_date", am
     Aggregated to (source, day) first; the window then sees one row per day."""
     if source_col not in df.columns:
         return None
-    base = df.select(F.to_date(qcol(date_col)).alias("day"), qcol(source_col).alias("source"),
+    base = df.select(day_of(df, date_col).alias("day"), qcol(source_col).alias("source"),
                      nan_to_null(qcol(amount_col)).alias("amount"))
     daily = (base.where(F.col("day").isNotNull() & F.col("amount").isNotNull() & F.col("source").isNotNull())
                  .groupBy("source", "day").agg(F.sum("amount").alias("revenue")))

@@ -12,14 +12,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import bind_scalar, nan_to_null, qcol
+from ..functions.exprs import bind_scalar, day_of, nan_to_null, qcol
 from ..session import cut_lineage
 
 
 def daily_dense(df: DataFrame, date_col: str = "order_date", value_col: str = "amount") -> DataFrame:
     """Daily sums over rows with a date and a value, densified over the
     min..max calendar with 0.0 for days without rows.  Columns (day, value)."""
-    base = df.select(F.to_date(qcol(date_col)).alias("day"), nan_to_null(qcol(value_col).cast("double")).alias("v"))
+    base = df.select(day_of(df, date_col).alias("day"), nan_to_null(qcol(value_col).cast("double")).alias("v"))
     daily = (base.where(F.col("day").isNotNull() & F.col("v").isNotNull())
                  .groupBy("day").agg(F.sum("v").alias("value")))
     cal = daily.agg(F.min("day").alias("lo"), F.max("day").alias("hi")) \

@@ -41,8 +41,7 @@ def run_pipeline(spark: SparkSession, cfg: dict) -> dict:
         clean = cut_lineage(clean)
     ml_result = {"metrics": {}, "tables": {}, "models": {}}
     if (cfg.get("ml") or {}).get("enabled", False):
-        feats = FE.build_features(FE.split(clean, "order_id") if "order_id" in clean.columns
-                                  else clean.withColumn("is_test", F.lit(False)))
+        feats = FE.build_features(FE.split(clean, "order_id" if "order_id" in clean.columns else None))
         ml_result = ML.run_ml(feats, cfg, paths.get("models"))
     tables = run_reporting(sales, clean, cfg, ml_result["tables"])
     return {"sales": sales, "users": users, "products": products, "clean": clean,

@@ -795,13 +795,13 @@ tot AS (SELECT endpoint, count(*) AS total FROM e GROUP BY endpoint),
 p AS (SELECT endpoint, page_no, count(*) AS n FROM e GROUP BY endpoint, page_no),
 c AS (SELECT p.*, total, sum(n) OVER (PARTITION BY p.endpoint ORDER BY page_no
              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum
-      FROM p JOIN tot ON p.endpoint = tot.endpoint WHERE page_no < 1000),
+      FROM p JOIN tot ON p.endpoint = tot.endpoint),
 s AS (SELECT endpoint, min(CASE WHEN n < 12 OR cum >= total THEN page_no END) AS stop FROM c GROUP BY endpoint)
 SELECT e.endpoint, e.page_no, event_id, value FROM e JOIN s ON e.endpoint = s.endpoint
-WHERE e.page_no < 1000 AND (s.stop IS NULL OR e.page_no <= s.stop)"""))
+WHERE (s.stop IS NULL OR e.page_no <= s.stop)"""))
 def q_json_pages_assemble(spark, sf):
     out = SJ.assemble_pages(_landed_pages(spark, sf), "doc", "page_no", "event_id BIGINT, value DOUBLE",
-                            root="data", key_cols=["endpoint"], limit=12, max_pages=1000, total_path="total")
+                            root="data", key_cols=["endpoint"], limit=12, max_pages=None, total_path="total")
     return out.drop("pos")
 
 

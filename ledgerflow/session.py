@@ -19,8 +19,6 @@ _DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # local runs only: the driver JVM is the executor (ignored once a JVM exists)
-    "spark.driver.memory": "16g",
 }
 
 
@@ -33,6 +31,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     conf = dict(_DEFAULT_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if (master or "").startswith("local"):     # the driver JVM is the executor (ignored once a JVM exists)
+        conf["spark.driver.memory"] = "16g"
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -45,11 +45,14 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written tables.
 
     Read from ``spark.checkpoint.dir`` (the cluster's setting).  Only when it is
-    unset — local runs and tests — a fresh folder is created and registered.
+    unset in a local run a fresh folder is created and registered; on a cluster
+    that is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
+    if not d and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="ledgerflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)

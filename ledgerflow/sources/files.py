@@ -31,12 +31,13 @@ TYPED_TABLES = {
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
              corrupt_column: str | None = None, **options) -> DataFrame:
     """Header row, explicit or inferred types, extra reader options passed
-    through; a missing path raises ``FileNotFoundError`` up front.  Malformed rows
+    through (``multiLine=True`` for line breaks in quotes: such a file is one task); a quote
+    inside quotes is doubled; a missing path raises ``FileNotFoundError`` up front.  Malformed rows
     become NULLs (PERMISSIVE); with an explicit schema and ``corrupt_column`` the
     raw text of such rows is kept in that column instead of failing the job."""
     if not path_exists(spark, path):
         raise FileNotFoundError(f"CSV not found: {path}")
-    opts = {"header": "true", "mode": "PERMISSIVE"}
+    opts = {"header": "true", "mode": "PERMISSIVE", "quote": '"', "escape": '"'}
     opts.update({k: str(v) for k, v in options.items()})
     reader = spark.read.options(**opts)
     if schema is not None:
@@ -51,7 +52,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    df.write.mode(mode).option("header", "true").csv(path)
+    df.write.mode(mode).option("header", "true").option("quote", '"').option("escape", '"').csv(path)
     return path
 
 

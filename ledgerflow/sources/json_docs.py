@@ -27,10 +27,13 @@ def _json_path(root: str) -> str:
 
 def root_value(doc: Column, root: str | None) -> Column:
     """The JSON text at the dotted ``root`` path; the whole document when the path
-    is missing (or not given)."""
+    is missing (or not given); NULL when the path is there and holds a JSON null."""
     if not root:
         return doc
-    return F.coalesce(F.get_json_object(doc, _json_path(root)), doc)
+    *above, last = root.split(".")
+    parent = F.get_json_object(doc, _json_path(".".join(above))) if above else doc
+    there = F.array_contains(F.json_object_keys(parent), F.lit(last))
+    return F.coalesce(F.get_json_object(doc, _json_path(root)), F.when(~F.coalesce(there, F.lit(False)), doc))
 
 
 def _member(raw: Column, key: Column) -> Column:
@@ -44,7 +47,7 @@ def _first_char(c: Column) -> Column:
 
 def items_of(raw: Column, item_schema: T.StructType | str, wrap_object: bool = True) -> Column:
     """Array of items from a JSON value: a list is the rows; an object yields its
-    first list-valued member; an object without one is a single row when
+    first list-valued member; an object without one, or with an empty one, is a single row when
     ``wrap_object`` (the paged reader appends nothing for it).  Malformed text
     yields no rows."""
     arr_type = T.ArrayType(_schema(item_schema))
@@ -54,7 +57,7 @@ def items_of(raw: Column, item_schema: T.StructType | str, wrap_object: bool = T
     single = F.array(F.from_json(raw, _schema(item_schema))) if wrap_object else F.array().cast(arr_type)
     # json_object_keys is NULL for text that is not a valid object: no rows from it
     from_obj = (F.when(keys.isNull(), F.lit(None).cast(arr_type))
-                 .when(first_list_key.isNotNull(), F.from_json(first_list, arr_type)).otherwise(single))
+                 .when(F.size(F.from_json(first_list, arr_type)) > 0, F.from_json(first_list, arr_type)).otherwise(single))
     return (F.when(_first_char(raw) == "[", F.from_json(raw, arr_type))
              .when(_first_char(raw) == "{", from_obj))
 
@@ -95,14 +98,14 @@ def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
 
 def assemble_pages(pages: DataFrame, doc_col: str, page_col: str, item_schema: T.StructType | str,
                    root: str | None = None, key_cols: list[str] | None = None, limit: int = 100,
-                   max_pages: int = 100, total_path: str | None = None) -> DataFrame:
+                   max_pages: int | None = 100, total_path: str | None = None) -> DataFrame:
     """Assemble paged responses that were landed one page per row.
 
     Per stream (``key_cols``), pages are taken in page order and kept up to and
     including the first page that stops the reader: a page with fewer than
     ``limit`` items, or the running item count reaching the response's total
-    (``total_path``), and never beyond ``max_pages``.  The running count is a
-    window over page-level rows (at most ``max_pages`` per stream); the stop page
+    (``total_path``), and never more than ``max_pages`` pages (None: no bound).  The running count is a
+    window over page-level rows; the stop page
     is an aggregate; the items are exploded only for the pages kept.
     """
     keys = [qcol(c) for c in (key_cols or [])]
@@ -112,7 +115,6 @@ def assemble_pages(pages: DataFrame, doc_col: str, page_col: str, item_schema: T
                         items_of(raw, item_schema, wrap_object=False).alias("_items"),
                         (F.get_json_object(doc, _json_path(total_path)).try_cast("long")
                          if total_path else F.lit(None).cast("long")).alias("_total"))
-    page = page.where(F.col("_page") < max_pages)
     info = page.select(*[F.col(c) for c in (key_cols or [])], "_page", "_total",
                        F.coalesce(F.size("_items"), F.lit(0)).alias("_n"))
     w = Window.partitionBy(*[F.col(c) for c in (key_cols or [])]).orderBy("_page") \
@@ -121,7 +123,10 @@ def assemble_pages(pages: DataFrame, doc_col: str, page_col: str, item_schema: T
     # a page stops the reader by its extracted row count, whatever the root's shape
     stop = (F.col("_n") < limit) | \
            (F.col("_total").isNotNull() & (F.col("_total") > 0) & (F.col("_cum") >= F.col("_total")))
-    first_stop = info.groupBy(*(key_cols or [])).agg(F.min(F.when(stop, F.col("_page"))).alias("_stop"))
+    if max_pages is not None:                           # by rank: streams may be numbered from any page
+        stop = stop | (F.row_number().over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) >= max_pages)
+    info = info.withColumn("_stops", stop)
+    first_stop = info.groupBy(*(key_cols or [])).agg(F.min(F.when(F.col("_stops"), F.col("_page"))).alias("_stop"))
     if key_cols:
         kept = page.join(first_stop, key_cols, "inner")
     else:  # a single stream: the stop page is one value
