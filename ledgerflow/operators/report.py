@@ -109,20 +109,20 @@ def customer_totals(df: DataFrame, id_col: str = "customer_id") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(qcol(id_col)).alias("n_customers"))
 
 
-def _month(date_col: str) -> Column:
+def _month(df: DataFrame, date_col: str) -> Column:
     return F.trunc(day_of(df, date_col), "month")
 
 
 def monthly_revenue(df: DataFrame, date_col: str = "order_date", amount_col: str = "amount") -> DataFrame:
     """Revenue per month over rows with both a date and an amount."""
-    base = df.select(_month(date_col).alias("month"), nan_to_null(qcol(amount_col)).alias("amount"))
+    base = df.select(_month(df, date_col).alias("month"), nan_to_null(qcol(amount_col)).alias("amount"))
     return (base.where(F.col("month").isNotNull() & F.col("amount").isNotNull())
                 .groupBy("month").agg(F.sum("amount").alias("revenue"), F.count(F.lit(1)).alias("orders")))
 
 
 def monthly_revenue_header(df: DataFrame, date_col: str = "order_date", amount_col: str = "amount") -> DataFrame:
     """R7 header facts: rows with a date and an amount, first and last month."""
-    base = df.select(_month(date_col).alias("month"), nan_to_null(qcol(amount_col)).alias("amount"))
+    base = df.select(_month(df, date_col).alias("month"), nan_to_null(qcol(amount_col)).alias("amount"))
     ok = base.where(F.col("month").isNotNull() & F.col("amount").isNotNull())
     return ok.agg(F.count(F.lit(1)).alias("n"), F.min("month").alias("month_first"),
                   F.max("month").alias("month_last"))
@@ -134,7 +134,7 @@ def monthly_revenue_by_source(df: DataFrame, date_col: str = "order_date", amoun
     ``None`` when the frame has no source column (no chart in the reference)."""
     if source_col not in df.columns:
         return None
-    base = df.select(_month(date_col).alias("month"), qcol(source_col).alias("source"),
+    base = df.select(_month(df, date_col).alias("month"), qcol(source_col).alias("source"),
                      nan_to_null(qcol(amount_col)).alias("amount"))
     return (base.where(F.col("month").isNotNull() & F.col("amount").isNotNull() & F.col("source").isNotNull())
                 .groupBy("month", "source").agg(F.sum("amount").alias("revenue")))

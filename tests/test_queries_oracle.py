@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from ledgerflow import registry
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "embeddings"]
@@ -43,7 +44,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(k for k in E.queries() if k not in SLOW))
+@pytest.mark.parametrize("name", sorted(k for k in registry.QUERIES if k not in SLOW))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     rows, cols = df.collect(), df.columns
