@@ -1,29 +1,24 @@
-"""Quantiles that stay exact at any scale.
+"""Exact quantiles by one plan, whole-table and grouped, at any size.
 
 numpy/pandas "linear" quantiles: position = p·(n − 1) in the sorted non-null
 values, interpolated between the neighbouring ranks.
 
 Methods
-- ``hash``:   Spark's ``percentile`` aggregate.  Exact, but its final merge keeps
-              a value→count map of the whole group in one task: memory grows with
-              the group's distinct values.
-- ``sort``:   exact and bounded per task.  Values are ranked within their group
-              by the skew-safe prefix count (range-partitioned sort; a hot group
-              is split across tasks), the wanted ranks are a tiny table
-              (groups × probabilities), and two equi-joins fetch the neighbours.
-- ``refine``: exact, for whole-table quantiles.  A ``percentile_approx`` sketch
-              (rank error at most n/accuracy, a deterministic bound) brackets
-              each target rank; a second pass counts the values below each
-              bracket and fetches the distinct values inside it with their
-              counts (at most ``max_bracket`` each); the exact neighbours are
-              picked by rank.  Two scans, no shuffle of rows, no single-task
-              value map.  A bracket
-              that is too wide (very large n) falls back to ``sort``.
+- ``auto`` (= ``narrow``): the first scan sketches every group with
+              ``percentile_approx``.  Each wanted rank gets an open bracket of two
+              neighbouring sketch values; the next scan counts the rows below, at
+              and between its ends and sketches the inside again.  A scan shrinks
+              the bracket some 250-fold, whatever the values' distribution, and a
+              sketch over few values is exact, so 10^5 rows take two scans and
+              10^11 rows four.  Every scan is one map-side combined aggregation
+              by group: no rows are shuffled, a hot group is split like any
+              other, and only one row per group reaches the driver.
+- ``sort``:   values are ranked within their group by the skew-safe prefix count
+              (range-partitioned sort), and two equi-joins fetch the neighbours.
+              Nothing reaches the driver: the choice for keys with an unbounded
+              number of groups.
+- ``hash``:   Spark's ``percentile`` aggregate; a value→count map per group.
 - ``approx``: ``percentile_approx`` with the given accuracy.
-- ``auto``:   whole-table quantiles use ``refine``; grouped ones do one
-              HyperLogLog pass and use ``hash`` when every column has at most
-              ``max_distinct`` distinct values (so the map provably fits),
-              otherwise ``sort``.
 
 Result: one row per group (a single row without ``by``) holding, per column, an
 ``array<double>`` of the quantiles in ``probs`` order.
@@ -31,38 +26,32 @@ Result: one row per group (a single row without ``by``) holding, per column, an
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .exprs import nan_to_null, qcol
+from .exprs import bind_scalar, nan_to_null, qcol
 from .prefix import prefix_by_key
 
-DEFAULT_MAX_DISTINCT = 2_000_000
+#: Points of a bracket's sketch, and the sketch's accuracy (far finer than its points).
+GRID, SKETCH = 1000, 10_000
 
 
 def quantile_table(df: DataFrame, cols: list[str], probs: list[float], by: str | None = None,
-                   method: str = "auto", accuracy: int = 10_000,
-                   max_distinct: int = DEFAULT_MAX_DISTINCT, extra_aggs: list | None = None) -> DataFrame:
-    """``extra_aggs`` (whole-table ``refine`` only): further aggregate columns over
-    the same values, computed in the sketch pass and returned alongside."""
+                   method: str = "auto", accuracy: int = 10_000, extra_aggs: list | None = None) -> DataFrame:
+    """``extra_aggs`` (``auto`` only): further aggregate columns over the same
+    values and groups, computed in the first scan and returned alongside."""
     vals = df.select(*([qcol(by).alias("_g")] if by else [F.lit(0).alias("_g")]),
                      *[nan_to_null(qcol(c).try_cast("double")).alias(c) for c in cols])
     if by:
         vals = vals.where(F.col("_g").isNotNull())
-    if method == "auto" and not by:
-        method = "refine"
-    if method == "refine":
-        if by:
-            raise ValueError("refine computes whole-table quantiles; use sort or hash per group")
-        return _refined_quantiles(vals, cols, probs, accuracy, extra_aggs=extra_aggs)
-    if method == "auto":
-        nd = vals.agg(*[F.approx_count_distinct(qcol(c), 0.05).alias(c) for c in cols]).collect()[0]
-        method = "hash" if max(nd[c] or 0 for c in cols) <= max_distinct else "sort"
-    parr = F.array(*[F.lit(float(p)) for p in probs])
-    if method in ("hash", "approx"):
+    if method in ("auto", "narrow"):
+        out = _narrowed_quantiles(vals, cols, probs, bool(by), extra_aggs or [])
+    elif method in ("hash", "approx"):
+        parr = F.array(*[F.lit(float(p)) for p in probs])
         f = (lambda x: F.percentile_approx(x, parr, accuracy)) if method == "approx" else \
             (lambda x: F.percentile(x, parr))
         out = vals.groupBy("_g").agg(*[f(qcol(c)).alias(c) for c in cols])
@@ -93,86 +82,127 @@ def _sorted_quantiles(vals: DataFrame, c: str, probs: list[float]) -> DataFrame:
     return per.select("_g", F.transform("_a", lambda s: s["_q"]).alias(c))
 
 
-def _interp(counts: list[tuple[float, int]], below: int, n: int, p: float):
-    """Exact linear quantile from a bracket given as sorted (value, count) pairs
-    and the number of values below it; None when the bracket does not hold both
-    neighbouring ranks."""
-    pos = p * (n - 1)
-    lo, hi = int(pos // 1), int(-(-pos // 1))
+@dataclass(frozen=True)
+class Bracket:
+    """The values strictly between two ends (None: unbounded)."""
 
-    def at(rank):
-        r = rank - below
-        if r < 0:
-            return None
-        for v, c in counts:
-            if r < c:
-                return v
-            r -= c
-        return None
+    lo: float | None
+    hi: float | None
+
+
+@dataclass
+class Inside:
+    """What a scan found inside a bracket: rows up to its lower end, rows inside, their sketch."""
+
+    upto: int
+    m: int
+    grid: list[float]
+
+    def exact(self) -> bool:
+        return self.m <= GRID // 2           # the sketch then holds every value, and the grid shows each
 
-    v_lo, v_hi = at(lo), at(hi)
-    if v_lo is None or v_hi is None:
-        return None
-    if lo == hi:
-        return v_lo
-    return (hi - pos) * v_lo + (pos - lo) * v_hi
+    def value(self, rank: int) -> float:
+        """The value at a rank of the whole group, if ``exact``."""
+        return self.grid[(rank - self.upto) * GRID // self.m]
 
+    def around(self, rank: int, outer: Bracket) -> Bracket:
+        """Two sketch values with the rank between them, or the ends of ``outer``."""
+        r = rank - self.upto
+        a, b = r * GRID // self.m - 2, -(-(r + 1) * GRID // self.m)
+        return Bracket(outer.lo if a < 0 else self.grid[a], outer.hi if b >= GRID else self.grid[b])
 
-def _literal(v, dt: T.DataType):
-    """A collected value back as a typed literal column (structs recursively)."""
-    if isinstance(dt, T.StructType):
-        return F.struct(*[_literal(None if v is None else v[f.name], f.dataType).alias(f.name) for f in dt.fields])
-    return F.lit(v).cast(dt)
 
+def _grid_sketch(x: Column) -> Column:
+    points = F.expr("array(" + ", ".join(f"{k / GRID}D" for k in range(1, GRID + 1)) + ")")
+    return F.percentile_approx(x, points, SKETCH)
 
-def _refined_quantiles(vals: DataFrame, cols: list[str], probs: list[float], accuracy: int,
-                       max_bracket: int = 100_000, extra_aggs: list | None = None) -> DataFrame:
+
+def _narrowed_quantiles(vals: DataFrame, cols: list[str], probs: list[float], grouped: bool, extra_aggs: list) -> DataFrame:
     spark = vals.sparkSession
-    eps = 1.0 / accuracy
-    edges = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-2 * eps, 2 * eps)})
-    earr = F.array(*[F.lit(e) for e in edges])
-    # pass 1: counts and the bracketing sketch quantiles (one row)
-    p1 = vals.agg(*[F.count(qcol(c)).alias(f"n{i}") for i, c in enumerate(cols)],
-                  *[F.percentile_approx(qcol(c), earr, accuracy).alias(f"a{i}") for i, c in enumerate(cols)],
-                  *(extra_aggs or []))
-    r1 = p1.collect()[0]
-    extra = [_literal(r1[f.name], f.dataType).alias(f.name)
-             for f in p1.schema.fields[2 * len(cols):]]
-    brackets = []                              # (k, column index, prob index, lo, hi)
-    for i, c in enumerate(cols):
-        if not r1[f"n{i}"]:
-            continue
-        at = dict(zip(edges, r1[f"a{i}"]))
-        for j, p in enumerate(probs):
-            brackets.append((len(brackets), i, j, at[min(1.0, max(0.0, p - 2 * eps))],
-                             at[min(1.0, max(0.0, p + 2 * eps))]))
-    result = {c: [None] * len(probs) for c in cols}
-    if brackets:
-        # pass 2 (one scan): for each bracket k, a row below it counts into the
-        # (k, NULL) group and a row inside it into (k, value); rows above emit
-        # nothing.  Ties collapse; the fetch is capped.
-        hits = []
-        for k, i, _, lo, hi in brackets:
-            x = qcol(cols[i])
-            hits.append(F.when(x < lo, F.struct(F.lit(k).alias("k"), F.lit(None).cast("double").alias("v")))
-                         .when(x.between(lo, hi), F.struct(F.lit(k).alias("k"), x.alias("v"))))
-        cells = (vals.select(F.inline(F.array(*hits))).where(F.col("k").isNotNull())
-                     .groupBy("k", "v").agg(F.count(F.lit(1)).alias("c")))
-        cap = max_bracket * len(brackets)
-        rows = cells.limit(cap + len(brackets) + 1).collect()
-        if len(rows) > cap + len(brackets):    # very wide brackets (huge n): exact sort method
-            return quantile_table(vals.drop("_g"), cols, probs, method="sort").select("*", *extra)
-        below = {k: 0 for k, *_ in brackets}
-        got: dict[int, list[tuple[float, int]]] = {k: [] for k, *_ in brackets}
-        for row in rows:
-            if row["v"] is None:
-                below[row["k"]] = row["c"]
+
+    def scan(df: DataFrame, aggs: list[Column]) -> DataFrame:
+        return df.groupBy("_g").agg(*aggs) if grouped else df.agg(F.lit(0).alias("_g"), *aggs)
+
+    first = scan(vals, [a for i, c in enumerate(cols) for a in
+                        (F.count(qcol(c)).alias(f"_n{i}"), _grid_sketch(qcol(c)).alias(f"_s{i}"))] + extra_aggs)
+    rows = first.collect()                   # one row per group
+    sizes: dict[tuple, int] = {}             # (group, column) -> rows
+    found: dict[tuple, float] = {}           # (group, column, rank) -> value
+    open_: dict[tuple, tuple] = {}           # (group, column, rank) -> (bracket to scan, bracket around it)
+
+    def settle(key: tuple, inside: Inside, outer: Bracket) -> None:
+        if inside.exact():
+            found[key] = inside.value(key[2])
+            open_.pop(key, None)
+        else:
+            open_[key] = (inside.around(key[2], outer), outer)
+
+    for row in rows:
+        for i in range(len(cols)):
+            n = sizes[row["_g"], i] = row[f"_n{i}"]
+            for rank in {r for p in probs for r in _ranks(p, n)} if n else ():
+                settle((row["_g"], i, rank), Inside(0, n, row[f"_s{i}"]), Bracket(None, None))
+
+    while open_:
+        wanted: dict[tuple, list[Bracket]] = {}          # (group, column) -> its distinct brackets
+        for (g, i, _), (b, _outer) in open_.items():
+            seen = wanted.setdefault((g, i), [])
+            if b not in seen:
+                seen.append(b)
+        slots = [(i, k) for i in range(len(cols)) for k in range(max([len(v) for (_, j), v in wanted.items() if j == i] or [0]))]
+        table = {}
+        for g in {g for g, _ in wanted}:
+            here = [wanted.get((g, i), []) for i in range(len(cols))]
+            table[g] = [(here[i][k].lo, here[i][k].hi) if k < len(here[i]) else None for i, k in slots]
+        schema = T.StructType([T.StructField("m", T.MapType(vals.schema["_g"].dataType, T.ArrayType(
+            T.StructType([T.StructField("lo", T.DoubleType()), T.StructField("hi", T.DoubleType())]))))])
+        bound, m = bind_scalar(vals, spark.createDataFrame([(table,)], schema).scalar(), "_m")
+        bound = bound.select("_g", *[qcol(c) for c in cols], F.try_element_at(m, F.col("_g")).alias("_b")) \
+                     .where(F.col("_b").isNotNull())
+        aggs = []
+        for s, (i, _) in enumerate(slots):
+            x, lo, hi = qcol(cols[i]), F.col("_b")[s]["lo"], F.col("_b")[s]["hi"]
+            inside = F.col("_b")[s].isNotNull() & x.isNotNull() & F.coalesce(x > lo, F.lit(True)) & F.coalesce(x < hi, F.lit(True))
+            aggs += [F.count_if(x < lo).alias(f"_lt{s}"), F.count_if(x == lo).alias(f"_lo{s}"), F.count_if(inside).alias(f"_in{s}"),
+                     F.count_if(x == hi).alias(f"_hi{s}"), _grid_sketch(F.when(inside, x)).alias(f"_s{s}")]
+        got = {row["_g"]: row for row in scan(bound, aggs).collect()}
+        for key, (b, outer) in list(open_.items()):
+            g, i, rank = key
+            s = slots.index((i, wanted[g, i].index(b)))
+            row = got[g]
+            below, upto = row[f"_lt{s}"], row[f"_lt{s}"] + row[f"_lo{s}"]
+            if rank < below:                             # beside the bracket: the sketch's error, go on there
+                open_[key] = (Bracket(outer.lo, b.lo), outer)
+            elif rank < upto:
+                found[key] = b.lo
+                del open_[key]
+            elif rank < upto + row[f"_in{s}"]:
+                settle(key, Inside(upto, row[f"_in{s}"], row[f"_s{s}"]), b)
+            elif b.hi != b.lo and rank < upto + row[f"_in{s}"] + row[f"_hi{s}"]:
+                found[key] = b.hi
+                del open_[key]
             else:
-                got[row["k"]].append((row["v"], row["c"]))
-        for k, i, j, _, _ in brackets:
-            q = _interp(sorted(got[k]), below[k], r1[f"n{i}"], probs[j])
-            if q is None:                      # sketch bound not met: exact fallback
-                return quantile_table(vals.drop("_g"), cols, probs, method="sort").select("*", *extra)
-            result[cols[i]][j] = q
-    return spark.range(1).select(*[F.array(*[F.lit(v).cast("double") for v in result[c]]).alias(c)
-                                   for c in cols], *extra)
+                open_[key] = (Bracket(b.hi, outer.hi), outer)
+
+    def quantile(g, i: int, p: float) -> float | None:
+        n = sizes[g, i]
+        if not n:
+            return None
+        lo, hi = _ranks(p, n)
+        if lo == hi:
+            return found[g, i, lo]
+        pos = p * (n - 1)
+        return (hi - pos) * found[g, i, lo] + (pos - lo) * found[g, i, hi]
+
+    extra = first.schema.fields[1 + 2 * len(cols):]
+    schema = T.StructType([T.StructField("_g", vals.schema["_g"].dataType),
+                           *[T.StructField(c, T.ArrayType(T.DoubleType())) for c in cols], *extra])
+    out = [(row["_g"], *[[quantile(row["_g"], i, p) for p in probs] for i in range(len(cols))],
+            *[row[f.name] for f in extra]) for row in rows]
+    return spark.createDataFrame(out, schema)
+
+
+def _ranks(p: float, n: int) -> tuple[int, int]:
+    """The two neighbouring ranks (from 0) of the p-quantile of n values."""
+    pos = p * (n - 1)
+    return int(pos // 1), int(-(-pos // 1))

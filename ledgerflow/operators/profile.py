@@ -47,9 +47,9 @@ def describe(df: DataFrame, columns: list[str] | None = None, exclude_ids: bool
             [], "column string, count long, mean double, std double, min double, q25 double, "
                 "q50 double, q75 double, max double")
     m = "approx" if accuracy else method
-    if m in ("auto", "refine"):
-        # exact whole-table quantiles: the moments ride along in the sketch pass
-        row = quantile_table(df, cols, _QS, method="refine", extra_aggs=_moments(cols))
+    if m == "auto":
+        # the moments ride along in the first scan of the quantiles
+        row = quantile_table(df, cols, _QS, extra_aggs=_moments(cols))
         return row.select(F.inline(F.array(*_describe_rows(cols, lambda c: qcol(c)))))
     qt = quantile_table(df, cols, _QS, method=m, accuracy=accuracy or 10_000)
     row, q = bind_scalar(df.agg(*_moments(cols)), qt.select(F.struct(*[qcol(c) for c in cols])).scalar(), "_q")
@@ -58,13 +58,15 @@ def describe(df: DataFrame, columns: list[str] | None = None, exclude_ids: bool
 
 def describe_by(df: DataFrame, by: str = "source", columns: list[str] | None = None,
                 exclude_ids: bool = True, accuracy: int | None = None, method: str = "auto") -> DataFrame:
-    """P1 per group (null groups dropped): grouped moments joined with the
-    grouped quantiles (both one row per group)."""
+    """P1 per group (null groups dropped)."""
     cols = columns or numeric_columns(df, exclude=tuple(ID_COLUMNS if exclude_ids else ()) + (by,))
+    m = "approx" if accuracy else method
+    if m == "auto":
+        j = quantile_table(df, cols, _QS, by=by, extra_aggs=_moments(cols))
+        return j.select(qcol(by), F.inline(F.array(*_describe_rows(cols, lambda c: qcol(c)))))
     base = df.where(qcol(by).isNotNull())
     mom = base.groupBy(qcol(by).alias(by)).agg(*_moments(cols))
-    qt = quantile_table(base, cols, _QS, by=by, method="approx" if accuracy else method,
-                        accuracy=accuracy or 10_000)
+    qt = quantile_table(base, cols, _QS, by=by, method=m, accuracy=accuracy or 10_000)
     qt = qt.select(qcol(by), *[qcol(c).alias(f"_q{i}") for i, c in enumerate(cols)])
     j = mom.join(qt, by)
     return j.select(qcol(by), F.inline(F.array(*_describe_rows(cols, lambda c: F.col(f"_q{cols.index(c)}")))))

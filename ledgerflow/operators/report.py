@@ -71,17 +71,18 @@ def box_stats(df: DataFrame, column: str = "amount", by: str | None = "source",
     x = x.where(F.col("x").isNotNull() & F.col("grp").isNotNull())
     qs = quantile_table(x, ["x"], [0.25, 0.5, 0.75], by="grp", method="approx" if accuracy else method,
                         accuracy=accuracy or 10_000)
-    q = x.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).join(qs, "grp")
-    q = q.select("grp", "n", F.col("x")[0].alias("q1"), F.col("x")[1].alias("median"), F.col("x")[2].alias("q3"))
-    fences = q.select("grp", (F.col("q1") - F.lit(k) * (F.col("q3") - F.col("q1"))).alias("lo_fence"),
-                      (F.col("q3") + F.lit(k) * (F.col("q3") - F.col("q1"))).alias("hi_fence"))
-    # Second pass: join the per-group fences back (one row per group; AQE
-    # broadcasts it once its runtime size is known to be small).
-    inside = (F.col("x") >= F.col("lo_fence")) & (F.col("x") <= F.col("hi_fence"))
-    wsk = x.join(fences, "grp").groupBy("grp").agg(
-        F.min(F.when(inside, F.col("x"))).alias("whisker_lo"),
-        F.max(F.when(inside, F.col("x"))).alias("whisker_hi"),
-        F.count(F.when(~inside, F.lit(1))).cast("long").alias("n_outliers"))
+    q = qs.select("grp", F.col("x")[0].alias("q1"), F.col("x")[1].alias("median"), F.col("x")[2].alias("q3"))
+    reach = F.lit(k) * (F.col("q3") - F.col("q1"))
+    fences = q.select(F.struct("grp", F.struct((F.col("q1") - reach).alias("lo"), (F.col("q3") + reach).alias("hi"))).alias("f"))
+    # the fences, one entry per group, come to the rows as a scalar: no raw row is shuffled
+    x, by_group = bind_scalar(x, fences.agg(F.map_from_entries(F.collect_list("f"))).scalar(), "_f")
+    fence = F.try_element_at(by_group, F.col("grp"))
+    x = x.select("grp", "x", F.col("x").between(fence["lo"], fence["hi"]).alias("inside"))
+    wsk = x.groupBy("grp").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min(F.when(F.col("inside"), F.col("x"))).alias("whisker_lo"),
+        F.max(F.when(F.col("inside"), F.col("x"))).alias("whisker_hi"),
+        F.count_if(~F.col("inside")).cast("long").alias("n_outliers"))
     # a whisker never ends inside the box
     out = (q.join(wsk, "grp").withColumn("whisker_lo", F.least("whisker_lo", "q1"))
            .withColumn("whisker_hi", F.greatest("whisker_hi", "q3")))
