@@ -150,6 +150,10 @@ def impute(df: DataFrame, strategy: str = "median", accuracy: int | None = None,
     fields = {f.name: f.dataType for f in df.schema.fields}
     num = [c for c in df.columns if is_numeric(fields[c])]
     other = [c for c in df.columns if c not in num]
+    # whole numbers with gaps become DOUBLE, since their mean or median may be fractional; without gaps they stay
+    whole = [c for c in num if not isinstance(fields[c], (T.FloatType, T.DoubleType))]
+    gaps = null_counts(df.select(*[qcol(c) for c in whole]))[1] if whole else {}
+    widened = {c for c in whole if gaps[c]}
     fills = {}
     base = df
     if num:
@@ -160,7 +164,7 @@ def impute(df: DataFrame, strategy: str = "median", accuracy: int | None = None,
             st_expr = qt.select(F.struct(*[qcol(c)[0].alias(c) for c in num])).scalar()
         base, st = bind_scalar(base, st_expr, "_fill_num")
         for c in num:
-            fills[c] = st.getField(c).cast(fields[c])
+            fills[c] = st.getField(c) if c in widened else st.getField(c).cast(fields[c])
     if other:
         base, modes = bind_scalar(base, _mode_values(df, other), "_fill_mode")
         for c in other:
@@ -172,6 +176,7 @@ def impute(df: DataFrame, strategy: str = "median", accuracy: int | None = None,
     out = []
     for c in df.columns:
         x = nan_to_null(qcol(c)) if isinstance(fields[c], (T.FloatType, T.DoubleType)) else qcol(c)
+        x = x.cast("double") if c in widened else x
         out.append(F.coalesce(x, fills[c]).alias(c) if c in fills else qcol(c))
     return base.select(*out)
 

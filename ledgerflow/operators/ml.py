@@ -145,13 +145,15 @@ def logreg_coefficients(model: PipelineModel, feats: list[str]) -> DataFrame:
     return df.orderBy(F.desc("abs_coef"), F.asc("feature"))
 
 
-def train_forest(train: DataFrame, feats: list[str], label: str, num_trees: int = 250, max_depth: int = 10,
-                 seed: int = 42, max_bins: int = 64) -> PipelineModel:
+def train_forest(train: DataFrame, feats: list[str], label: str, num_trees: int = 250, max_depth: int = 30,
+                 seed: int = 42, max_bins: int = 64, memory_mb: int = 1024) -> PipelineModel:
     """Random-forest regression (all features at every split, no
-    subsampling, like scikit-learn's defaults; depth capped, Spark bins splits)."""
+    subsampling, like scikit-learn's defaults; trees grow to Spark's deepest level,
+    30, and splits are binned).  ``memory_mb`` holds the statistics of the nodes
+    that one pass over the rows splits: more of it, fewer passes."""
     rf = RandomForestRegressor(featuresCol="features", labelCol="_label", numTrees=num_trees, maxDepth=max_depth,
                                featureSubsetStrategy="all", subsamplingRate=1.0, seed=seed, maxBins=max_bins,
-                               bootstrap=True)
+                               bootstrap=True, maxMemoryInMB=memory_mb)
     pipe = Pipeline(stages=[VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep"), rf])
     return pipe.fit(_assembled(train.withColumn("_label", qcol(label).cast("double")), feats))
 
@@ -245,7 +247,7 @@ def run_ml(features: DataFrame, cfg: dict, models_dir: str | None = None) -> dic
             feats = numeric_feature_columns(x, drop=[target])
             train, test = x.where(~F.col("is_test")), x.where(F.col("is_test"))
             model = train_forest(train, feats, target, int(rcfg.get("n_estimators", 250)),
-                                 int(rcfg.get("max_depth", 10)))
+                                 int(rcfg.get("max_depth", 30)))
             pred = predict_forest(model, test, feats)
             n_train = train.agg(F.count(F.lit(1))).scalar()
             result["metrics"]["regression"] = regression_metrics(pred, target).select("*",
@@ -285,7 +287,7 @@ def train_classification(df: DataFrame, target: str, key: str | None = None) ->
 
 
 def train_regression(df: DataFrame, target: str, key: str | None = None, num_trees: int = 200,
-                     max_depth: int = 10) -> DataFrame:
+                     max_depth: int = 30) -> DataFrame:
     """Random forest (200 trees) on every other numeric column; one metrics
     row (model, rmse, mae, r2)."""
     x = _split_all(df.where(F.col(target).isNotNull()), key)

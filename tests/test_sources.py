@@ -125,3 +125,13 @@ def test_bucketed_tables_join_without_shuffle(spark):
         assert j.count() == 2000
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_jdbc_options_of_dsn_and_partition():
+    from ledgerflow.sources.sql import jdbc_options
+    one = jdbc_options("select 1", dsn="postgresql+psycopg2://u:p%40w@db:5432/shop")
+    assert one == {"url": "jdbc:postgresql://db:5432/shop", "user": "u", "password": "p@w", "query": "select 1"}
+    many = jdbc_options("select * from t;", {"user": "x"}, "jdbc:mysql://h/d",
+                        {"column": "id", "lower": 1, "upper": 10, "num": 4})
+    assert many == {"url": "jdbc:mysql://h/d", "user": "x", "dbtable": "(select * from t) q", "partitionColumn": "id",
+                    "lowerBound": "1", "upperBound": "10", "numPartitions": "4"}
