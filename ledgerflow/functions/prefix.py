@@ -25,47 +25,43 @@ from ..functions.exprs import qcol
 from ..session import cut_lineage
 
 
-def prefix_by_key(df: DataFrame, key: str, order_by: list[str], value: str | None = None,
+def prefix_by_key(df: DataFrame, key: str, order_by: list[str], value: str | list[str] | None = None,
                   partitions: int | None = None) -> DataFrame:
     """Add ``_prev_n`` (rows before this one in the key group), ``_key_n`` (rows
     in the key group, summed from the block table), and with
     ``value`` also ``_prev_sum`` / ``_prev_nn`` (sum and count of the earlier
-    non-null values).  Rows with a NULL key get NULLs."""
+    non-null values; for a list of columns ``_prev_sum_<c>`` / ``_prev_nn_<c>``).
+    Rows with a NULL key get NULLs."""
+    values = {"": value} if isinstance(value, str) else {f"_{c}": c for c in value or []}
     spark = df.sparkSession
     nparts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col(c).asc_nulls_first() for c in order_by]
-    t = df.withColumn("_tb", F.monotonically_increasing_id())
-    keyed = t.where(F.col(key).isNotNull())
-    ranged = keyed.repartitionByRange(nparts, F.col(key).asc(), *order, F.col("_tb").asc())
+    order = [qcol(c).asc_nulls_first() for c in order_by]
+    t = df.withColumn("_key", qcol(key)).withColumn("_tb", F.monotonically_increasing_id())
+    ranged = t.repartitionByRange(nparts, F.col("_key").asc(), *order, F.col("_tb").asc())
     # Pin partition ids and tie-breakers: the frame is read twice below (block
     # totals and rows), so it is checkpointed into the shared folder once.
     ranged = cut_lineage(ranged.withColumn("_pid", F.spark_partition_id()))
 
-    v = F.col(value).cast("double") if value else None
+    v = {k: qcol(c).cast("double") for k, c in values.items()}
     block_aggs = [F.count(F.lit(1)).alias("_bn")]
-    if value:
-        block_aggs += [F.sum(v).alias("_bs"), F.count(v).alias("_bnn")]
-    blocks = ranged.groupBy(key, "_pid").agg(*block_aggs)
-    before = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    for k, x in v.items():
+        block_aggs += [F.sum(x).alias(f"_bs{k}"), F.count(x).alias(f"_bnn{k}")]
+    blocks = ranged.where(F.col("_key").isNotNull()).groupBy("_key", "_pid").agg(*block_aggs)
+    before = Window.partitionBy("_key").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = [F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_on"),
-            F.sum("_bn").over(Window.partitionBy(key)).alias("_kn")]
-    if value:
-        offs += [F.coalesce(F.sum("_bs").over(before), F.lit(0.0)).alias("_os"),
-                 F.coalesce(F.sum("_bnn").over(before), F.lit(0)).alias("_onn")]
-    offsets = blocks.select(key, "_pid", *offs)
+            F.sum("_bn").over(Window.partitionBy("_key")).alias("_kn")]
+    for k in v:
+        offs += [F.coalesce(F.sum(qcol(f"_bs{k}")).over(before), F.lit(0.0)).alias(f"_os{k}"),
+                 F.coalesce(F.sum(qcol(f"_bnn{k}")).over(before), F.lit(0)).alias(f"_onn{k}")]
+    offsets = blocks.select("_key", "_pid", *offs)
 
-    w = (Window.partitionBy("_pid", key).orderBy(*order, F.col("_tb").asc())
+    w = (Window.partitionBy("_pid", "_key").orderBy(*order, F.col("_tb").asc())
                .rowsBetween(Window.unboundedPreceding, -1))
     cols: list[Column] = [qcol(c) for c in df.columns]
-    j = ranged.join(offsets, [key, "_pid"])
+    j = ranged.join(offsets, ["_key", "_pid"], "left")      # rows with a NULL key find no block: NULLs
     out = [*cols, (F.col("_on") + F.coalesce(F.count(F.lit(1)).over(w), F.lit(0))).cast("long").alias("_prev_n"),
            F.col("_kn").cast("long").alias("_key_n")]
-    if value:
-        out += [(F.col("_os") + F.coalesce(F.sum(v).over(w), F.lit(0.0))).alias("_prev_sum"),
-                (F.col("_onn") + F.coalesce(F.count(v).over(w), F.lit(0))).cast("long").alias("_prev_nn")]
-    res = j.select(*out)
-    nulls = t.where(F.col(key).isNull()).select(
-        *cols, F.lit(None).cast("long").alias("_prev_n"), F.lit(None).cast("long").alias("_key_n"),
-        *([F.lit(None).cast("double").alias("_prev_sum"), F.lit(None).cast("long").alias("_prev_nn")]
-          if value else []))
-    return res.unionByName(nulls)
+    for k, x in v.items():
+        out += [(qcol(f"_os{k}") + F.coalesce(F.sum(x).over(w), F.lit(0.0))).alias(f"_prev_sum{k}"),
+                (qcol(f"_onn{k}") + F.coalesce(F.count(x).over(w), F.lit(0))).cast("long").alias(f"_prev_nn{k}")]
+    return j.select(*out)

@@ -23,7 +23,7 @@ def with_row_index(df: DataFrame, order_by: list[str | Column], name: str = "row
                    checkpoint: bool = True) -> DataFrame:
     """Add ``name`` = 0-based position of each row in ``order_by`` order
     (ties broken by every column, so the index is deterministic)."""
-    keys = [F.col(c) if isinstance(c, str) else c for c in order_by]
+    keys = [qcol(c) if isinstance(c, str) else c for c in order_by]
     tie = [qcol(c) for c in df.columns]
     srt = df.orderBy(*keys, *tie)
     tagged = srt.select("*", F.spark_partition_id().alias("_pid"),

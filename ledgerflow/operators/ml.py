@@ -105,10 +105,10 @@ def _running_from_top(scored: DataFrame, label: str, score: str) -> DataFrame:
     """(score, tp, fp, P, N): positives / negatives at or above each distinct score."""
     g = _score_counts(scored, label, score).where(F.col("score").isNotNull()) \
         .withColumn("_k", F.lit(1)).withColumn("_desc", -F.col("score"))
-    tp = prefix_by_key(g, "_k", ["_desc"], "pos").select("score", (F.col("_prev_sum") + F.col("pos")).alias("tp"))
-    fp = prefix_by_key(g, "_k", ["_desc"], "neg").select("score", (F.col("_prev_sum") + F.col("neg")).alias("fp"))
+    run = prefix_by_key(g, "_k", ["_desc"], ["pos", "neg"]).select(
+        "score", (F.col("_prev_sum_pos") + F.col("pos")).alias("tp"), (F.col("_prev_sum_neg") + F.col("neg")).alias("fp"))
     tot = g.agg(F.struct(F.sum("pos").alias("P"), F.sum("neg").alias("N"))).scalar()
-    j, tot = bind_scalar(tp.join(fp, "score"), tot, "_tot")
+    j, tot = bind_scalar(run, tot, "_tot")
     return j.select("score", "tp", "fp", tot.getField("P").alias("P"), tot.getField("N").alias("N"))
 
 
@@ -269,8 +269,7 @@ __all__ = ["train_logreg", "score_logreg", "threshold_predict", "classification_
 
 
 def _split_all(df: DataFrame, key: str | None) -> DataFrame:
-    k = F.col(key) if key else F.xxhash64(*[F.col(c) for c in df.columns])
-    return df.withColumn("_split_key", k).transform(lambda d: split(d, "_split_key")).drop("_split_key")
+    return split(df, key)
 
 
 def train_classification(df: DataFrame, target: str, key: str | None = None) -> DataFrame:

@@ -51,7 +51,9 @@ class LazyTables(Mapping):
 def _decomposition(daily: DataFrame) -> DataFrame:
     try:
         return TS.decompose(daily)
-    except Exception as e:  # noqa: BLE001 — too short a series is logged, as in the reference
+    except Exception as e:  # noqa: BLE001 — too short a series is logged, any other failure raised
+        if "decompose: need at least" not in str(e):
+            raise
         log.info("decomposition skipped: %s", e)
         return daily.sparkSession.createDataFrame(
             [], "day date, value double, trend double, seasonal double, resid double")
