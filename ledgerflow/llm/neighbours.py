@@ -8,8 +8,10 @@
    are united, and each shard is searched with the united lists as far as they lead to its members.
 4. Greedy search from the shard's medoids expands over the whole range.  Hits are checked by the exact cosine.
    Hits are counted per vector, and a spanning forest of each task's links goes to the components.
-5. Recall is audited against brute force for a fixed set of query vectors; while it is below the aim, beam
-   and probes are doubled, up to all shards.
+5. Recall is audited against brute force for a sample of vectors that have links: the mean over the vectors,
+   of those with few, more and many links each.  While one of these is below the aim, beam and probes are
+   doubled; where all shards are probed and the aim is still missed, the shards' members are compared with
+   all vectors in blocks.
 """
 
 from __future__ import annotations
@@ -135,9 +137,21 @@ def _ask(vecs: DataFrame, centre: np.ndarray, tight: dict[int, float], probes: i
     return vecs.select("rep", "v").mapInArrow(run, "shard int, rep long, v array<double>")
 
 
-def _hits(members: DataFrame, adjacency: DataFrame, asks: DataFrame, least: float, beam: int, starts: int = 8) -> DataFrame:
+def _compare(x: np.ndarray, q: np.ndarray, least: float, step: int = 4096) -> list[np.ndarray]:
+    """Per row of ``q``, the positions in ``x`` whose similarity is ``least`` or more, by comparing all in blocks."""
+    out: list[list[np.ndarray]] = [[] for _ in q]
+    for at in range(0, len(x), step):
+        i, j = np.nonzero(q @ x[at:at + step].T >= least)
+        for k, part in enumerate(np.split(j + at, np.searchsorted(i, np.arange(1, len(q))))):
+            out[k].append(part)
+    return [np.concatenate(o) for o in out]
+
+
+def _hits(members: DataFrame, adjacency: DataFrame, asks: DataFrame, least: float, beam: int | None, starts: int = 8, block: int = 256) -> DataFrame:
     """(shard, rep, hits): in every shard, for every vector that asks there, its links to the shard's own members.
 
+    Without a ``beam``, the asking vectors are compared with all members, ``block`` of them at a time.
+
     A vector that is a member of several shards counts in the one of its nearest centre only, so no link
     is found twice; the others lend it as a stepping stone.
     """
@@ -147,11 +161,25 @@ def _hits(members: DataFrame, adjacency: DataFrame, asks: DataFrame, least: floa
     arrow = pa.schema([("shard", pa.int32()), ("rep", pa.int64()), ("hits", pa.list_(pa.int64()))])
 
     def run(batches):
-        shard, member, ready = None, [], None
+        shard, member, ready, asking = None, [], None, []
         out = []
+
+        def answer():
+            reps, x, graph, first, mine = ready
+            q = np.array([v for _, v in asking])
+            near = _compare(x, q, least - 1e-9) if beam is None else [search(x, graph, first, v, least - 1e-9, beam) for v in q]
+            for (rep, _), v, got in zip(asking, q, near):
+                got = got[mine[got] & (reps[got] != rep)]
+                exact = [float(np.dot(x[g], v)) >= least for g in got]
+                if any(exact):
+                    out.append((shard, rep, reps[got[exact]]))
+            asking.clear()
+
         for b in batches:
             for s, kind, rep, v, own, nbs in rows_of(b):
                 if s != shard:
+                    if asking:
+                        answer()
                     shard, member, ready = s, [], None
                 if kind == 0:
                     member.append((rep, v, own, nbs))
@@ -160,22 +188,20 @@ def _hits(members: DataFrame, adjacency: DataFrame, asks: DataFrame, least: floa
                     reps = np.array([m[0] for m in member], np.int64)
                     x = np.array([m[1] for m in member])
                     at = {r: i for i, r in enumerate(reps.tolist())}
-                    graph = [np.array([at[y] for y in m[3] if y in at], np.int64) for m in member]
+                    graph = None if beam is None else [np.array([at[y] for y in m[3] if y in at], np.int64) for m in member]
                     first = np.unique(np.concatenate([[medoid(x)], np.linspace(0, len(x) - 1, min(starts, len(x))).astype(int)]))
                     ready = reps, x, graph, first, np.array([m[2] for m in member])
-                    member = [None]
+                    member = []
                 if ready is None:
                     continue
-                reps, x, graph, first, mine = ready
-                got = search(x, graph, first, np.asarray(v), least - 1e-9, beam)
-                got = got[mine[got] & (reps[got] != rep)]
-                exact = [float(np.dot(x[g], v)) >= least for g in got]
-                got = reps[got[exact]] if len(got) else reps[:0]
-                if len(got):
-                    out.append((s, rep, got))
+                asking.append((rep, v))
+                if len(asking) >= block:
+                    answer()
                 if len(out) >= 512:
                     yield table(out, arrow)
-                    out = []
+                    out.clear()
+        if asking:
+            answer()
         yield table(out, arrow)
 
     return rows.mapInArrow(run, "shard int, rep long, hits array<long>")
@@ -211,21 +237,49 @@ def _forest(hits: DataFrame) -> DataFrame:
     return hits.select("rep", "hits").mapInArrow(run, "a long, b long")
 
 
-def _brute(vecs: DataFrame, queries: np.ndarray, least: float) -> DataFrame:
-    """(q, rep): all links of the query vectors, by comparing them with every vector."""
-    shared = _shared(vecs.sparkSession, q=queries)
-    arrow = pa.schema([("q", pa.int32()), ("rep", pa.int64())])
+def _brute(vecs: DataFrame, reps: np.ndarray, queries: np.ndarray, least: float) -> np.ndarray:
+    """Number of links of every query vector, by comparing them with every vector."""
+    shared = _shared(vecs.sparkSession, q=queries, r=reps)
+    arrow = pa.schema([("q", pa.int32()), ("n", pa.int64())])
 
     def run(batches):
-        q = shared.value["q"]
+        q, r = shared.value["q"], shared.value["r"]
+        n = np.zeros(len(q), np.int64)
         for b in batches:
-            if not b.num_rows:
-                continue
-            v = np.array(b.column(1).flatten().to_numpy()).reshape(b.num_rows, -1)
-            i, j = np.nonzero(q @ v.T >= least)
-            yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), b.column(0).take(pa.array(j))], schema=arrow)
+            for at in range(0, b.num_rows, 1024):
+                part = b.slice(at, 1024)
+                v = np.array(part.column(1).flatten().to_numpy()).reshape(part.num_rows, -1)
+                n += ((q @ v.T >= least) & (r[:, None] != part.column(0).to_numpy()[None, :])).sum(axis=1)
+        yield table(list(zip(np.flatnonzero(n), n[n > 0])), arrow)
+
+    got = vecs.select("rep", "v").mapInArrow(run, "q int, n long").groupBy("q").agg(F.sum("n").alias("n")).toPandas()    # one row per query at most
+    out = np.zeros(len(queries), np.int64)
+    out[got["q"].to_numpy(int)] = got["n"].to_numpy(int)
+    return out
+
+
+def _audited(vecs: DataFrame, reps: np.ndarray, sample: np.ndarray, least: float, queries: int, most: int = 10) -> dict[int, int]:
+    """{rep: links} of sampled vectors that have links.
+
+    ``queries`` vectors are drawn; while fewer than a quarter as many have few links, as many again as there are, up to ``most`` times ``queries``.
+    """
+    links = np.zeros(0, np.int64)
+    while len(links) < min(len(sample), most * queries) and (not len(links) or (_size(links) == 1).sum() < queries / 4):
+        at = slice(len(links), min(max(queries, 2 * len(links)), most * queries))
+        links = np.concatenate([links, _brute(vecs, reps[at], sample[at], least)])
+    return {int(r): int(n) for r, n in zip(reps, links) if n}
+
+
+def _size(links: np.ndarray) -> np.ndarray:
+    """Class of a number of links: none, few (to 8), more (to 64), many."""
+    return np.searchsorted([0, 8, 64], links, "left")
 
-    return vecs.select("rep", "v").mapInArrow(run, "q int, rep long")
+
+def _recall(want: dict[int, int], got: dict[int, int]) -> float:
+    """Mean share of found links over the audited vectors of a class, the lowest of the classes."""
+    n = np.array(list(want.values()), np.int64)
+    share = np.minimum([got.get(r, 0) for r in want], n) / np.maximum(n, 1)
+    return min((float(share[_size(n) == k].mean()) for k in np.unique(_size(n))), default=1.0)
 
 
 def near_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", least: float = 0.95, max_shard: int = 2000,
@@ -238,7 +292,7 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddin
     vector with copies: each copy links with the others and with all that the vector links with.  Rows with a
     null id count as links; they name no component.  A repeated id is one more row with that id.  The index is
     fitted on about ``sample_rows`` vectors at most (by hash of the row) and holds all; recall is audited with
-    ``audit_queries`` vectors.  Other columns are ignored, whatever their names.
+    ``audit_queries`` vectors or, where few of them have links, up to ten times as many.  Other columns are ignored, whatever their names.
     """
     rows = cut_lineage(unit_vectors(df, id_col, vec_col).withColumn("row", F.monotonically_increasing_id())
                        .withColumn("dims", F.size("v")).withColumn("hash", F.xxhash64("v")))
@@ -273,17 +327,15 @@ def _links(vecs, least, max_shard, sample_rows, overlap, probes, beam, degree, a
     spans = members.where("rank = 0").groupBy("shard").agg(F.max("angle").alias("r"), F.count("*").alias("n")).toPandas()   # one row per centre
     tight = {int(s): float(r) for s, r in zip(spans["shard"], spans["r"]) if r <= 2 * math.acos(min(1.0, least))}
     adjacency = cut_lineage(_adjacency(members, degree))
-    audit_at = np.arange(min(audit_queries, len(sample)))
-    reps = picked.column(0).to_numpy()[audit_at]
-    exact = (_brute(vecs, sample[audit_at], least).groupBy("q").agg(F.count("*").alias("n")).toPandas() if len(audit_at) else None)
-    want = 0 if exact is None else int(exact["n"].sum()) - len(audit_at)         # each finds itself
+    want = _audited(vecs, picked.column(0).to_numpy(), sample, least, audit_queries)
     while True:
         hits = cut_lineage(_hits(members, adjacency, _ask(vecs, centre, tight, probes, least), least, beam))
-        asked = set(reps.tolist())
-        got = int(hits.where(F.col("rep").isin(list(asked))).agg(F.coalesce(F.sum(F.size("hits")), F.lit(0))).first()[0]) if asked else 0
-        if got >= aim * want or probes >= len(centre):
+        if beam is None:
+            break
+        found = hits.where(F.col("rep").isin(list(want))).groupBy("rep").agg(F.sum(F.size("hits")).alias("n")).collect() if want else []
+        if _recall(want, {r["rep"]: r["n"] for r in found}) >= aim:
             break
-        probes, beam = min(len(centre), probes * 2), beam * 2
+        probes, beam = (min(len(centre), probes * 2), beam * 2) if probes < len(centre) else (probes, None)
     copies = vecs.select(F.col("rep").alias("h"), F.col("copies").alias("k"))
     single = hits.groupBy("rep").agg(F.sum(F.size("hits")).alias("others"))
     if vecs.where("copies > 1").limit(1).count():

@@ -117,3 +117,24 @@ def test_links_match_brute_force(spark):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got.values())
     assert neighbours.near_vectors(df.limit(0)).count() == 0
     assert [r.n_links for r in neighbours.near_vectors(df.where("vec_id = 450")).collect()] == [0]
+
+
+def hard_to_search(rng, pairs):
+    """A shard of about 1,000 vectors: a large group, and pairs whose only near vector is the other one."""
+    hot = rng.normal(size=16)
+    far = rng.normal(size=(pairs, 16))
+    return [*(hot + rng.normal(size=16) * 0.01 for _ in range(400)), *far, *(far + rng.normal(size=far.shape) * 0.02)]
+
+
+def test_audit_weighs_vectors_not_links(spark, monkeypatch):
+    x = [v.tolist() for v in hard_to_search(np.random.default_rng(3), 60)]
+    monkeypatch.setattr(neighbours, "search", lambda x, graph, first, q, least, beam: np.flatnonzero(x @ q >= least) if (x @ q >= least).sum() > 5 else np.zeros(0, int))
+    df = spark.createDataFrame(list(enumerate(x)), "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in neighbours.near_vectors(df).collect()}
+    assert got == {i: len(ls) for i, ls in enumerate(brute(x, 0.95))}
+
+
+def test_recall_of_small_groups_counts():
+    want = {**{i: 300 for i in range(300)}, 400: 1, 401: 1}
+    got = {i: 300 for i in range(300)}
+    assert neighbours._recall(want, got) == 0 and neighbours._recall(want, {**got, 400: 1, 401: 1}) == 1 and neighbours._recall({}, {}) == 1
