@@ -6,8 +6,10 @@
    nearest ones and in every tight cluster that could hold a vector in range.
 3. Each shard builds a robust-pruned graph over its members; the adjacency lists of a vector from its shards
    are united, and each shard is searched with the united lists as far as they lead to its members.
-4. Greedy search from the shard's medoids expands over the whole range.  Hits are checked by the exact cosine.
-   Hits are counted per vector, and a spanning forest of each task's links goes to the components.
+4. Greedy search from the vector's own node, the shard's medoid, fixed members and a member of every connected
+   part expands over the whole range.  Hits are checked by the exact cosine.  Where the links that a vector
+   finds in a shard aren't those that find it from there, the two are compared in full, so that a link counts
+   for both of its ends.  A spanning forest of each task's links goes to the components.
 5. Recall is audited against brute force for a sample of vectors that have links: the mean over the vectors,
    of those with few, more and many links each.  While one of these is below the aim, beam and probes are
    doubled; where all shards are probed and the aim is still missed, the shards' members are compared with
@@ -27,7 +29,7 @@ from ..functions.exprs import qcol
 from ..session import cut_lineage
 from .common import groups, hash_share, rows_of, table
 from .components import connected
-from .vector_graph import build, medoid, search
+from .vector_graph import build, medoid, parts, search
 
 
 def unit_vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -110,14 +112,14 @@ def _adjacency(members: DataFrame, degree: int) -> DataFrame:
     return lists.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("nbs"))).alias("nbs"))
 
 
-def _ask(vecs: DataFrame, centre: np.ndarray, tight: dict[int, float], probes: int, least: float) -> DataFrame:
-    """(shard, rep, v): every vector asks in its nearest shards and in tight ones that its range may reach."""
+def _ask(members: DataFrame, centre: np.ndarray, tight: dict[int, float], probes: int, least: float) -> DataFrame:
+    """(shard, rep, v, home): every vector asks in its nearest shards and in tight ones that its range may reach; ``home`` is its own."""
     reach = math.acos(min(1.0, least))
     radius = np.full(len(centre), -1.0)
     for s, r in tight.items():
         radius[s] = r
-    shared = _shared(vecs.sparkSession, c=centre, r=radius)
-    arrow = pa.schema([("shard", pa.int32()), ("rep", pa.int64()), ("v", pa.list_(pa.float64()))])
+    shared = _shared(members.sparkSession, c=centre, r=radius)
+    arrow = pa.schema([("shard", pa.int32()), ("rep", pa.int64()), ("v", pa.list_(pa.float64())), ("home", pa.int32())])
 
     def run(batches):
         c, r = shared.value["c"], shared.value["r"]
@@ -132,9 +134,9 @@ def _ask(vecs: DataFrame, centre: np.ndarray, tight: dict[int, float], probes: i
             pick |= (r >= 0) & (np.arccos(np.clip(sim, -1, 1)) <= r + reach)
             rows, shard = np.nonzero(pick)
             at = pa.array(rows)
-            yield pa.RecordBatch.from_arrays([pa.array(shard.astype(np.int32)), b.column(0).take(at), b.column(1).take(at)], schema=arrow)
+            yield pa.RecordBatch.from_arrays([pa.array(shard.astype(np.int32)), b.column(0).take(at), b.column(1).take(at), b.column(2).take(at)], schema=arrow)
 
-    return vecs.select("rep", "v").mapInArrow(run, "shard int, rep long, v array<double>")
+    return members.where("rank = 0").select("rep", "v", "shard").mapInArrow(run, "shard int, rep long, v array<double>, home int")
 
 
 def _compare(x: np.ndarray, q: np.ndarray, least: float, step: int = 4096) -> list[np.ndarray]:
@@ -147,40 +149,62 @@ def _compare(x: np.ndarray, q: np.ndarray, least: float, step: int = 4096) -> li
     return [np.concatenate(o) for o in out]
 
 
-def _hits(members: DataFrame, adjacency: DataFrame, asks: DataFrame, least: float, beam: int | None, starts: int = 8, block: int = 256) -> DataFrame:
-    """(shard, rep, hits): in every shard, for every vector that asks there, its links to the shard's own members.
+def _mixed(ids: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of every id."""
+    h = ids.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (h ^ (h >> np.uint64(31))).view(np.int64)
 
-    Without a ``beam``, the asking vectors are compared with all members, ``block`` of them at a time.
+
+def _hits(members: DataFrame, adjacency: DataFrame | None, asks: DataFrame, least: float, beam: int | None, starts: int = 8, block: int = 256) -> DataFrame:
+    """(finds, shard, rep, n, digest, hits): in every shard, for every vector that asks there, its links to the shard's own members.
 
     A vector that is a member of several shards counts in the one of its nearest centre only, so no link
-    is found twice; the others lend it as a stepping stone.
+    is found twice; the others lend it as a stepping stone.  Rows with ``finds`` tell what vector ``rep`` found
+    in ``shard``, the others how many vectors of home ``shard`` found ``rep``; ``digest`` is a hash of those.
+    Without a ``beam``, the asking vectors are compared with all own members, ``block`` of them at a time.
     """
-    built = (members.join(adjacency, "rep").select("shard", F.lit(0).alias("kind"), "rep", "v", (F.col("rank") == 0).alias("own"), "nbs"))
-    asked = asks.select("shard", F.lit(1).alias("kind"), "rep", "v", F.lit(False).alias("own"), F.lit(None).cast("array<long>").alias("nbs"))
-    rows = built.unionByName(asked).repartition("shard").sortWithinPartitions("shard", "kind", "rep")
-    arrow = pa.schema([("shard", pa.int32()), ("rep", pa.int64()), ("hits", pa.list_(pa.int64()))])
+    lent = members.join(adjacency, "rep") if beam is not None else members.where("rank = 0").withColumn("nbs", F.lit(None).cast("array<long>"))
+    built = lent.select("shard", F.lit(0).alias("kind"), F.lit(-1).alias("home"), "rep", "v", (F.col("rank") == 0).alias("own"), "nbs")
+    asked = asks.select("shard", F.lit(1).alias("kind"), "home", "rep", "v", F.lit(False).alias("own"), F.lit(None).cast("array<long>").alias("nbs"))
+    rows = built.unionByName(asked).repartition("shard").sortWithinPartitions("shard", "kind", "home", "rep")
+    arrow = pa.schema([("finds", pa.bool_()), ("shard", pa.int32()), ("rep", pa.int64()), ("n", pa.int64()), ("digest", pa.int64()), ("hits", pa.list_(pa.int64()))])
 
     def run(batches):
-        shard, member, ready, asking = None, [], None, []
+        shard, home, member, ready, asking = None, None, [], None, []
         out = []
 
         def answer():
-            reps, x, graph, first, mine = ready
+            reps, x, at, graph, first, mine, times, mark = ready
             q = np.array([v for _, v in asking])
-            near = _compare(x, q, least - 1e-9) if beam is None else [search(x, graph, first, v, least - 1e-9, beam) for v in q]
-            for (rep, _), v, got in zip(asking, q, near):
+            near = _compare(x, q, least - 1e-9) if beam is None else [
+                search(x, graph, np.union1d(first, [at[r]]) if r in at else first, v, least - 1e-9, beam) for (r, _), v in zip(asking, q)]
+            ids = _mixed(np.array([r for r, _ in asking], np.int64))
+            for (rep, _), v, got, h in zip(asking, q, near, ids):
                 got = got[mine[got] & (reps[got] != rep)]
-                exact = [float(np.dot(x[g], v)) >= least for g in got]
-                if any(exact):
-                    out.append((shard, rep, reps[got[exact]]))
+                got = got[np.array([float(np.dot(x[g], v)) >= least for g in got], bool)]
+                if len(got):
+                    out.append((True, shard, rep, len(got), int(np.bitwise_xor.reduce(_mixed(reps[got]))), reps[got]))
+                    times[got] += 1
+                    mark[got] ^= h
             asking.clear()
 
+        def end():                                  # of the vectors of one home that ask in the shard
+            if asking:
+                answer()
+            if ready is not None:
+                reps, times, mark = ready[0], ready[-2], ready[-1]
+                out.extend((False, home, int(reps[g]), int(times[g]), int(mark[g]), None) for g in np.flatnonzero(times))
+                times[:], mark[:] = 0, 0
+
         for b in batches:
-            for s, kind, rep, v, own, nbs in rows_of(b):
-                if s != shard:
-                    if asking:
-                        answer()
-                    shard, member, ready = s, [], None
+            for s, kind, h, rep, v, own, nbs in rows_of(b):
+                if (s, h) != (shard, home):
+                    end()
+                    if s != shard:
+                        member, ready = [], None
+                    shard, home = s, h
                 if kind == 0:
                     member.append((rep, v, own, nbs))
                     continue
@@ -188,9 +212,14 @@ def _hits(members: DataFrame, adjacency: DataFrame, asks: DataFrame, least: floa
                     reps = np.array([m[0] for m in member], np.int64)
                     x = np.array([m[1] for m in member])
                     at = {r: i for i, r in enumerate(reps.tolist())}
-                    graph = None if beam is None else [np.array([at[y] for y in m[3] if y in at], np.int64) for m in member]
-                    first = np.unique(np.concatenate([[medoid(x)], np.linspace(0, len(x) - 1, min(starts, len(x))).astype(int)]))
-                    ready = reps, x, graph, first, np.array([m[2] for m in member])
+                    graph = first = None
+                    if beam is not None:
+                        graph = [np.array([at[y] for y in m[3] if y in at], np.int64) for m in member]
+                        first = np.unique(np.concatenate([[medoid(x)], np.linspace(0, len(x) - 1, min(starts, len(x))).astype(int)]))
+                        part = parts(graph)
+                        lone = (np.flatnonzero(part == p) for p in np.setdiff1d(part, part[first]))
+                        first = np.concatenate([first, np.array([g[medoid(x[g])] for g in lone], int)])
+                    ready = reps, x, at, graph, first, np.array([m[2] for m in member]), np.zeros(len(x), np.int64), np.zeros(len(x), np.int64)
                     member = []
                 if ready is None:
                     continue
@@ -200,11 +229,26 @@ def _hits(members: DataFrame, adjacency: DataFrame, asks: DataFrame, least: floa
                 if len(out) >= 512:
                     yield table(out, arrow)
                     out.clear()
-        if asking:
-            answer()
+        end()
         yield table(out, arrow)
 
-    return rows.mapInArrow(run, "shard int, rep long, hits array<long>")
+    return rows.mapInArrow(run, "finds boolean, shard int, rep long, n long, digest long, hits array<long>")
+
+
+def _both_ends(members: DataFrame, hits: DataFrame, least: float) -> DataFrame:
+    """The rows of ``hits`` that tell what a vector found, such that every link is found from both of its ends.
+
+    Where what a vector found in a shard isn't what found it from there, it is compared with all own members;
+    so is the other end of every link that only one of them found.
+    """
+    differ = cut_lineage(hits.groupBy("rep", "shard").agg(F.sum(F.when(F.col("finds"), F.col("n")).otherwise(-F.col("n"))).alias("d"), F.bit_xor("digest").alias("x"))
+                         .where("d <> 0 or x <> 0").select("rep", "shard"))
+    found = hits.where("finds")
+    if not differ.limit(1).count():
+        return found
+    own = members.where("rank = 0").select("rep", "v", F.col("shard").alias("home"))
+    again = _hits(members.join(differ.select("shard").distinct(), "shard", "left_semi"), None, differ.join(own, "rep"), least, None).where("finds")
+    return found.join(differ, ["rep", "shard"], "left_anti").unionByName(again)
 
 
 def _forest(hits: DataFrame) -> DataFrame:
@@ -329,15 +373,16 @@ def _links(vecs, least, max_shard, sample_rows, overlap, probes, beam, degree, a
     adjacency = cut_lineage(_adjacency(members, degree))
     want = _audited(vecs, picked.column(0).to_numpy(), sample, least, audit_queries)
     while True:
-        hits = cut_lineage(_hits(members, adjacency, _ask(vecs, centre, tight, probes, least), least, beam))
+        hits = cut_lineage(_hits(members, adjacency, _ask(members, centre, tight, probes, least), least, beam))
+        hits = cut_lineage(_both_ends(members, hits, least))
         if beam is None:
             break
-        found = hits.where(F.col("rep").isin(list(want))).groupBy("rep").agg(F.sum(F.size("hits")).alias("n")).collect() if want else []
+        found = hits.where(F.col("rep").isin(list(want))).groupBy("rep").agg(F.sum("n").alias("n")).collect() if want else []
         if _recall(want, {r["rep"]: r["n"] for r in found}) >= aim:
             break
         probes, beam = (min(len(centre), probes * 2), beam * 2) if probes < len(centre) else (probes, None)
     copies = vecs.select(F.col("rep").alias("h"), F.col("copies").alias("k"))
-    single = hits.groupBy("rep").agg(F.sum(F.size("hits")).alias("others"))
+    single = hits.groupBy("rep").agg(F.sum("n").alias("others"))
     if vecs.where("copies > 1").limit(1).count():
         more = copies.where("k > 1")
         extra = hits.select("rep", F.explode("hits").alias("h")).join(more, "h").groupBy("rep").agg(F.sum(F.col("k") - 1).alias("x"))

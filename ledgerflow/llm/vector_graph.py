@@ -40,6 +40,20 @@ def medoid(x: np.ndarray) -> int:
     return int((x @ x.mean(axis=0)).argmax())
 
 
+def parts(graph: list[np.ndarray]) -> np.ndarray:
+    """Number of the connected part of every vector; ``graph`` holds every edge in both directions."""
+    out, n = np.full(len(graph), -1, np.int64), 0
+    for i in range(len(graph)):
+        if out[i] < 0:
+            out[i], new = n, np.array([i])
+            while len(new):
+                new = np.unique(np.concatenate([graph[j] for j in new]))
+                new = new[out[new] < 0]
+                out[new] = n
+            n += 1
+    return out
+
+
 def search(x: np.ndarray, graph: list[np.ndarray], starts: np.ndarray, q: np.ndarray, least: float, beam: int) -> np.ndarray:
     """Positions whose similarity to ``q`` is ``least`` or more, found by greedy search that expands over the whole range.
 

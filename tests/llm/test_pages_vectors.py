@@ -138,3 +138,22 @@ def test_recall_of_small_groups_counts():
     want = {**{i: 300 for i in range(300)}, 400: 1, 401: 1}
     got = {i: 300 for i in range(300)}
     assert neighbours._recall(want, got) == 0 and neighbours._recall(want, {**got, 400: 1, 401: 1}) == 1 and neighbours._recall({}, {}) == 1
+
+
+def test_parts_without_a_start_are_searched(spark):
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(18, 32))
+    x = [(b + rng.normal(size=32) * 0.02).tolist() for b in base for _ in range(55)]
+    df = spark.createDataFrame(list(enumerate(x)), "vec_id long, embedding array<double>")
+    got = neighbours.near_vectors(df, audit_queries=0).collect()                # what the search finds without help
+    assert len(got) == len(x) and {r.n_links for r in got} == {54}
+
+
+def test_links_count_for_both_ends(spark, monkeypatch):
+    x = [v.tolist() for v in hard_to_search(np.random.default_rng(5), 30)]
+    links = brute(x, 0.95)
+    blind = lambda x, graph, first, q, least, beam: np.flatnonzero((x @ q >= least) & (x[:, 0] >= q[0]))
+    monkeypatch.setattr(neighbours, "search", blind)                            # each link is found from one end
+    df = spark.createDataFrame(list(enumerate(x)), "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in neighbours.near_vectors(df, max_shard=200, audit_queries=0).collect()}
+    assert got == {i: len(ls) for i, ls in enumerate(links)}
