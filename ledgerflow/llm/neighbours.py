@@ -71,9 +71,9 @@ def _shared(spark, **x):
 
 
 def _memberships(vecs: DataFrame, centre: np.ndarray, overlap: int) -> DataFrame:
-    """(shard, rep, v, angle): every vector in the shards of its ``overlap`` nearest centres, nearest first."""
+    """(shard, rank, rep, v, copies, angle): every vector in the shards of its ``overlap`` nearest centres, nearest first."""
     shared = _shared(vecs.sparkSession, c=centre)
-    arrow = pa.schema([("shard", pa.int32()), ("rank", pa.int32()), ("rep", pa.int64()), ("v", pa.list_(pa.float64())), ("angle", pa.float64())])
+    arrow = pa.schema([("shard", pa.int32()), ("rank", pa.int32()), ("rep", pa.int64()), ("v", pa.list_(pa.float64())), ("copies", pa.int64()), ("angle", pa.float64())])
 
     def run(batches):
         c = shared.value["c"]
@@ -87,9 +87,9 @@ def _memberships(vecs: DataFrame, centre: np.ndarray, overlap: int) -> DataFrame
             flat, rows = near.ravel(), np.repeat(np.arange(len(v)), k)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(flat.astype(np.int32)), pa.array(np.tile(np.arange(k, dtype=np.int32), len(v))), b.column(0).take(pa.array(rows)),
-                 b.column(1).take(pa.array(rows)), pa.array(np.arccos(np.clip(sim[rows, flat], -1, 1)))], schema=arrow)
+                 b.column(1).take(pa.array(rows)), b.column(2).take(pa.array(rows)), pa.array(np.arccos(np.clip(sim[rows, flat], -1, 1)))], schema=arrow)
 
-    return vecs.select("rep", "v").mapInArrow(run, "shard int, rank int, rep long, v array<double>, angle double")
+    return vecs.select("rep", "v", "copies").mapInArrow(run, "shard int, rank int, rep long, v array<double>, copies long, angle double")
 
 
 def _adjacency(members: DataFrame, degree: int) -> DataFrame:
@@ -158,25 +158,28 @@ def _mixed(ids: np.ndarray) -> np.ndarray:
 
 
 def _hits(members: DataFrame, adjacency: DataFrame | None, asks: DataFrame, least: float, beam: int | None, starts: int = 8, block: int = 256) -> DataFrame:
-    """(finds, shard, rep, n, digest, hits): in every shard, for every vector that asks there, its links to the shard's own members.
+    """(finds, shard, rep, n, copies, digest, other): in every shard, for every vector that asks there, its links to the shard's own members.
 
     A vector that is a member of several shards counts in the one of its nearest centre only, so no link
     is found twice; the others lend it as a stepping stone.  Rows with ``finds`` tell what vector ``rep`` found
-    in ``shard``, the others how many vectors of home ``shard`` found ``rep``; ``digest`` is a hash of those.
+    in ``shard`` (``n`` vectors, ``copies`` rows), those without how many vectors of home ``shard`` found ``rep``;
+    ``digest`` is a hash of those.  Rows with null ``finds`` are a spanning forest of the links of each shard,
+    edges from ``rep`` to ``other``; the links themselves stay in the task.
     Without a ``beam``, the asking vectors are compared with all own members, ``block`` of them at a time.
     """
     lent = members.join(adjacency, "rep") if beam is not None else members.where("rank = 0").withColumn("nbs", F.lit(None).cast("array<long>"))
-    built = lent.select("shard", F.lit(0).alias("kind"), F.lit(-1).alias("home"), "rep", "v", (F.col("rank") == 0).alias("own"), "nbs")
-    asked = asks.select("shard", F.lit(1).alias("kind"), "home", "rep", "v", F.lit(False).alias("own"), F.lit(None).cast("array<long>").alias("nbs"))
+    built = lent.select("shard", F.lit(0).alias("kind"), F.lit(-1).alias("home"), "rep", "v", (F.col("rank") == 0).alias("own"), "nbs", "copies")
+    asked = asks.select("shard", F.lit(1).alias("kind"), "home", "rep", "v", F.lit(False).alias("own"), F.lit(None).cast("array<long>").alias("nbs"), F.lit(0).cast("long").alias("copies"))
     rows = built.unionByName(asked).repartition("shard").sortWithinPartitions("shard", "kind", "home", "rep")
-    arrow = pa.schema([("finds", pa.bool_()), ("shard", pa.int32()), ("rep", pa.int64()), ("n", pa.int64()), ("digest", pa.int64()), ("hits", pa.list_(pa.int64()))])
+    arrow = pa.schema([("finds", pa.bool_()), ("shard", pa.int32()), ("rep", pa.int64()), ("n", pa.int64()),
+                       ("copies", pa.int64()), ("digest", pa.int64()), ("other", pa.int64())])
 
     def run(batches):
         shard, home, member, ready, asking = None, None, [], None, []
         out = []
 
         def answer():
-            reps, x, at, graph, first, mine, times, mark = ready
+            reps, x, at, graph, first, mine, copies, tree, times, mark = ready
             q = np.array([v for _, v in asking])
             near = _compare(x, q, least - 1e-9) if beam is None else [
                 search(x, graph, np.union1d(first, [at[r]]) if r in at else first, v, least - 1e-9, beam) for (r, _), v in zip(asking, q)]
@@ -185,9 +188,16 @@ def _hits(members: DataFrame, adjacency: DataFrame | None, asks: DataFrame, leas
                 got = got[mine[got] & (reps[got] != rep)]
                 got = got[np.array([float(np.dot(x[g], v)) >= least for g in got], bool)]
                 if len(got):
-                    out.append((True, shard, rep, len(got), int(np.bitwise_xor.reduce(_mixed(reps[got]))), reps[got]))
+                    out.append((True, shard, rep, len(got), int(copies[got].sum()), int(np.bitwise_xor.reduce(_mixed(reps[got]))), None))
                     times[got] += 1
                     mark[got] ^= h
+                    own = at.get(rep, -1)
+                    known = own >= 0 and mine[own]
+                    trees = np.unique(tree[np.append(got, own) if known else got])      # a tree is named by one of its members
+                    if len(trees) > 1:
+                        tree[np.isin(tree, trees)] = trees[0]
+                    ends = reps[trees].tolist()
+                    out.extend((None, shard, a, None, None, None, b) for a, b in zip(ends if known else [rep, *ends], ends[1:] if known else ends))
             asking.clear()
 
         def end():                                  # of the vectors of one home that ask in the shard
@@ -195,18 +205,18 @@ def _hits(members: DataFrame, adjacency: DataFrame | None, asks: DataFrame, leas
                 answer()
             if ready is not None:
                 reps, times, mark = ready[0], ready[-2], ready[-1]
-                out.extend((False, home, int(reps[g]), int(times[g]), int(mark[g]), None) for g in np.flatnonzero(times))
+                out.extend((False, home, int(reps[g]), int(times[g]), None, int(mark[g]), None) for g in np.flatnonzero(times))
                 times[:], mark[:] = 0, 0
 
         for b in batches:
-            for s, kind, h, rep, v, own, nbs in rows_of(b):
+            for s, kind, h, rep, v, own, nbs, k in rows_of(b):
                 if (s, h) != (shard, home):
                     end()
                     if s != shard:
                         member, ready = [], None
                     shard, home = s, h
                 if kind == 0:
-                    member.append((rep, v, own, nbs))
+                    member.append((rep, v, own, nbs, k))
                     continue
                 if ready is None and member:
                     reps = np.array([m[0] for m in member], np.int64)
@@ -219,7 +229,8 @@ def _hits(members: DataFrame, adjacency: DataFrame | None, asks: DataFrame, leas
                         part = parts(graph)
                         lone = (np.flatnonzero(part == p) for p in np.setdiff1d(part, part[first]))
                         first = np.concatenate([first, np.array([g[medoid(x[g])] for g in lone], int)])
-                    ready = reps, x, at, graph, first, np.array([m[2] for m in member]), np.zeros(len(x), np.int64), np.zeros(len(x), np.int64)
+                    ready = (reps, x, at, graph, first, np.array([m[2] for m in member]), np.array([m[4] for m in member], np.int64),
+                             np.arange(len(x)), np.zeros(len(x), np.int64), np.zeros(len(x), np.int64))
                     member = []
                 if ready is None:
                     continue
@@ -232,53 +243,24 @@ def _hits(members: DataFrame, adjacency: DataFrame | None, asks: DataFrame, leas
         end()
         yield table(out, arrow)
 
-    return rows.mapInArrow(run, "finds boolean, shard int, rep long, n long, digest long, hits array<long>")
+    return rows.mapInArrow(run, "finds boolean, shard int, rep long, n long, copies long, digest long, other long")
 
 
 def _both_ends(members: DataFrame, hits: DataFrame, least: float) -> DataFrame:
-    """The rows of ``hits`` that tell what a vector found, such that every link is found from both of its ends.
+    """The rows of ``hits`` that tell what a vector found, such that every link is found from both of its ends, and the forests.
 
     Where what a vector found in a shard isn't what found it from there, it is compared with all own members;
     so is the other end of every link that only one of them found.
     """
-    differ = cut_lineage(hits.groupBy("rep", "shard").agg(F.sum(F.when(F.col("finds"), F.col("n")).otherwise(-F.col("n"))).alias("d"), F.bit_xor("digest").alias("x"))
+    differ = cut_lineage(hits.where("finds is not null").groupBy("rep", "shard").agg(F.sum(F.when(F.col("finds"), F.col("n")).otherwise(-F.col("n"))).alias("d"), F.bit_xor("digest").alias("x"))
                          .where("d <> 0 or x <> 0").select("rep", "shard"))
-    found = hits.where("finds")
+    found = hits.where("coalesce(finds, true)")
     if not differ.limit(1).count():
         return found
     own = members.where("rank = 0").select("rep", "v", F.col("shard").alias("home"))
-    again = _hits(members.join(differ.select("shard").distinct(), "shard", "left_semi"), None, differ.join(own, "rep"), least, None).where("finds")
-    return found.join(differ, ["rep", "shard"], "left_anti").unionByName(again)
-
-
-def _forest(hits: DataFrame) -> DataFrame:
-    """(a, b): per task, a spanning forest of the links in (rep, hits)."""
-    arrow = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-
-    def run(batches):
-        up: dict[int, int] = {}
-
-        def root(x: int) -> int:
-            while up.setdefault(x, x) != x:
-                up[x] = up[up[x]]
-                x = up[x]
-            return x
-
-        for b in batches:
-            out = []
-            for rep, hits in rows_of(b):
-                r = root(rep)
-                for h in hits:
-                    s = root(h)
-                    if s != r:
-                        out.append((r, s))
-                        up[max(r, s)] = min(r, s)
-                        r = min(r, s)
-            if len(up) > 500_000:
-                up.clear()
-            yield table(out, arrow)
-
-    return hits.select("rep", "hits").mapInArrow(run, "a long, b long")
+    again = _hits(members.join(differ.select("shard").distinct(), "shard", "left_semi"), None, differ.join(own, "rep"), least, None).where("coalesce(finds, true)")
+    stale = differ.select("rep", "shard", F.lit(True).alias("finds"))              # the links of a forest hold
+    return found.join(stale, ["rep", "shard", "finds"], "left_anti").unionByName(again)
 
 
 def _brute(vecs: DataFrame, reps: np.ndarray, queries: np.ndarray, least: float) -> np.ndarray:
@@ -377,14 +359,9 @@ def _links(vecs, least, max_shard, sample_rows, overlap, probes, beam, degree, a
         hits = cut_lineage(_both_ends(members, hits, least))
         if beam is None:
             break
-        found = hits.where(F.col("rep").isin(list(want))).groupBy("rep").agg(F.sum("n").alias("n")).collect() if want else []
+        found = hits.where("finds").where(F.col("rep").isin(list(want))).groupBy("rep").agg(F.sum("n").alias("n")).collect() if want else []
         if _recall(want, {r["rep"]: r["n"] for r in found}) >= aim:
             break
         probes, beam = (min(len(centre), probes * 2), beam * 2) if probes < len(centre) else (probes, None)
-    copies = vecs.select(F.col("rep").alias("h"), F.col("copies").alias("k"))
-    single = hits.groupBy("rep").agg(F.sum("n").alias("others"))
-    if vecs.where("copies > 1").limit(1).count():
-        more = copies.where("k > 1")
-        extra = hits.select("rep", F.explode("hits").alias("h")).join(more, "h").groupBy("rep").agg(F.sum(F.col("k") - 1).alias("x"))
-        single = single.join(extra, "rep", "left").select("rep", (F.col("others") + F.coalesce("x", F.lit(0))).alias("others"))
-    return single, _forest(hits)
+    return (hits.where("finds").groupBy("rep").agg(F.sum("copies").alias("others")),
+            hits.where("finds is null").select(F.col("rep").alias("a"), F.col("other").alias("b")))

@@ -157,3 +157,17 @@ def test_links_count_for_both_ends(spark, monkeypatch):
     df = spark.createDataFrame(list(enumerate(x)), "vec_id long, embedding array<double>")
     got = {r.vec_id: r.n_links for r in neighbours.near_vectors(df, max_shard=200, audit_queries=0).collect()}
     assert got == {i: len(ls) for i, ls in enumerate(links)}
+
+
+def test_a_large_group_writes_no_pairs(spark):
+    rng = np.random.default_rng(6)
+    hot = rng.normal(size=16)
+    x = np.stack([hot + rng.normal(size=16) * 0.01 for _ in range(300)])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    schema = "shard int, rank int, rep long, v array<double>, copies long, nbs array<long>"
+    members = spark.createDataFrame([(0, 0, i, v.tolist(), 2, [j for j in (i - 1, i + 1) if 0 <= j < 300]) for i, v in enumerate(x)], schema)
+    asks = members.selectExpr("shard", "rep", "v", "shard as home")
+    got = neighbours._hits(members.drop("nbs"), members.select("rep", "nbs"), asks, 0.95, 32).collect()
+    assert sorted(r.rep for r in got if r.finds) == list(range(300)) and all((r.n, r.copies) == (299, 598) for r in got if r.finds)
+    assert len(got) == 300 + 300 + 299                                          # what it found, what found it, a spanning tree
+    assert not any(isinstance(c, list) for r in got for c in r)
