@@ -7,7 +7,7 @@ weighs as much as its best feature.  A text's
 score sequence is weight - drift per word.  All maximal scoring segments come from one linear scan.  Under
 the clean word distribution segment scores follow an extreme-value law with rate ``lam`` (the root of
 E exp(lam * score) = 1), so a segment of score S in a text of n words has E-value K n exp(-lam S); segments
-below ``max_e`` are reported.  A text's evidence, lam * (sum of its significant segments) - ln n, is
+below ``max_e`` are reported.  K is estimated on all clean training rows.  A text's evidence, lam * (sum of its significant segments) - ln n, is
 calibrated to a probability on the labelled training rows.
 """
 
@@ -162,6 +162,18 @@ def passages(docs: DataFrame, lexicon: dict[bytes, tuple[float, float]], drift:
              "passages array<struct<first: long, last: long, score: double, e_value: double>>")
 
 
+def extreme_constant(docs: DataFrame, clean: DataFrame, lexicon: dict[bytes, tuple[float, float]], drift: float, lam: float) -> float:
+    """ln K: mean of lam * (best segment) - ln n over the texts of ``docs`` whose doc_id is in ``clean``, less Euler's constant.
+
+    A text without a segment has a best one of 0; texts without words are left out, and without any text K is 1.
+    """
+    best = F.coalesce(F.array_max(F.transform("passages", lambda p: p["score"])), F.lit(0.0))
+    rows = (passages(docs, lexicon, drift, lam, 0.0, math.inf).where("n_words > 0")
+            .select("doc_id", (F.lit(lam) * best - F.log("n_words")).alias("x")).join(clean.select("doc_id"), "doc_id"))
+    mean = rows.agg(F.avg("x")).first()[0]
+    return 0.0 if mean is None else round(mean - float(np.euler_gamma), 9)     # the sum's order doesn't decide on a segment
+
+
 def logistic(x: np.ndarray, toxic: np.ndarray, clean: np.ndarray) -> tuple[float, float]:
     """(intercept, slope >= 0) of P(toxic | x) from counts by x, with a little ridge; Newton steps."""
     w = np.zeros(2)
@@ -202,7 +214,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     lam = rate(lexicon, drift) if lexicon else 1.0
 
     # the extreme-value constant: mean of lam * S - ln n over clean training texts is ln K plus Euler's constant
-    found = cut_lineage(passages(src, lexicon, drift, lam, 0.0, max_e))
+    log_k = extreme_constant(src.where("learn"), marks.where("toxic = 0"), lexicon, drift, lam) if lexicon else 0.0
+    found = cut_lineage(passages(src, lexicon, drift, lam, log_k, max_e))
     cell = F.least(F.greatest(F.round(F.col("evidence") * 4), F.lit(-200.0)), F.lit(400.0)).cast("int")
     hist = (found.where("learn").select("doc_id", cell.alias("cell")).join(marks, "doc_id").groupBy("cell")
             .agg(F.sum("toxic").alias("y"), F.sum(1 - F.col("toxic")).alias("n")).toPandas())

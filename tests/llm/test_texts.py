@@ -111,3 +111,25 @@ def test_toxicity(spark, docs_of):
     assert sorted(r.doc_id or -1 for r in odd) == sorted(r[0] or -1 for r in ODD) and all(0 <= r.score <= 1 for r in odd)
     assert toxicity.toxicity(docs_of(ODD), marks.limit(0)).count() == len(ODD)
     assert toxicity.toxicity(docs_of(ODD).limit(0), marks).count() == 0
+
+
+def test_extreme_value_constant(spark, docs_of, monkeypatch):
+    lexicon, drift, lam = {b"bad": (2.0, 0.01), b"vile": (3.0, 0.002)}, 0.5, 1.3
+    rng = np.random.default_rng(8)
+    texts = [" ".join(rng.choice(["bad", "vile", "calm", "sea"], p=[0.01, 0.002, 0.5, 0.488], size=n)) for n in rng.integers(1, 400, 60)] + ["", None]
+    src = docs_of([(i, t, "en", "a") for i, t in enumerate(texts)]).selectExpr("doc_id", "true as learn", "coalesce(cast(text as binary), cast('' as binary)) as t")
+    clean = spark.range(0, 62, 2).withColumnRenamed("id", "doc_id")
+    want = []
+    for t in texts[::2]:
+        gain = [{"bad": 2.0, "vile": 3.0}.get(w, 0.0) for w in (t or "").split()]
+        if gain:
+            want.append(lam * max((s for *_, s in brute_segments([g - drift for g in gain])), default=0.0) - np.log(len(gain)))
+    got = toxicity.extreme_constant(src, clean, lexicon, drift, lam)
+    assert got == pytest.approx(np.mean(want) - np.euler_gamma, abs=1e-6)
+    assert toxicity.extreme_constant(src, clean.limit(0), lexicon, drift, lam) == 0.0
+
+    used, passages = [], toxicity.passages
+    monkeypatch.setattr(toxicity, "passages", lambda *a: used.append(a[4:]) or passages(*a))
+    d, y = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    toxicity.toxicity(d, y)
+    assert len(used) == 2 and used[1][0] < 0 and used[1][1] == 1.0              # K < 1 reaches the scoring pass
