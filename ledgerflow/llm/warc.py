@@ -23,7 +23,7 @@ from .common import attempt_name, filesystem, rows_of, table, utf8
 # Fixed values of the WARC format.
 VERSION = b"WARC/1.1\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-START = re.compile(rb"\x1f\x8b\x08|(?<![^\n])WARC/\d")
+START = re.compile(rb"\x1f\x8b\x08|WARC/\d")          # a record cut off has no line feed before the next one
 END = b"\r\n\r\n"
 
 
@@ -73,14 +73,13 @@ class Reader:
     def next_start(self, pos: int) -> int:
         """The next place from ``pos`` on that looks like a member or a version line, else the end."""
         while pos < self.size:
-            back = min(1, pos)
-            part = self.read(pos - back, 1 << 20)
-            m = START.search(part, back)
+            part = self.read(pos, 1 << 20)
+            m = START.search(part)
             if m:
-                return pos - back + m.start()
-            if pos - back + len(part) >= self.size:
+                return pos + m.start()
+            if pos + len(part) >= self.size:
                 break
-            pos += len(part) - back - 8
+            pos += len(part) - 8
         return self.size
 
 

@@ -171,3 +171,16 @@ def test_a_large_group_writes_no_pairs(spark):
     assert sorted(r.rep for r in got if r.finds) == list(range(300)) and all((r.n, r.copies) == (299, 598) for r in got if r.finds)
     assert len(got) == 300 + 300 + 299                                          # what it found, what found it, a spanning tree
     assert not any(isinstance(c, list) for r in got for c in r)
+
+
+def test_salvage_of_a_record_right_behind_a_cut():
+    def record(i):
+        p = b"text %d " % i * 200
+        return warc.record_bytes("response", f"urn:page:{i}", f"http://x/{i}", p, None, hashlib.sha1(p).hexdigest())
+
+    a, b, c = map(record, range(3))
+    flipped = a[:-1] + bytes([a[-1] ^ 0x55])
+    for first in (a[:40], a[:len(a) // 2], a[:-1], flipped):
+        data = first + b + c
+        got = list(warc.salvage(Bytes(data), len(data)))
+        assert [(k, s, e) for k, s, e, _ in got] == [("gap", 0, len(first)), ("record", len(first), len(first) + len(b)), ("record", len(first) + len(b), len(data))]
