@@ -1,6 +1,6 @@
 """Benchmark decontamination by greedy string tiling.
 
-Seeds are runs of ``least`` words.  A bitmap of fixed size of all benchmark seeds is broadcast; document seeds
+Seeds are runs of ``least`` words, of items that are shorter the whole item.  A bitmap of fixed size of all benchmark seeds is broadcast; document seeds
 that pass it are joined with the benchmark's seeds.  Pairs whose shared seeds cover enough of the item (an
 upper bound of what tiles can cover) are tiled, and the item's share of tiled words is held against the
 threshold.  Tiles may come in any order, which finds reordered passages.
@@ -8,6 +8,7 @@ threshold.  Tiles may come in any order, which finds reordered passages.
 
 from __future__ import annotations
 
+import re
 from zlib import crc32
 
 import numpy as np
@@ -22,12 +23,18 @@ from .tiling import U64, tiles, windows
 
 #: ASCII that is neither letter nor digit parts words.
 PLAIN = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
+#: Scripts without spaces (Thai, Lao, Myanmar, Khmer, kana, Han): each character is a word; their punctuation parts words.
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+MARKS = re.compile("[\u3000-\u3004\u3008-\u303f\u30fb\uff01-\uff0f\uff1a-\uff20\uff3b-\uff40\uff5b-\uff65]")
 #: Bits of the seed bitmap; two are set per seed.
 BITMAP = 26
 
 
 def words(data: bytes) -> list[bytes]:
-    return data.decode("utf-8", "replace").lower().encode().translate(PLAIN).split()
+    text = data.decode("utf-8", "replace").lower()
+    if not data.isascii():
+        text = UNSPACED.sub(r" \g<0> ", MARKS.sub(" ", text))
+    return text.encode().translate(PLAIN).split()
 
 
 def token_hashes(ws: list[bytes]) -> np.ndarray:
@@ -45,7 +52,7 @@ def _items(benchmark: DataFrame, id_col: str, text_col: str, least: int) -> tupl
 
     def norm(batches):
         for b in batches:
-            yield table([(i, len(ws), b" ".join(ws)) for i, t in rows_of(b) if len(ws := words(t)) >= least], arrow)
+            yield table([(i, len(ws), b" ".join(ws)) for i, t in rows_of(b) if (ws := words(t))], arrow)
 
     src = benchmark.select(qcol(id_col).cast("long").alias("item_id"), utf8(text_col).alias("t"))
     ids = cut_lineage(src.mapInArrow(norm, "item_id long, n int, item binary").withColumn("key", F.xxhash64("item")))
@@ -55,7 +62,7 @@ def _items(benchmark: DataFrame, id_col: str, text_col: str, least: int) -> tupl
     def seeds(batches):
         for b in batches:
             for key, n, item in rows_of(b):
-                s = windows(token_hashes(item.split()), least).view(np.int64)
+                s = windows(token_hashes(item.split()), min(least, n)).view(np.int64)
                 yield table([(int(x), key, p, n) for p, x in enumerate(s)], out)
 
     return ids.select("item_id", "key"), texts, cut_lineage(texts.mapInArrow(seeds, "seed long, key long, pos int, n int"))
@@ -81,13 +88,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                  item_text_col: str = "text", least: int = 5, coverage: float = 0.6) -> DataFrame:
     """Pairs of a document and a benchmark item of whose words tiles of ``least`` or more words cover ``coverage`` or more.
 
+    One tile of ``least`` words is not enough for an item of more words, and an item of fewer words must be in
+    the document as a whole.
+
     Returns doc_id, text_hash (xxhash64 of the document's text), item_id, coverage, n_tiles and tiles
     array<struct<doc_pos, item_pos, length>> in words, one row per pair of rows.  Words are compared in lower
-    case without punctuation.  Items of fewer than ``least`` words match nothing, nor do null or empty texts;
-    null ids are returned as null; repeated rows on either side each give a row.  Other columns are ignored,
+    case without punctuation; in scripts without spaces each character is a word.  Null or empty texts match
+    nothing; null ids are returned as null; repeated rows on either side each give a row.  Other columns are ignored,
     whatever their names.
     """
     ids, texts, seeds = _items(benchmark, item_col, item_text_col, least)
+    sizes = sorted(r[0] for r in texts.select(F.least("n", F.lit(least))).distinct().collect())         # ``least`` rows at most
     shared = docs.sparkSession.sparkContext.broadcast(_bitmap(seeds))
     arrow = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("doc", pa.binary()), ("seeds", pa.list_(pa.int64()))])
 
@@ -101,7 +112,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             out = []
             for doc_id, h, t in rows_of(b):
                 ws = words(t)
-                s = windows(token_hashes(ws), least)
+                hashes = token_hashes(ws)
+                s = np.concatenate([windows(hashes, k) for k in sizes] or [np.zeros(0, U64)])
                 x, y = _bits(s)
                 hit = has(x)
                 hit[hit] = has(y[hit])
@@ -116,7 +128,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     covered = F.aggregate(F.array_sort(F.collect_set("pos")), F.struct(F.lit(-least).alias("end"), F.lit(0).alias("sum")),
                           lambda s, p: F.struct(p.alias("end"), (s["sum"] + F.least(p - s["end"], F.lit(least))).alias("sum")), lambda s: s["sum"])
     pairs = (found.select("row", F.explode("seeds").alias("seed")).join(seeds, "seed").groupBy("row", "key", "n")
-             .agg(covered.alias("most")).where(F.col("most") >= F.col("n") * F.lit(coverage)).select("row", "key"))
+             .agg(covered.alias("most")).where(F.col("most") >= F.col("n") * F.lit(coverage))
+             .where((F.col("most") > least) | (F.col("n") <= least)).select("row", "key"))
     work = pairs.join(found.select("row", "doc_id", "text_hash", "doc"), "row").join(texts, "key").select("doc_id", "text_hash", "key", "doc", "item")
     tile = pa.struct([("doc_pos", pa.int32()), ("item_pos", pa.int32()), ("length", pa.int32())])
     made = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("key", pa.int64()), ("coverage", pa.float64()), ("tiles", pa.list_(tile))])
@@ -128,9 +141,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 d, p = doc.split(), item.split()
                 names = {w: k for k, w in enumerate({*d, *p})}
                 x, y = (np.array([names[w] for w in ws], U64) for ws in (d, p))
-                got = tiles(x, y, least)
-                share = sum(n for _, _, n in got) / len(p)
-                if share >= coverage:
+                got = tiles(x, y, min(least, len(p)))
+                tiled = sum(n for _, _, n in got)
+                share = tiled / len(p)
+                if share >= coverage and (tiled > least or tiled == len(p)):
                     out.append((doc_id, h, key, share, [{"doc_pos": i, "item_pos": j, "length": n} for i, j, n in got]))
             yield table(out, made)
 

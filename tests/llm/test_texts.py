@@ -133,3 +133,12 @@ def test_extreme_value_constant(spark, docs_of, monkeypatch):
     d, y = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     toxicity.toxicity(d, y)
     assert len(used) == 2 and used[1][0] < 0 and used[1][1] == 1.0              # K < 1 reaches the scoring pass
+
+
+def test_contamination_by_short_and_unspaced_items(spark, docs_of):
+    han = "今天天气很好，我们一起去公园散步吧"
+    rows = [(1, "He asked: who wrote Hamlet? Nobody knew.", "en", "a"), (2, "Hamlet wrote who", "en", "a"), (3, "at the end of the day we left", "en", "a"),
+            (4, "At the end of the day, nothing matters.", "en", "a"), (5, "他说：" + han + "。", "zh", "a"), (6, "今天我们去学校", "zh", "a"), (7, None, "en", "a")]
+    items = [(10, "Who wrote Hamlet?", 0), (11, "by the end of the day nothing works", 0), (12, han, 0), (13, "at the end of the", 0), (14, "", 0)]
+    got = D.contaminated(docs_of(rows), spark.createDataFrame(items, "item_id long, text string, doc_id int")).collect()
+    assert sorted((r.doc_id, r.item_id, r.coverage) for r in got) == [(1, 10, 1.0), (3, 13, 1.0), (4, 11, 0.75), (4, 13, 1.0), (5, 12, 1.0)]
