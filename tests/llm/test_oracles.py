@@ -23,7 +23,7 @@ def test_query_equals_sql(spark, name):
 
 
 def test_entry_lists_all():
-    assert {f"op{n}_" for n in range(1, 11)} == {k.split("_")[0] + "_" for k in registry.QUERIES if k != "pipeline"}
+    assert {f"op{n}_" for n in range(1, 14)} == {k.split("_")[0] + "_" for k in registry.QUERIES if k != "pipeline"}
     assert set(registry.QUERIES) <= set(E.queries()) and len(corpus_pipeline.STAGES) == 5
 
 
