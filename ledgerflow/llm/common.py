@@ -95,6 +95,11 @@ def attempt_name(prefix: str, suffix: str) -> str:
     return f"{prefix}-{ctx.partitionId() if ctx else 0:06d}-{uuid.uuid4().hex[:12]}{suffix}"
 
 
+def small_side(df: DataFrame, rows: int = 200_000) -> DataFrame:
+    """A written frame as the small side of a join: broadcast if it is counted to have at most ``rows`` rows, else left to the planner."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 _SENT: set[str] = set()
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import qcol
 from ..session import cut_lineage
-from .common import groups, map_rows, rows_of, table, utf8
+from .common import groups, map_rows, rows_of, small_side, table, utf8
 
 #: Bytes of a term; shorter texts are one term.
 TERM = 5
@@ -122,10 +122,10 @@ def edited_prints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     heads = ends.select(F.col("part").alias("next"), F.col("head_id"), "head")
     pairs = ends.select("part", "doc_id", "tail").join(follow, "part").join(heads, "next").select("doc_id", "tail", "head_id", "head")
     closed = map_rows(pairs, FACTS, ARROW, lambda: lambda r: _Doc(r[0], r[1], bits).row(_Doc(r[2], r[3], bits), bits))
-    return made.where("tail is null").select(*ARROW.names).unionByName(closed)
+    return made.where("tail is null").select(*ARROW.names).unionByName(cut_lineage(closed))
 
 
-def near_counts(prints: DataFrame, radius: int, bits: int = 256, tile: int = 8192) -> DataFrame:
+def near_counts(prints: DataFrame, radius: int, bits: int = 256, tile: int = 512) -> DataFrame:
     """(fp, n): rows of ``prints`` (fp binary, asks boolean) within ``radius`` bits, for every fingerprint that asks.
 
     Equal fingerprints are one entry that counts for its rows.  Only entries whose block a query shares are moved;
@@ -136,14 +136,13 @@ def near_counts(prints: DataFrame, radius: int, bits: int = 256, tile: int = 819
         raise ValueError("a block must hold a byte at least: radius below bits / 8")
     block = lambda fp, k: F.substring(fp, cuts[k] + 1, cuts[k + 1] - cuts[k])
     tables = lambda fp: F.array(*[F.struct(F.lit(k).cast("byte").alias("k"), block(fp, k).alias("key")) for k in range(radius + 1)])
-    pool = prints.groupBy("fp").agg(F.count("*").alias("n"), F.max("asks").alias("asks"))
-    pool = cut_lineage(pool)
+    pool = cut_lineage(prints.groupBy("fp").agg(F.count("*").alias("n"), F.max("asks").alias("asks")))
     entries = pool.select("fp", "n", "asks", F.explode(tables(F.col("fp"))).alias("e")).select("e.k", "e.key", "fp", "n", "asks")
-    asked = entries.where("asks").select("k", "key").distinct()
-    met = cut_lineage(entries.join(asked, ["k", "key"], "left_semi"))
-    chunks = met.groupBy("k", "key").agg(F.ceil(F.count("*") / tile).cast("int").alias("chunks"))
-    mine = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
-    rows = (met.join(chunks, ["k", "key"]).withColumn("mine", mine)
+    asked = cut_lineage(entries.where("asks").select("k", "key").distinct())
+    met = cut_lineage(entries.join(small_side(asked), ["k", "key"], "left_semi"))
+    crowded = cut_lineage(met.groupBy("k", "key").agg(F.ceil(F.count("*") / tile).cast("int").alias("chunks")).where("chunks > 1"))
+    rows = (met.join(small_side(crowded), ["k", "key"], "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+            .withColumn("mine", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
             .withColumn("chunk", F.explode(F.when(F.col("asks"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array("mine"))))
             .select("k", "key", "chunk", "fp", F.when(F.col("chunk") == F.col("mine"), F.col("n")).otherwise(0).alias("n"), "asks"))
     by = ["k", "key", "chunk"]
@@ -183,7 +182,7 @@ def document_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str
     is its own next.  Repeated rows are rows of their own.  Other columns are ignored, whatever their names.
     """
     asks = F.col("doc_id") % 100 == 0 if asks is None else asks
-    facts = cut_lineage(edited_prints(docs, id_col, text_col, bits).withColumn("asks", F.coalesce(asks, F.lit(False))))
+    facts = edited_prints(docs, id_col, text_col, bits).withColumn("asks", F.coalesce(asks, F.lit(False)))
     near = near_counts(facts.select("fp", "asks"), radius, bits).withColumnRenamed("n", "n_near")
     asking = facts.where("asks").join(near, "fp").withColumn("n_near", F.col("n_near") - 1)
     rest = facts.where("not asks").withColumn("n_near", F.lit(None).cast("long"))
