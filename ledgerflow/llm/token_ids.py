@@ -8,7 +8,10 @@ running sums over the manifest.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -22,67 +25,91 @@ from .common import attempt_name, filesystem, rows_of, table, utf8
 
 #: Words whose ids a Python worker remembers at most (half of them, and those used since).
 REMEMBERED = 500_000
-#: Marks that are a token run of their own behind a letter or digit.
-TRAILING = b".,!?;:#$%&*|"
+#: Letters that are one code point in lower case too and whose composed form is themselves: ASCII and the Latin letters up to U+017F.
+LETTERS = "A-Za-zªµºÀ-ÖØ-öø-įı-ſ"
+#: Texts whose runs can be told apart here: those letters, ASCII marks but for ``<``, which may open a special token, and white space.
+PLAIN = re.compile(rf"[ \t\n\v\f\r!-;=-~{LETTERS}]*")
+#: Runs that the vocabulary's pre-tokeniser makes of such a text in lower case (its pattern, fixed); there all bytes above ASCII are letters'.
+RUNS = re.compile(rb"[a-z\x80-\xff]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\s0-9a-z\x80-\xff]+")
 _KNOWN: dict[str, "_Words"] = {}
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: printable Latin-1 as it is, the others from U+0100 on."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+    return {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in set(shown))}
+
+
+class _Memory(dict):
+    """A function's results by its argument, worked out when first asked for; half of ``REMEMBERED`` and those used since are kept."""
+
+    def __init__(self, make: Callable[[bytes], bytes]):
+        self.make, self.old = make, {}
+
+    def __missing__(self, key: bytes) -> bytes:
+        got = self.old.get(key)
+        if got is None:
+            got = self.make(key)
+        self[key] = got
+        return got
+
+    def renew(self) -> None:
+        if len(self) > REMEMBERED // 2:
+            self.old = dict(self)
+            self.clear()
+
+
 class _Words:
-    """Ids of words as bytes, remembered between tasks of a worker in two generations."""
+    """Ids of texts, from remembered ids of their words; kept between tasks of a worker.
+
+    A new word of a plain text is cut into the pre-tokeniser's runs; each goes to the library's model.  A word of
+    another text, where not plain itself, goes through the whole library.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokeniser = Tokenizer.from_file(path)
-        self.new: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.model = self.tokeniser.model
+        self.letters = _byte_letters()
+        self.plain, self.any = _Memory(self._plain), _Memory(self._any)
 
-    def _look(self, w: bytes) -> bytes | None:
-        got = self.new.get(w)
-        if got is None and (got := self.old.get(w)) is not None:
-            self.new[w] = got
-        return got
+    def _run(self, run: bytes) -> bytes:
+        shown = run.decode() if run.isascii() else "".join(map(self.letters.__getitem__, run))
+        return array("I", [x.id for x in self.model.tokenize(shown)]).tobytes()
+
+    def _plain(self, w: bytes) -> bytes:
+        runs = (w,) if w.isalpha() else RUNS.findall(w)
+        return self._run(w) if len(runs) == 1 else b"".join([self.plain[r] for r in runs])
 
-    def _learn(self, some: list[bytes]) -> None:
-        split = {w: _core(w) for w in some}
-        ask = list({x for w, core in split.items() for x in ((core, w[len(core):]) if core else (w,)) if self._look(x) is None})
-        plain = [w for w in ask if w.isascii() and w.isalpha() and w.islower()]     # one run, the same after normalising
-        for w in plain:
-            self.new[w] = np.array([x.id for x in self.tokeniser.model.tokenize(w.decode())], "<u4").tobytes()
-        ask = [w for w in ask if w not in self.new]
-        for at in range(0, len(ask), 4096):
-            part = ask[at:at + 4096]
-            for w, e in zip(part, self.tokeniser.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)):
-                self.new[w] = np.array(e.ids, "<u4").tobytes()
-        for w, core in split.items():
-            if core:
-                self.new[w] = self.new[core] + self.new[w[len(core):]]
+    def _any(self, w: bytes) -> bytes:
+        low = _plain_lower(w)
+        if low is not None:
+            return self.plain[low]
+        return array("I", self.tokeniser.encode_batch_fast([w.decode("utf-8", "replace")], add_special_tokens=False)[0].ids).tobytes()
 
     def ids(self, data: bytes) -> np.ndarray:
-        ws = (data if b"<" in data else data.lower()).split()
-        got = list(map(self.new.get, ws))
-        if None in got:
-            if len(self.new) > REMEMBERED // 2:
-                self.new, self.old = {}, self.new
-            self._learn(list({w for w in ws if self._look(w) is None}))
-            got = list(map(self.new.get, ws))
-        return np.frombuffer(b"".join(got), "<u4")
+        low = _plain_lower(data)
+        memory, words = (self.plain, low.split()) if low is not None else (self.any, (data if b"<" in data else data.lower()).split())
+        out = np.frombuffer(b"".join(map(memory.__getitem__, words)), "<u4")
+        self.plain.renew()
+        self.any.renew()
+        return out
 
 
-def _core(w: bytes) -> bytes:
-    """The word without trailing marks, if it has some and they can't run on from what stands before them; else nothing."""
-    core = w.rstrip(TRAILING)
-    if not core or len(core) == len(w):
-        return b""
-    last = core[-4:].decode("utf-8", "ignore")[-1:]
-    return core if core[-1:].isalnum() or not last.isascii() and last.isalpha() and last.lower().isalpha() else b""
+def _plain_lower(data: bytes) -> bytes | None:
+    """A plain text in lower case; None for other texts."""
+    text = data.decode("utf-8", "replace")
+    if PLAIN.fullmatch(text):
+        return data.lower() if len(text) == len(data) else text.lower().encode()
+    return None
 
 
 def word_tokeniser(path: str):
     """text (UTF-8 bytes) -> ids by the tokenizers library, for lower-case vocabularies that drop white space.
 
-    White space ends every token there, so the ids of a text are those of its words in a row; each word
-    is encoded once and remembered.  (Texts with ``<``, which may hold special tokens, keep their case.)
+    White space ends every token there, so the ids of a text are those of its words in a row, and a word's those
+    of its runs; each is encoded once and remembered.  (Texts with ``<``, which may hold special tokens, keep their case.)
     """
     if path not in _KNOWN:
         _KNOWN[path] = _Words(path)
