@@ -106,8 +106,15 @@ class File:
     def token(self, i: int) -> int:
         return int(self.ids(i, i + 1)[0])
 
+    def some_docs(self, k: int, stop: int) -> list[tuple[int | None, int, np.ndarray]]:
+        """(id, first position, tokens) of documents k <= i < stop, read in one piece."""
+        ids, first = self.docs[k:stop, 0].tolist(), self.docs[k:stop + 1, 1].tolist()
+        if len(first) == len(ids):                           # the last document ends with the file
+            first.append(self.n_ids)
+        run = self.ids(first[0], first[-1])
+        return [(None if d == NO_ID else d, a, run[a - first[0]:b - first[0]]) for d, a, b in zip(ids, first, first[1:])]
+
     def doc(self, k: int) -> tuple[int | None, np.ndarray]:
         """Id and tokens of the k-th document."""
-        stop = int(self.docs[k + 1, 1]) if k + 1 < len(self.docs) else self.n_ids
-        d = int(self.docs[k, 0])
-        return (None if d == NO_ID else d), self.ids(int(self.docs[k, 1]), stop)
+        d, _, ids = self.some_docs(k, k + 1)[0]
+        return d, ids

@@ -67,8 +67,8 @@ def row_hash(docs: DataFrame) -> Column:
 
 def placed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """(doc_id, h, key, size, first): ``first`` is the document's first word in its source's stream; h hashes the row."""
-    rows = docs.select(qcol(id_col).cast("long").alias("doc_id"), row_hash(docs).alias("h"),
-                       source_key(qcol(source_col)).alias("key"), word_count(qcol(text_col).cast("string")).alias("size"))
+    rows = cut_lineage(docs.select(qcol(id_col).cast("long").alias("doc_id"), row_hash(docs).alias("h"),     # texts are read once
+                                   source_key(qcol(source_col)).alias("key"), word_count(qcol(text_col).cast("string")).alias("size")))
     placed = prefix_by_key(rows, "key", ["doc_id", "h", "size"], "size")
     return placed.select("doc_id", "h", "key", "size", F.col("_prev_sum").cast("long").alias("first"))
 
@@ -103,13 +103,12 @@ def drawn_blocks(targets: DataFrame, block: int, shard_slots: int = 4096, max_re
              .withColumn("e", ends.scalar()).select("slot", "shard", source_at(ends, u)["src"].alias("src")))
     # a slot's number in its source: the source's slots in earlier shards and earlier in this one
     counts = slots.groupBy("src", "shard").agg(F.count("*").alias("k"))
-    before = Window.partitionBy("src").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select("src", "shard", F.coalesce(F.sum("k").over(before), F.lit(0)).alias("base"))
+    counts = prefix_by_key(counts, "src", ["shard"], "k").select("src", "shard", F.col("_prev_sum").cast("long").alias("base"))
     inside = Window.partitionBy("shard", "src").orderBy("slot")
     numbered = (slots.withColumn("r", F.row_number().over(inside) - 1).join(counts, ["shard", "src"])
                 .join(t.select("src", "q"), "src").select("shard", "slot", "src", "q", (F.col("base") + F.col("r")).alias("j")))
     numbered = cut_lineage(numbered)
-    # slots beyond a source's number go to the sources that drew too few; of order sqrt(slots) rows
+    # slots beyond a source's number go to the sources that drew too few; of order sqrt(slots) rows, so one task numbers them
     kept = numbered.groupBy("src").agg(F.count(F.when(F.col("j") < F.col("q"), 1)).alias("kept"))
     short = t.join(kept, "src", "left").select("src", F.coalesce("kept", F.lit(0)).alias("kept"), (F.col("q") - F.coalesce("kept", F.lit(0))).alias("d"))
     short = cut_lineage(short.where("d > 0").withColumn("hi", F.sum("d").over(upto)))
@@ -118,8 +117,9 @@ def drawn_blocks(targets: DataFrame, block: int, shard_slots: int = 4096, max_re
     spare = spare.withColumn("e", gaps.scalar()).withColumn("g", source_at(gaps, F.col("u")))
     moved = spare.select("shard", "slot", F.col("g.src").alias("src"), (F.col("g.kept") + F.col("u") - (F.col("g.hi") - F.col("g.d"))).alias("j"))
     final = numbered.where("j < q").select("shard", "slot", "src", "j").unionByName(moved).join(t.select("src", "key", "m"), "src")
-    at = permuted(F.pmod("j", "m"), F.col("m"), F.lit(seed), F.col("key"), F.floor(F.col("j") / F.col("m")))
-    return final.select("shard", "slot", "src", "key", at.alias("block"))
+    turn = F.xxhash64(F.lit(seed), "key", F.floor(F.col("j") / F.col("m")))
+    final = final.select("shard", "slot", "src", "key", "m", F.pmod("j", "m").alias("x"), turn.alias("turn"))
+    return final.select("shard", "slot", "src", "key", permuted(F.col("x"), F.col("m"), F.col("turn")).alias("block"))
 
 
 def _pieces(placed: DataFrame, block: int) -> DataFrame:
@@ -173,7 +173,8 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.withColumns({i: qcol(id_col).cast("long"), h: row_hash(docs)}).dropDuplicates([i, h])
     out = rows.join(plan, (F.col(h) == F.col(ph)) & F.col(i).eqNullSafe(F.col(pi))).withColumn(take, F.explode(takes))
     words = F.regexp_extract_all(qcol(text_col), F.lit(f"({WORD})"), F.lit(1))
-    some = F.array_join(F.flatten(F.transform(F.col(take)["p"], lambda x: F.slice(words, x["from"].cast("int"), x["words"].cast("int")))), " ")
+    cut = lambda w: F.flatten(F.transform(F.col(take)["p"], lambda x: F.slice(w, x["from"].cast("int"), x["words"].cast("int"))))
+    some = F.array_join(F.transform(F.array(words), cut)[0], " ")        # bound by a lambda: the text is cut into words once
     out = out.withColumn(text_col, F.when(F.col(take)["all"], qcol(text_col)).otherwise(some))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length(qcol(text_col)).cast(docs.schema["n_chars"].dataType))

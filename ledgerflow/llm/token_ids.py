@@ -181,9 +181,8 @@ def read_ids(manifest: DataFrame) -> DataFrame:
                 with fs.open_input_file(path) as f:
                     file = dac.File(f.read())
                 out = []
-                for k in range(len(file.docs)):
-                    doc, ids = file.doc(k)
-                    out.append((doc, start + int(file.docs[k, 1]), len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
+                for k in range(0, len(file.docs), 64):
+                    out += [(doc, start + first, len(ids), zlib.crc32(ids.astype("<u4").tobytes())) for doc, first, ids in file.some_docs(k, k + 64)]
                     if len(out) >= 10_000:
                         yield table(out, arrow)
                         out = []
