@@ -46,13 +46,13 @@ def _bits(seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (mixed >> U64(64 - BITMAP)).astype(np.int64), ((seeds ^ mixed >> U64(29)) * U64(0xCA4BCAA75EC3F625) >> U64(64 - BITMAP)).astype(np.int64)
 
 
-def _items(benchmark: DataFrame, id_col: str, text_col: str, least: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _items(benchmark: DataFrame, id_col: str, text_col: str, least: int, least_item: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Item ids (item_id, key), texts (key, n, item words joined) and seeds (seed, key, pos, n); a key is a distinct text."""
     arrow = pa.schema([("item_id", pa.int64()), ("n", pa.int32()), ("item", pa.binary())])
 
     def norm(batches):
         for b in batches:
-            yield table([(i, len(ws), b" ".join(ws)) for i, t in rows_of(b) if (ws := words(t))], arrow)
+            yield table([(i, len(ws), b" ".join(ws)) for i, t in rows_of(b) if len(ws := words(t)) >= max(least_item, 1)], arrow)
 
     src = benchmark.select(qcol(id_col).cast("long").alias("item_id"), utf8(text_col).alias("t"))
     ids = cut_lineage(src.mapInArrow(norm, "item_id long, n int, item binary").withColumn("key", F.xxhash64("item")))
@@ -85,11 +85,11 @@ def _bitmap(seeds: DataFrame) -> np.ndarray:
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-                 item_text_col: str = "text", least: int = 5, coverage: float = 0.6) -> DataFrame:
+                 item_text_col: str = "text", least: int = 5, coverage: float = 0.6, least_item: int = 1) -> DataFrame:
     """Pairs of a document and a benchmark item of whose words tiles of ``least`` or more words cover ``coverage`` or more.
 
     One tile of ``least`` words is not enough for an item of more words, and an item of fewer words must be in
-    the document as a whole.
+    the document as a whole.  Items of fewer than ``least_item`` words are left out.
 
     Returns doc_id, text_hash (xxhash64 of the document's text), item_id, coverage, n_tiles and tiles
     array<struct<doc_pos, item_pos, length>> in words, one row per pair of rows.  Words are compared in lower
@@ -97,7 +97,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     nothing; null ids are returned as null; repeated rows on either side each give a row.  Other columns are ignored,
     whatever their names.
     """
-    ids, texts, seeds = _items(benchmark, item_col, item_text_col, least)
+    ids, texts, seeds = _items(benchmark, item_col, item_text_col, least, least_item)
     sizes = sorted(r[0] for r in texts.select(F.least("n", F.lit(least))).distinct().collect())         # ``least`` rows at most
     shared = docs.sparkSession.sparkContext.broadcast(_bitmap(seeds))
     arrow = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("doc", pa.binary()), ("seeds", pa.list_(pa.int64()))])
@@ -154,9 +154,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     return got.join(ids, "key").select("doc_id", "text_hash", "item_id", "coverage", F.size("tiles").alias("n_tiles"), "tiles")
 
 
-def without_benchmark(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
-    """The rows of ``docs``, columns unchanged, that hold no benchmark item."""
+def without_benchmark(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_item: int = 8,
+                      **settings) -> DataFrame:
+    """The rows of ``docs``, columns unchanged, that hold no benchmark item of ``least_item`` or more words.
+
+    A shorter item is a word or phrase that clean documents hold too; ``contaminated`` reports it, no document goes for it.
+    """
     i, h, bi, bh = fresh(docs, "_doc", "_hash", "_bad_doc", "_bad_hash")
-    bad = cut_lineage(contaminated(docs, benchmark, id_col, text_col, **settings).select(F.col("doc_id").alias(bi), F.col("text_hash").alias(bh)).distinct())
+    bad = cut_lineage(contaminated(docs, benchmark, id_col, text_col, least_item=least_item, **settings)
+                      .select(F.col("doc_id").alias(bi), F.col("text_hash").alias(bh)).distinct())
     mine = docs.withColumns({i: qcol(id_col).cast("long"), h: F.xxhash64(qcol(text_col))})
     return mine.join(bad, F.col(i).eqNullSafe(F.col(bi)) & (F.col(h) == F.col(bh)), "left_anti").drop(i, h)

@@ -6,6 +6,8 @@ import numpy as np
 
 U64 = np.uint64
 BASE = U64(0x9E3779B97F4A7C15)
+#: Pairs of equal windows that are held at a time.
+PAIRS = 2_000_000
 
 
 def windows(tokens: np.ndarray, size: int) -> np.ndarray:
@@ -45,25 +47,41 @@ def _free(marked: np.ndarray, size: int) -> np.ndarray:
     return np.flatnonzero(sums[size:] == sums[:-size]) if len(marked) >= size else np.zeros(0, np.int64)
 
 
-def _matches(a, b, marked_a, marked_b, size) -> list[tuple[int, int, int]]:
-    """Maximal runs (length, start in a, start in b) of at least ``size`` equal unmarked tokens, longest first."""
+def _runs(a, b, marked_a, marked_b, size) -> np.ndarray:
+    """Maximal runs (start in a, start in b, length) of at least ``size`` equal unmarked tokens.
+
+    Equal windows are paired ``PAIRS`` at a time, at least all of one start in a; runs on one diagonal that the
+    pieces cut apart are joined.
+    """
+    none = np.zeros((0, 3), np.int64)
     i, j = _free(marked_a, size), _free(marked_b, size)
     if not len(i) or not len(j):
-        return []
+        return none
     ha, hb = _rolled(a, size)[i], _rolled(b, size)[j]
     by = np.argsort(hb, kind="stable")
     lo, hi = np.searchsorted(hb[by], ha, "left"), np.searchsorted(hb[by], ha, "right")
-    n = hi - lo
-    if not n.any():
-        return []
-    x = np.repeat(i, n)
-    y = j[by[np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())]]
-    order = np.lexsort((x, x - y))                     # along diagonals
-    x, y = x[order], y[order]
-    starts = np.flatnonzero(np.concatenate([[True], (np.diff(x - y) != 0) | (np.diff(x) != 1)]))
-    lens = np.diff(np.append(starts, len(x))) + size - 1
-    found = zip(lens.tolist(), x[starts].tolist(), y[starts].tolist())
-    return sorted(found, key=lambda m: (-m[0], m[1], m[2]))
+    some = np.flatnonzero(hi > lo)
+    if not len(some):
+        return none
+    i, lo, n = i[some], lo[some], (hi - lo)[some]
+    upto, made, at = np.cumsum(n), [], 0
+    while at < len(i):
+        stop = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + PAIRS, "right")))
+        k = n[at:stop]
+        x = np.repeat(i[at:stop], k)
+        y = j[by[np.repeat(lo[at:stop] - (np.cumsum(k) - k), k) + np.arange(len(x))]]
+        order = np.lexsort((x, x - y))                     # along diagonals
+        x, y = x[order], y[order]
+        starts = np.flatnonzero(np.concatenate([[True], (np.diff(x - y) != 0) | (np.diff(x) != 1)]))
+        made.append(np.stack([x[starts], y[starts], np.diff(np.append(starts, len(x)))], axis=1))
+        at = stop
+    r = np.concatenate(made)
+    if len(made) > 1:
+        r = r[np.lexsort((r[:, 0], r[:, 0] - r[:, 1]))]
+        first = np.concatenate([[True], (np.diff(r[:, 0] - r[:, 1]) != 0) | (r[1:, 0] != r[:-1, 0] + r[:-1, 2])])
+        r = np.column_stack([r[first, :2], np.add.reduceat(r[:, 2], np.flatnonzero(first))])
+    r[:, 2] += size - 1
+    return r
 
 
 def tiles(a: np.ndarray, b: np.ndarray, least: int) -> list[tuple[int, int, int]]:
@@ -75,11 +93,9 @@ def tiles(a: np.ndarray, b: np.ndarray, least: int) -> list[tuple[int, int, int]
     marked_a, marked_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
     out, size = [], max(least, min(len(a), len(b)))
     while True:
-        while found := _matches(a, b, marked_a, marked_b, size):
-            longest = found[0][0]
-            for n, i, j in found:
-                if n < longest:
-                    break
+        while len(found := _runs(a, b, marked_a, marked_b, size)):
+            found = found[found[:, 2] == found[:, 2].max()]
+            for i, j, n in found[np.lexsort((found[:, 1], found[:, 0]))].tolist():
                 if marked_a[i:i + n].any() or marked_b[j:j + n].any():
                     continue
                 if not np.array_equal(a[i:i + n], b[j:j + n]):     # a hash collision; never marked, so left out by hand

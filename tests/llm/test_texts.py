@@ -142,3 +142,34 @@ def test_contamination_by_short_and_unspaced_items(spark, docs_of):
     items = [(10, "Who wrote Hamlet?", 0), (11, "by the end of the day nothing works", 0), (12, han, 0), (13, "at the end of the", 0), (14, "", 0)]
     got = D.contaminated(docs_of(rows), spark.createDataFrame(items, "item_id long, text string, doc_id int")).collect()
     assert sorted((r.doc_id, r.item_id, r.coverage) for r in got) == [(1, 10, 1.0), (3, 13, 1.0), (4, 11, 0.75), (4, 13, 1.0), (5, 12, 1.0)]
+
+
+def test_pieces_of_pairs_change_nothing(monkeypatch):
+    from ledgerflow.llm import tiling
+
+    rng = np.random.default_rng(8)
+    for _ in range(60):
+        a, b = (rng.integers(0, 3, rng.integers(1, 60)).astype(np.uint64) for _ in range(2))
+        a[10:25] = 1
+        whole = tiles(a, b, 3)
+        monkeypatch.setattr(tiling, "PAIRS", int(rng.integers(1, 40)))
+        assert tiles(a, b, 3) == whole
+        monkeypatch.undo()
+
+
+def test_repetitive_texts_fit_in_memory():
+    import tracemalloc
+
+    a, b = np.ones(300_000, np.uint64), np.concatenate([np.arange(2, 602), np.ones(40), np.arange(2, 602)]).astype(np.uint64)
+    tracemalloc.start()
+    got = tiles(a, b, 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got == [(0, 600, 40)] and peak < 400e6
+
+
+def test_short_items_remove_no_document(spark, docs_of):
+    rows = [(i, f"well that is document {i} on the other hand", "en", "a") for i in range(20)]
+    items = spark.createDataFrame([(1, "that"), (2, "on the other hand"), (3, "well that is document 7 on the other hand")], "item_id long, text string")
+    assert {r.item_id for r in D.contaminated(docs_of(rows), items).collect()} == {1, 2, 3}
+    assert sorted(r.doc_id for r in D.without_benchmark(docs_of(rows), items).collect()) == [i for i in range(20) if i != 7]
