@@ -1,8 +1,9 @@
 """Main text by consensus host paths.
 
 Every page's containers are scored; the path of the best one is the page's vote.  Votes are added up per host
-in Spark, and every page is extracted again under its host's winning paths, most votes first.  A page without
-any text there is extracted under its own best container, and a page without containers whole.
+in Spark, and every page is extracted again under its host's winning paths, most votes first.  A page that holds
+next to nothing there (under a fifth of what its own best container holds) is extracted under that container, and
+a page without containers whole.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import qcol
 from ..session import cut_lineage
 from .common import rows_of, table, utf8
-from .html_blocks import best_path, parse, text_under
+from .html_blocks import best_path, chosen_text, parse
 
 
 def host_of(url):
@@ -66,12 +67,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
         for b in batches:
             out = []
             for page, url, h, paths in rows_of(b):
-                found = parse(h.decode("utf-8", "replace"))
-                text = text_under(found, paths or [])
-                if text is None and (own := best_path(found)):
-                    text = text_under(found, [own[0]])
-                if text is None:
-                    text = "\n".join(t for _, t in found)
+                text = chosen_text(parse(h.decode("utf-8", "replace")), paths or [])
                 out.append((page, url, text, len(text)))
             yield table(out, arrow)
 

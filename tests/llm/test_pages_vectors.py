@@ -4,7 +4,7 @@ import random
 import numpy as np
 
 from ledgerflow.llm import html_extract, neighbours, warc
-from ledgerflow.llm.html_blocks import best_path, parse, text_under
+from ledgerflow.llm.html_blocks import best_path, chosen_text, parse, text_under
 
 
 class Bytes:
@@ -71,6 +71,62 @@ def test_main_text_of_a_page():
     assert [t for _, t in parse("plain &eacute;")] == ["plain é"]
 
 
+def test_articles_survive_their_class_names_and_neighbours():
+    long = "This sentence is part of the article and long enough to be one. " * 4
+    own = lambda html, paths=(): chosen_text(parse(html), list(paths))
+    assert own(f'<div class="main-content ad-free"><p>{long}</p></div><div>foot</div>') == long.strip()
+    assert own(f'<div class="post has-comments">{long}</div><p>x</p>') == long.strip()
+    assert own(f'<body><div class="content"><div><p>{long}</p></div><div class="text"><p>{long * 3}</p></div></div><div>foot</div></body>') \
+        == long.strip() + "\n" + (long * 3).strip()
+    assert own(f'<body><div class="a">hi</div><section class="b"><p>{long}</p></section></body>', ["/body/div.a"]) == long.strip()
+    assert own(f'<body><div class="related"><p>{long}</p></div></body>') == long.strip()              # all there is
+    assert own(f'<body><div class="comment-list"><p>{long}</p></div><div><p>Short.</p></div></body>') == "Short."
+    assert own(f'<div class="w-1/2"><p>{long}</p></div><div class="ads">{long}</div>', ["/div.w-|"]) == long.strip()
+
+
+def test_hostile_pages_take_time_in_proportion():
+    import time
+
+    n = 125_000
+    for page in ("<div>x" * n, '<a "' * 2 * n, "<b>x<hr>" * n, "<p>x" * n, "<" * 4 * n, "<!" * n, "<!--" * n, "<script>" * n, "<table><tr><td>" * (n // 3),
+                 "<a b='" * n, '<a b="x>' * n, "<i " + "a " * n, "</div>" * n, "<div class='" + "x " * n + "'>t", "<li>x" * n, "&amp" * n, "<b>" * n + "x<p>y" * n):
+        at = time.perf_counter()
+        found = parse(page)
+        chosen_text(found, ["/div/div", "/p"])
+        assert time.perf_counter() - at < 15, page[:10]
+
+
+def test_containers_of_random_trees_equal_brute_force():
+    import random
+
+    rng = random.Random(4)
+
+    def grow(depth):
+        tag = rng.choice(["div", "section", "p", "article", "ul"]) if depth < 5 else "p"
+        kids = [] if tag == "p" else [grow(depth + 1) for _ in range(rng.randint(0, 3))]
+        return tag, rng.choice(["", "a", "b"]), "w" * rng.randint(1, 40) if tag == "p" else "", kids
+
+    def write(t):
+        return f"<{t[0]} class='{t[1]}'>{t[2]}{''.join(map(write, t[3]))}</{t[0]}>"
+
+    def walk(t, path, article=False):
+        """(path, score, element) of every element, parents first."""
+        path += "/" + t[0] + ("." + t[1] if t[1] else "")
+        article = article or t[0] == "article"
+        kids = [list(walk(k, path, article)) for k in t[3]]
+        score = len(t[2]) + sum(k[0][1] * (0.8 if k[0][2] in ("div", "section", "article") else 1) for k in kids)
+        return [(path, score, t[0], article), *(x for k in kids for x in k)]
+
+    for _ in range(200):
+        tree = ("div", "", "", [grow(0) for _ in range(3)])
+        found = parse(write(tree))
+        flat = [x for x in walk(tree, "") if x[2] in ("div", "section")]
+        if any(x[2] == "article" for x in walk(tree, "")) or not found:
+            continue
+        path, score = best_path(found)
+        assert abs(score - max(x[1] for x in flat)) < 1e-9 and path == next(x[0] for x in flat if abs(x[1] - score) < 1e-9)
+
+
 def test_hosts_vote(spark):
     art = lambda t, n: f"<body><div class='main p{n}'><p>{t}</p></div><div class='box'><p>{'other ' * 3}</p></div></body>"
     rows = [(i, "http://h.example/x", art("long text " * 20, i), "x") for i in range(9)] + [
