@@ -722,8 +722,10 @@ def q_split_random(spark, sf):
 from .session import cut_lineage, scratch_path  # noqa: E402
 from .sources import files as SF  # noqa: E402
 from .sources import json_docs as SJ  # noqa: E402
+from .sources import json_infer as SI  # noqa: E402
 from .sources import tables as ST  # noqa: E402
 from .sources.sql import read_sql_source  # noqa: E402
+from .streaming import landing as SL  # noqa: E402
 
 _SALES_SCHEMA = "order_id BIGINT, customer_id BIGINT, order_date DATE, amount DOUBLE, source STRING"
 
@@ -774,6 +776,49 @@ def q_json_flatten(spark, sf):
     return SJ.flatten(nested)
 
 
+def _mixed_docs(spark, sf):
+    """Documents as an unversioned API would return them: the items' fields and kinds differ from row to row."""
+    e = V.table(spark, sf, "events")
+    quoted = lambda c: F.to_json(F.array(F.col(c)))
+    text = lambda c: quoted(c).substr(F.lit(2), F.length(quoted(c)) - 2)  # noqa: E731 — a JSON string
+    num = lambda c: F.col(c).cast("string")
+    item = (F.when(F.col("event_id") % 4 == 0, F.concat(F.lit('{"k": '), text("event_type"), F.lit(', "who": {"id": '), num("user_id"), F.lit("}}")))
+             .when(F.col("event_id") % 4 == 1, F.concat(F.lit('{"v": '), num("value"), F.lit(', "who": {"id": '), num("user_id"),
+                                                         F.lit(', "kind": '), text("event_type"), F.lit("}}")))
+             .when(F.col("event_id") % 4 == 2, F.concat(F.lit('{"who": '), text("event_type"), F.lit(', "tags": ['), num("user_id"), F.lit(", 1]}")))
+             .otherwise(F.lit("{}")))
+    return e.select("event_id", F.concat(F.lit('{"data": {"count": 2, "items": ['), F.col("props"), F.lit(", "), item, F.lit("]}}")).alias("doc"))
+
+
+@register("json_infer_rows", w("""
+SELECT event_id, CAST(0 AS INTEGER) AS pos, json_extract_string(props, '$.k') AS k, CAST(NULL AS VARCHAR) AS tags, CAST(NULL AS DOUBLE) AS v,
+       CAST(NULL AS VARCHAR) AS who, CAST(NULL AS BIGINT) AS "who.id", CAST(NULL AS VARCHAR) AS "who.kind" FROM events
+UNION ALL
+SELECT event_id, CAST(1 AS INTEGER) AS pos, CASE WHEN event_id % 4 = 0 THEN event_type END, CASE WHEN event_id % 4 = 2 THEN '[' || user_id || ',1]' END,
+       CASE WHEN event_id % 4 = 1 THEN value END, CASE WHEN event_id % 4 = 2 THEN event_type END,
+       CASE WHEN event_id % 4 < 2 THEN user_id END, CASE WHEN event_id % 4 = 1 THEN event_type END FROM events"""))
+def q_json_infer_rows(spark, sf):
+    rows = SI.infer_rows(_mixed_docs(spark, sf), "doc", root="data.items", keep=["event_id"])
+    return rows.withColumn("tags", F.to_json("tags"))
+
+
+@register("stream_landing", w("""
+SELECT event_id, ts, user_id, event_type, value FROM events
+WHERE event_id % 10 <> 7 OR ts > (SELECT date_trunc('milliseconds', max(ts)) FROM events WHERE event_id % 10 <> 7) - INTERVAL 5 DAY"""))
+def q_stream_landing(spark, sf):
+    """Three drops of event files: the first half of the month, the second one, then what had been held back together
+    with rows sent once more.  What comes more than five days behind is late."""
+    e = V.table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value")
+    held = F.col("event_id") % 10 == 7
+    first = F.col("ts") < F.lit("2024-01-16").cast("timestamp")
+    base = scratch_path(spark, "landing")
+    for drop in (e.where(first & ~held), e.where(~first & ~held), e.where(held | (F.col("event_id") % 5 == 0))):
+        drop.write.mode("append").option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(f"{base}/in")
+        SL.land_files(spark, f"{base}/in", e.schema, f"{base}/table", f"{base}/state", "ts", ["event_id"], delay="5 days",
+                      options={"timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"})
+    return SL.landed(spark, f"{base}/table").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 def _landed_pages(spark, sf, page_size=100):
     """Paged API responses as landed: endpoint = event type, page p holds that
     type's events among ids [p·page_size, (p+1)·page_size); each page carries the

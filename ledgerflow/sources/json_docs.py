@@ -45,16 +45,17 @@ def _first_char(c: Column) -> Column:
     return F.substring(F.ltrim(c), 1, 1)
 
 
-def items_of(raw: Column, item_schema: T.StructType | str, wrap_object: bool = True) -> Column:
+def items_of(raw: Column, item_schema: T.StructType | T.VariantType | str, wrap_object: bool = True) -> Column:
     """Array of items from a JSON value: a list is the rows; an object yields its
     first list-valued member; an object without one, or with an empty one, is a single row when
     ``wrap_object`` (the paged reader appends nothing for it).  Malformed text
     yields no rows."""
-    arr_type = T.ArrayType(_schema(item_schema))
+    one = _schema(item_schema)
+    arr_type = T.ArrayType(one)
     keys = F.json_object_keys(raw)
     first_list_key = F.get(F.filter(keys, lambda k: _first_char(_member(raw, k)) == "["), 0)
     first_list = _member(raw, first_list_key)
-    single = F.array(F.from_json(raw, _schema(item_schema))) if wrap_object else F.array().cast(arr_type)
+    single = F.array(F.from_json(raw, "variant" if isinstance(one, T.VariantType) else one)) if wrap_object else F.array().cast(arr_type)
     # json_object_keys is NULL for text that is not a valid object: no rows from it
     from_obj = (F.when(keys.isNull(), F.lit(None).cast(arr_type))
                  .when(F.size(F.from_json(first_list, arr_type)) > 0, F.from_json(first_list, arr_type)).otherwise(single))
@@ -62,8 +63,8 @@ def items_of(raw: Column, item_schema: T.StructType | str, wrap_object: bool = T
              .when(_first_char(raw) == "{", from_obj))
 
 
-def _schema(s: T.StructType | str) -> T.StructType:
-    return s if isinstance(s, T.StructType) else T._parse_datatype_string(s)
+def _schema(s: T.DataType | str) -> T.DataType:
+    return s if isinstance(s, T.DataType) else T._parse_datatype_string(s)
 
 
 def extract_root_rows(docs: DataFrame, doc_col: str, root: str | None, item_schema: T.StructType | str,
