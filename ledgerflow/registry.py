@@ -285,6 +285,7 @@ from .operators import clean as C  # noqa: E402
 from .operators import encode as EN  # noqa: E402
 from .operators import integrate as I  # noqa: E402
 from .operators import validate as VA  # noqa: E402
+from .functions.exprs import bind_scalar  # noqa: E402
 
 _INT_SQL = "CASE WHEN TRY_CAST({c} AS DOUBLE) = floor(TRY_CAST({c} AS DOUBLE)) THEN CAST(TRY_CAST({c} AS DOUBLE) AS BIGINT) END"
 
@@ -333,6 +334,24 @@ def q_run_cleaning(spark, sf):
     return C.run_cleaning(V.sales_dirty(spark, sf)).stats
 
 
+@register("clean_store_stats", w("""
+SELECT count(*) AS rows_raw, count(*) AS rows_clean,
+       CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM sales_dirty)) AS BIGINT) AS duplicates_raw,
+       count(*) FILTER (WHERE amount IS NULL) AS missing_amount_clean,
+       round(coalesce(sum(amount), 0.0), 2) AS total_revenue_clean, round(avg(amount), 4) AS avg_order_amount_clean,
+       CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT order_id, customer_id, order_date, amount, source FROM sales_dirty)) AS BIGINT)
+       AS sales_duplicates,
+       count(*) FILTER (WHERE order_id IS NULL) AS missing_order_id, count(*) FILTER (WHERE customer_id IS NULL) AS missing_customer_id,
+       count(*) FILTER (WHERE order_date IS NULL) AS missing_order_date, count(*) FILTER (WHERE amount IS NULL) AS missing_amount
+FROM sales_dirty""", dirty=True))
+def q_clean_store_stats(spark, sf):
+    from .plans.cleaned_store import clean_to_parquet
+    stored = clean_to_parquet(V.sales_dirty(spark, sf), scratch_path(spark, "cleaned"))
+    overall = rnd(stored.overall, {"total_revenue_clean": 2, "avg_order_amount_clean": 4})
+    out, st = bind_scalar(overall, stored.stats.select(F.struct("*")).scalar(), "_st")
+    return out.select(*overall.columns, *[st.getField(c).alias(c) for c in stored.stats.columns])
+
+
 @register("parse_dates", w("""
 SELECT order_id, customer_id, try_strptime(order_date, '%Y-%m-%d') AS order_date, amount, source FROM sales_text""",
                            text=True))
@@ -577,6 +596,20 @@ def q_sales_join_country(spark, sf):
     return _sql_source(spark, sf, SQL_SALES_JOIN_COUNTRY)
 
 
+def _stored_sales(spark, sf, frame):
+    folder = scratch_path(spark, "stored")
+    name = _table_name(spark, "sales_by_customer")
+    return CO.store_by_key(frame, name, "customer_id", ["order_date", "order_id", "source"], buckets=8, path=folder), folder
+
+
+@register("sales_join_stored", w(SQL_SALES_JOIN_COUNTRY, customers=True))
+def q_sales_join_stored(spark, sf):
+    fact, folder = _stored_sales(spark, sf, V.sales(spark, sf))
+    dim = CO.store_dimension(V.customers(spark, sf), _table_name(spark, "customers_by_id"), "customer_id", 8, folder)
+    out = CO.join_stored(spark, fact, dim, ["country"])
+    return out.select(*q_sales_join_country(spark, sf).columns)
+
+
 # ---------------------------------------------------------------------------
 # Time series (T*)
 # ---------------------------------------------------------------------------
@@ -674,6 +707,13 @@ def q_feat_prev_mean(spark, sf):
     return rnd(FE.history_features(V.sales_dirty(spark, sf)), {"_amount_prev_mean": 6})
 
 
+@register("feat_history_stored", w(f"""
+SELECT *, {_HIST_SQL} FROM (SELECT order_id, customer_id, order_date, amount, source FROM sales_dirty)""", dirty=True))
+def q_feat_history_stored(spark, sf):
+    fact, _ = _stored_sales(spark, sf, V.sales_dirty(spark, sf).drop("country"))
+    return rnd(CO.stored_history(spark, fact), {"_amount_prev_mean": 6})
+
+
 @register("build_features", w(f"""
 SELECT customer_id, order_date, amount, country, {_CAL_SQL}, {_HIST_SQL}, {_SRC_SQL} FROM sales_dirty""",
                               dirty=True))
@@ -720,6 +760,7 @@ def q_split_random(spark, sf):
 # Sources and sinks (S*) and the multi-source load (I4)
 # ---------------------------------------------------------------------------
 from .session import cut_lineage, scratch_path  # noqa: E402
+from .operators import colocated as CO  # noqa: E402
 from .sources import files as SF  # noqa: E402
 from .sources import json_docs as SJ  # noqa: E402
 from .sources import json_infer as SI  # noqa: E402
