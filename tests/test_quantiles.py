@@ -97,3 +97,28 @@ def test_box_stats_shuffles_no_rows(spark):
         q1, q3 = np.quantile(v, [0.25, 0.75])
         inside = v[(v >= q1 - 1.5 * (q3 - q1)) & (v <= q3 + 1.5 * (q3 - q1))]
         assert (got[s].n, got[s].q1, got[s].q3, got[s].whisker_lo, got[s].whisker_hi) == (len(v), q1, q3, inside.min(), inside.max())
+
+
+def test_many_groups_are_sorted(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from ledgerflow.functions import quantiles as Q
+
+    df = spark.createDataFrame([(f"g{i % 12}", None if i % 12 == 5 else float(i * 37 % 101)) for i in range(600)], "g string, x double")
+    extra = [F.count("x").alias("n")]
+    want = sorted(map(str, quantile_table(df, ["x"], PROBS, by="g", extra_aggs=extra).collect()))
+    monkeypatch.setattr(Q, "GROUPS", 11)
+    monkeypatch.setattr(Q, "_scan_codes", None)                      # nothing is fetched per group
+    got = quantile_table(df, ["x"], PROBS, by="g", extra_aggs=extra)
+    assert sorted(map(str, got.collect())) == want
+    assert len(quantile_table(df, ["x"], PROBS, by="g").collect()) == 12
+
+
+def test_brackets_with_too_many_values_are_sketched_again(spark, monkeypatch):
+    from ledgerflow.functions import quantiles as Q
+
+    monkeypatch.setattr(Q, "VALUES", 20)
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.normal(0, 1, 40_000), np.full(20_000, 0.25), rng.normal(0, 1e-9, 20_000)])
+    r = quantile_table(spark.createDataFrame(pd.DataFrame({"x": x})), ["x"], PROBS).first()
+    assert np.allclose(r.x, np.quantile(x, PROBS), rtol=1e-12)
