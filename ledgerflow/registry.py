@@ -1332,3 +1332,120 @@ FROM raw""", customers=True))
 def q_pipeline_summary(spark, sf):
     res = PL.run_pipeline(spark, load_config(spark, sf))
     return rnd(res["summary"], {"total_revenue_clean": 2, "avg_order_amount_clean": 4})
+
+
+# ---------------------------------------------------------------------------
+# Time joins, ranks on hot keys, table differences
+# ---------------------------------------------------------------------------
+from .operators import asof as AO  # noqa: E402
+from .operators import diff as DI  # noqa: E402
+from .operators import intervals as IV  # noqa: E402
+from .operators import ranking as RK  # noqa: E402
+
+
+@register("asof_purchase_view", w("""
+SELECT p.event_id, p.user_id, p.ts, p.value, v.ts AS ts_right, v.value AS value_right
+FROM (SELECT * FROM events WHERE event_type = 'purchase') p
+ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'view') v ON p.user_id = v.user_id AND v.ts <= p.ts"""))
+def q_asof_purchase_view(spark, sf):
+    e = V.table(spark, sf, "events").select("event_id", "user_id", "ts", "value", "event_type")
+    bought = e.where("event_type = 'purchase'").drop("event_type")
+    return AO.asof_join(bought, e.where("event_type = 'view'"), "user_id", "ts", "ts", ["value"])
+
+
+@register("asof_sale_before", w("""
+SELECT a.order_id, a.customer_id, a.order_date, a.amount, max(b.order_date) AS order_date_right,
+       max({'d': b.order_date, 'a': b.amount}).a AS amount_right
+FROM (SELECT * FROM sales WHERE source = 'file') a
+LEFT JOIN (SELECT * FROM sales WHERE source = 'db') b ON a.customer_id = b.customer_id AND b.order_date < a.order_date
+GROUP BY 1, 2, 3, 4"""))
+def q_asof_sale_before(spark, sf):
+    s = V.sales(spark, sf)
+    return AO.asof_join(s.where("source = 'file'").drop("source"), s.where("source = 'db'"), "customer_id", "order_date", "order_date",
+                        ["amount"], allow_equal=False)
+
+
+def _promotions(spark, sf):
+    """Stand-in windows: one per fiftieth order, open for up to 40 days, now and then for a year."""
+    s = V.sales(spark, sf).where("order_id % 50 = 0")
+    days = F.when(F.col("order_id") % 1000 == 0, 365).otherwise(F.col("order_id") % 41).cast("int")
+    return s.select(F.col("order_id").alias("promotion_id"), F.col("order_date").alias("opens"), F.date_add("order_date", days).alias("closes"), "source")
+
+
+@register("interval_promotions", w("""
+WITH p AS (SELECT order_id AS promotion_id, order_date AS opens, source,
+                  order_date + CAST(CASE WHEN order_id % 1000 = 0 THEN 365 ELSE order_id % 41 END AS INTEGER) AS closes
+           FROM sales WHERE order_id % 50 = 0)
+SELECT s.order_id, s.order_date, s.source, p.promotion_id, p.opens, p.closes
+FROM sales s JOIN p ON s.source = p.source AND s.order_date BETWEEN p.opens AND p.closes"""))
+def q_interval_promotions(spark, sf):
+    s = V.sales(spark, sf).select("order_id", "order_date", "source")
+    return IV.interval_join(s, _promotions(spark, sf), ("order_date", "order_date"), ("opens", "closes"), keys=["source"], base=8)
+
+
+@register("interval_overlaps", w("""
+WITH p AS (SELECT order_id AS promotion_id, order_date AS opens,
+                  order_date + CAST(CASE WHEN order_id % 1000 = 0 THEN 365 ELSE order_id % 41 END AS INTEGER) AS closes
+           FROM sales WHERE order_id % 50 = 0)
+SELECT a.promotion_id, a.opens, count(*) AS overlapping
+FROM p a JOIN p b ON a.opens <= b.closes AND b.opens <= a.closes GROUP BY 1, 2"""))
+def q_interval_overlaps(spark, sf):
+    p = _promotions(spark, sf).drop("source")
+    return IV.interval_join(p, p, ("opens", "closes"), ("opens", "closes"), base=8).groupBy("promotion_id", "opens").agg(F.count("*").alias("overlapping"))
+
+
+_LI_KEY = ["l_orderkey", "l_linenumber"]
+
+
+def _priced_lines(spark, sf):
+    return V.table(spark, sf, "lineitem").select(*_LI_KEY, "l_returnflag", "l_quantity", "l_extendedprice")
+
+
+@register("rank_lines", w("""
+SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity, l_extendedprice,
+       rank() OVER (PARTITION BY l_returnflag ORDER BY l_quantity) AS rank,
+       dense_rank() OVER (PARTITION BY l_returnflag ORDER BY l_quantity) AS dense_rank FROM lineitem"""))
+def q_rank_lines(spark, sf):
+    return RK.ranked(_priced_lines(spark, sf), "l_returnflag", ["l_quantity"])
+
+
+@register("number_lines", w("""
+SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity, l_extendedprice,
+       row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice, l_quantity, l_orderkey, l_linenumber) AS row_number,
+       count(*) OVER (PARTITION BY l_returnflag) AS group_rows FROM lineitem"""))
+def q_number_lines(spark, sf):
+    return RK.numbered(_priced_lines(spark, sf), "l_returnflag", ["l_extendedprice", "l_quantity", *_LI_KEY])
+
+
+@register("ntile_lines", w("""
+SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity, l_extendedprice, CAST(ntile(7) OVER
+       (PARTITION BY l_returnflag ORDER BY l_extendedprice, l_quantity, l_orderkey, l_linenumber) AS INTEGER) AS ntile FROM lineitem"""))
+def q_ntile_lines(spark, sf):
+    return RK.ntiles(_priced_lines(spark, sf), "l_returnflag", ["l_extendedprice", "l_quantity", *_LI_KEY], 7)
+
+
+@register("lag_lead_lines", w("""
+SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity, l_extendedprice, lag(l_extendedprice) OVER t AS lag, lead(l_extendedprice, 2) OVER t AS lead
+FROM lineitem WINDOW t AS (PARTITION BY l_returnflag ORDER BY l_extendedprice, l_quantity, l_orderkey, l_linenumber)"""))
+def q_lag_lead_lines(spark, sf):
+    by = ["l_extendedprice", "l_quantity", *_LI_KEY]
+    out = RK.shifted(_priced_lines(spark, sf), "l_returnflag", by, "l_extendedprice", 1, "lag")
+    return RK.shifted(out, "l_returnflag", by, "l_extendedprice", -2, "lead")
+
+
+@register("diff_sales", w("""
+WITH o AS (SELECT order_id, customer_id, order_date, amount, source FROM sales),
+n AS (SELECT order_id, any_value(customer_id) AS customer_id, any_value(order_date) AS order_date, any_value(amount) AS amount, any_value(source) AS source,
+             count(*) AS c FROM sales_dirty GROUP BY order_id),
+j AS (SELECT o.order_id, CASE WHEN c > 1 THEN 'customer_id,order_date,amount,source' ELSE concat_ws(',',
+             CASE WHEN o.customer_id IS DISTINCT FROM n.customer_id THEN 'customer_id' END,
+             CASE WHEN o.order_date IS DISTINCT FROM n.order_date THEN 'order_date' END,
+             CASE WHEN o.amount IS DISTINCT FROM n.amount THEN 'amount' END,
+             CASE WHEN o.source IS DISTINCT FROM n.source THEN 'source' END) END AS columns
+      FROM o JOIN n ON o.order_id = n.order_id)
+SELECT order_id, 'changed' AS change, columns FROM j WHERE columns <> ''
+UNION ALL SELECT order_id, 'added', NULL FROM n WHERE order_id NOT IN (SELECT order_id FROM o)
+UNION ALL SELECT order_id, 'removed', NULL FROM o WHERE order_id NOT IN (SELECT order_id FROM n)""", dirty=True))
+def q_diff_sales(spark, sf):
+    out = DI.table_diff(V.sales(spark, sf), V.sales_dirty(spark, sf), ["order_id"], buckets=1024)
+    return out.withColumn("columns", F.array_join("columns", ","))
