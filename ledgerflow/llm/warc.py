@@ -24,6 +24,7 @@ from .common import attempt_name, filesystem, rows_of, table, utf8
 VERSION = b"WARC/1.1\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 START = re.compile(rb"\x1f\x8b\x08|WARC/\d")          # a record cut off has no line feed before the next one
+VERSION_LINE = re.compile(rb"WARC/\d+\.\d+\r\n")
 END = b"\r\n\r\n"
 
 
@@ -127,14 +128,30 @@ def _checked(head: dict[str, str], block: bytes, claim: int | None) -> dict:
     return {"head": head, "block": block, "payload": payload}
 
 
-def plain_record(r: Reader, pos: int) -> tuple[dict, int]:
-    head, n = b"", 1 << 12
-    while END not in head:
-        head = r.read(pos, n)
-        if END not in head and (len(head) < n or n > 1 << 20):
+def _head(get) -> bytes:
+    """A record's header lines, whatever their length, from ``get(n)``: its first n bytes, fewer at the end of the data.
+
+    Bytes are asked for as long as what stands there are header lines.
+    """
+    n, done = 1 << 12, 0
+    while True:
+        head = get(n)
+        if not VERSION_LINE.match(head):
+            raise Damage("version line")
+        cut = head.find(END, max(0, done - 3))
+        if cut >= 0:
+            return head[:cut]
+        if len(head) < n:
             raise Damage("header end")
+        lines = head[done:head.rfind(b"\r\n") + 2].split(b"\r\n")[1 if not done else 0:-1]
+        if any(b":" not in x for x in lines):
+            raise Damage("header line")
+        done = max(done, head.rfind(b"\r\n") + 2)
         n *= 4
-    raw = head[:head.index(END)]
+
+
+def plain_record(r: Reader, pos: int) -> tuple[dict, int]:
+    raw = _head(lambda n: r.read(pos, n))
     fields = _parse(raw)
     first, length = pos + len(raw) + 4, int(fields["content-length"])
     claim = first + length + 4
@@ -145,65 +162,122 @@ def plain_record(r: Reader, pos: int) -> tuple[dict, int]:
     return _checked(fields, r.read(first, length), claim), claim
 
 
-def member_record(r: Reader, pos: int) -> tuple[dict, int]:
-    d, out, at = zlib.decompressobj(31), [], pos
-    try:
-        while not d.eof:
-            part = r.read(at, 1 << 16)
+class Inflated:
+    """The bytes of a gzip member, taken from the front as they are needed."""
+
+    def __init__(self, r: Reader, pos: int):
+        self.r, self.at, self.d, self.buf = r, pos, zlib.decompressobj(31), bytearray()
+
+    def get(self, n: int) -> bytes:
+        """The next n bytes, fewer at the member's end."""
+        while len(self.buf) < n and not self.d.eof:
+            part = self.r.read(self.at, 1 << 16)
             if not part:
                 raise Damage("member cut off")
-            out.append(d.decompress(part))
-            at += len(part)
-    except zlib.error as e:
-        raise Damage(f"member: {e}") from None
-    end = at - len(d.unused_data)
-    data = b"".join(out)
-    cut = data.find(END)
-    if cut < 0:
-        raise Damage("header end", end)
-    try:
-        fields = _parse(data[:cut])
-    except Damage as e:
-        raise Damage(str(e), end) from None
-    length = int(fields["content-length"])
-    if data[cut + 4 + length:] != END:
-        raise Damage("record end", end)
-    return _checked(fields, data[cut + 4:cut + 4 + length], end), end
+            try:
+                self.buf += self.d.decompress(part)
+            except zlib.error as e:
+                raise Damage(f"member: {e}") from None
+            self.at += len(part)
+        return bytes(self.buf[:n])
+
+    def skip(self) -> bool:
+        """Goes on to the next version line behind the first byte; False if the rest of the member has none."""
+        del self.buf[:1]
+        while True:
+            self.get(1 << 16)
+            m = VERSION_LINE.search(self.buf)
+            if m:
+                del self.buf[:m.start()]
+                return True
+            if self.d.eof:
+                return False
+            del self.buf[:-16]
+
+    def done(self) -> bool:
+        return self.d.eof and not self.buf
+
+    def end(self) -> int:
+        """How far the member is read; its end, once all is."""
+        return self.at - len(self.d.unused_data)
+
+
+def member_records(r: Reader, pos: int) -> Iterator[tuple[dict | str, int]]:
+    """(record, place in the file up to which the member was read) of each record of a member: one by the book, but any number.
+
+    Between records, (failed check, place) for what had to be left out up to the next version line.  A record counts
+    once something, or the member's sound end, stands behind it.
+    """
+    m, held = Inflated(r, pos), None
+    while True:
+        try:
+            raw = _head(m.get)
+            fields = _parse(raw)
+            first, length = len(raw) + 4, int(fields["content-length"])
+            data = m.get(first + length + 4)
+            if data[first + length:] != END:
+                raise Damage("record end")
+            rec = _checked(fields, data[first:first + length], None)
+        except Damage as e:
+            if str(e).startswith("member"):
+                raise
+            if held:
+                yield held
+                held = None
+            if not m.skip():
+                e.claim = m.end()                            # the member itself is sound and says where it ends
+                raise e from None
+            yield str(e), m.end()
+            continue
+        if held:
+            yield held
+        del m.buf[:first + length + 4]
+        m.get(1)
+        held = (rec, m.end())
+        if m.done():
+            yield held
+            return
 
 
 def salvage(file, size: int) -> Iterator[tuple[str, int, int, dict | str]]:
     """("record", start, end, record) and ("gap", start, end, first failed check), in file order."""
     r, pos, gap, why = Reader(file, size), 0, None, ""
 
-    def valid(at: int) -> tuple[dict, int]:
+    def records(at: int) -> Iterator[tuple[dict | str, int]]:
         two = r.read(at, 5)
         if two[:2] == b"\x1f\x8b":
-            return member_record(r, at)
-        if two == b"WARC/":
-            return plain_record(r, at)
-        raise Damage("no member or version line")
+            yield from member_records(r, at)
+        elif two == b"WARC/":
+            yield plain_record(r, at)
+        else:
+            raise Damage("no member or version line")
 
     while pos < size:
+        start = pos
         try:
-            rec, end = valid(pos)
+            for rec, end in records(start):
+                if isinstance(rec, str):
+                    if gap is None:
+                        gap, why = pos, rec
+                    pos = end
+                    continue
+                if gap is not None:
+                    yield "gap", gap, pos, why
+                    gap = None
+                yield "record", pos, end, rec
+                pos = end
         except Damage as e:
             if gap is None:
                 gap, why = pos, str(e)
-            nxt = r.next_start(pos + 1)
+            nxt = r.next_start(max(pos, start + 1))
             if e.claim is not None and e.claim > pos:
                 try:                                    # a record that only fails a digest still says where it ends
                     if e.claim < size:
-                        valid(e.claim)
+                        next(records(e.claim))
                     nxt = e.claim
                 except Damage:
                     pass
             pos = nxt
-            continue
-        if gap is not None:
-            yield "gap", gap, pos, why
-            gap = None
-        yield "record", pos, end, rec
-        pos = end
     if gap is not None:
         yield "gap", gap, size, why
 
@@ -231,7 +305,8 @@ def with_roles(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                        .agg(F.max("page_id").alias("response"), F.count("*").alias("n")).where("n > 1 and response is not null").select("key", "response"))
     if same.count() <= broadcast_rows:                  # 100,000 rows of 80 bytes at most; else a shuffled join
         same = F.broadcast(same)
-    rows = src.withColumn("key", key).join(same, "key", "left")
+    alone = F.concat(F.lit("-"), F.xxhash64("page_id", "url").cast("string"))           # short payloads: no key of the other side, spread
+    rows = src.withColumn("key", F.coalesce(key, alone)).join(same, "key", "left")
     repeats = F.col("response").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("response"))
     return rows.select("page_id", "url", "payload", F.sha1("payload").alias("sha1"), F.when(repeats, F.col("response")).alias("refers_to"))
 

@@ -240,3 +240,40 @@ def test_salvage_of_a_record_right_behind_a_cut():
         data = first + b + c
         got = list(warc.salvage(Bytes(data), len(data)))
         assert [(k, s, e) for k, s, e, _ in got] == [("gap", 0, len(first)), ("record", len(first), len(first) + len(b)), ("record", len(first) + len(b), len(data))]
+
+
+def numbered_records(n, size=200):
+    text = [b"text %d " % i * size for i in range(n)]
+    return [warc.record_bytes("response", f"urn:page:{i}", f"http://x/{i}", p, None, hashlib.sha1(p).hexdigest()) for i, p in enumerate(text)]
+
+
+def test_records_inside_one_member_are_all_read():
+    rec = numbered_records(30, 4000)
+    ids = lambda got: [int(x["head"]["warc-record-id"][10:-1]) for k, _, _, x in got if k == "record"]
+
+    def read(data):
+        got = list(warc.salvage(Bytes(data), len(data)))
+        assert [s for _, s, _, _ in got] == [0, *[e for _, _, e, _ in got]][:-1] and got[-1][2] == len(data)
+        return got
+
+    whole = warc.member(b"".join(rec))
+    assert ids(read(whole)) == list(range(30)) and all(k == "record" for k, *_ in read(whole))
+    bad = warc.member(b"".join(rec[:10]) + rec[10].replace(b"text 10", b"tEXt 10", 1) + b"".join(rec[11:]))       # fails its digest only
+    got = read(warc.member(rec[0]) + bad + warc.member(rec[29]))
+    assert ids(got) == [0, *range(10), *range(11, 30), 29] and [w for k, _, _, w in got if k == "gap"] == ["block digest"]
+    cut = read(whole[:len(whole) * 2 // 3])                            # what is whole before the cut counts
+    assert ids(cut) == list(range(len(ids(cut)))) and 5 < len(ids(cut)) < 30 and cut[-1][0] == "gap"
+
+
+def test_long_headers_are_no_damage():
+    rec = numbered_records(3)
+    long = rec[1].replace(b"\r\nWARC-Date", b"\r\nX-Long: " + b"y" * 6_000_000 + b"\r\nWARC-Date", 1)
+    for parts in ((rec[0], long, rec[2]), map(warc.member, (rec[0], long, rec[2]))):
+        data = b"".join(parts)
+        assert [k for k, *_ in warc.salvage(Bytes(data), len(data))] == ["record"] * 3
+
+
+def test_short_payloads_are_spread_over_keys(spark):
+    df = spark.createDataFrame([(i, f"http://h/{i}", "short") for i in range(50)], "page_id long, url string, html string")
+    rows = warc.with_roles(df, broadcast_rows=-1)
+    assert rows.count() == 50 and rows.where("refers_to is not null").count() == 0
