@@ -64,10 +64,11 @@ def class_counts(rows: DataFrame, held: int = 300_000) -> DataFrame:
     return got.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def significant(counts: DataFrame, prior: float = 0.5, min_z: float = 3.0, top: int = 200_000) -> tuple[dict[bytes, tuple[float, float]], float]:
-    """{feature: (log-odds, share of the clean counts)} of at most ``top`` features by z-score, and the drift.
+def significant(counts: DataFrame, prior: float = 0.5, min_z: float = 3.0) -> tuple[dict[bytes, tuple[float, float]], float]:
+    """{feature: (log-odds, share of the clean counts)} of all features with a z-score of ``min_z`` or more, and the drift.
 
-    ``prior`` is added to every count; z is the log-odds over their standard error.
+    ``prior`` is added to every count; z is the log-odds over their standard error.  The rows counted are a bounded
+    sample, and a feature needs several toxic ones, which bounds the features.
     """
     n = counts.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.coalesce(F.sum("clean"), F.lit(0)), F.count("*")).first()
     nt, nc, kinds = float(n[0]), float(n[1]), float(n[2])
@@ -77,7 +78,7 @@ def significant(counts: DataFrame, prior: float = 0.5, min_z: float = 3.0, top:
     odds = F.log(t / (F.lit(nt + prior * (kinds + 1)) - t)) - F.log(c / (F.lit(nc + prior * (kinds + 1)) - c))
     z = odds / F.sqrt(1 / t + 1 / c)
     got = (counts.select("word", odds.alias("odds"), z.alias("z"), (F.col("clean") / F.lit(nc)).alias("share"))
-           .where(F.col("z") >= min_z).orderBy(F.desc("z"), "word").limit(top).toArrow())
+           .where(F.col("z") >= min_z).orderBy("word").toArrow())
     lex = dict(zip(got.column("word").to_pylist(), zip(got.column("odds").to_pylist(), got.column("share").to_pylist())))
     return lex, max(0.1, 2 * sum(o * p for o, p in lex.values()))
 
@@ -216,11 +217,12 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     # the extreme-value constant: mean of lam * S - ln n over clean training texts is ln K plus Euler's constant
     log_k = extreme_constant(src.where("learn"), marks.where("toxic = 0"), lexicon, drift, lam) if lexicon else 0.0
     found = cut_lineage(passages(src, lexicon, drift, lam, log_k, max_e))
-    cell = F.least(F.greatest(F.round(F.col("evidence") * 4), F.lit(-200.0)), F.lit(400.0)).cast("int")
-    hist = (found.where("learn").select("doc_id", cell.alias("cell")).join(marks, "doc_id").groupBy("cell")
-            .agg(F.sum("toxic").alias("y"), F.sum(1 - F.col("toxic")).alias("n")).toPandas())
-    a, b = logistic(hist["cell"].to_numpy(float) / 4, hist["y"].to_numpy(float), hist["n"].to_numpy(float)) if len(hist) else (0.0, 0.0)
-    x = F.least(F.greatest(F.round(F.col("evidence") * 4), F.lit(-200.0)), F.lit(400.0)) / 4
-    score = 1 / (1 + F.exp(-(F.lit(a) + F.lit(b) * x)))
+    # counts by cells of a quarter, farther out of a fortieth of the logarithm; a cell stands for its mean
+    e, far = F.col("evidence"), 100.0
+    cell = F.when(F.abs(e) <= far, F.round(e * 4)).otherwise(F.signum(e) * (4 * far + 1 + F.round(F.log(F.abs(e) / far) * 40))).cast("int")
+    hist = (found.where("learn").select("doc_id", "evidence", cell.alias("cell")).join(marks, "doc_id").groupBy("cell")
+            .agg(F.avg("evidence").alias("x"), F.sum("toxic").alias("y"), F.sum(1 - F.col("toxic")).alias("n")).orderBy("cell").toPandas())
+    a, b = logistic(hist["x"].to_numpy(float).round(9), hist["y"].to_numpy(float), hist["n"].to_numpy(float)) if len(hist) else (0.0, 0.0)
+    score = 1 / (1 + F.exp(-(F.lit(a) + F.lit(b) * e)))
     return found.select("doc_id", F.coalesce(crc_mod("doc_id", held_mod) == held_rem, F.lit(False)).alias("held_out"),
                         score.alias("score"), (score >= 0.5).cast("int").alias("predicted"), "n_words", "passages")
