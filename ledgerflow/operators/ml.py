@@ -145,6 +145,25 @@ def logreg_coefficients(model: PipelineModel, feats: list[str]) -> DataFrame:
     return df.orderBy(F.desc("abs_coef"), F.asc("feature"))
 
 
+def logreg_optimality(model: PipelineModel, train: DataFrame, feats: list[str], label: str, balanced: bool = True) -> DataFrame:
+    """(parameter, gradient) of the training objective at the model, one scan: near 0 at the optimum, wherever the solver stopped.
+
+    The objective is ``train_logreg``'s; a feature's gradient is divided by the feature's standard deviation (by 1
+    if that is 0), so that all are on one scale.  The last row is the intercept's.
+    """
+    lr = model.stages[-1]
+    data = train.withColumn("_label", qcol(label).cast("double"))
+    data = balanced_weights(data, "_label") if balanced else data.withColumn("_w", F.lit(1.0))
+    p = model.stages[-1].transform(model.stages[0].transform(_assembled(data, feats)))
+    p = p.withColumn("_e", F.col("_w") * (vector_to_array(F.col("probability"))[1] - F.col("_label")))
+    cells = [F.sum(F.col("_e") * qcol(c)).alias(f"g{i}") for i, c in enumerate(feats)]
+    cells += [F.stddev_pop(qcol(c)).alias(f"s{i}") for i, c in enumerate(feats)]
+    row = p.agg(F.sum("_w").alias("w"), F.sum("_e").alias("e"), *cells).first()
+    reg = lr.getRegParam()
+    out = [(c, (row[f"g{i}"] / row["w"] + reg * float(lr.coefficients[i])) / (row[f"s{i}"] or 1.0)) for i, c in enumerate(feats)]
+    return train.sparkSession.createDataFrame([*out, ("(intercept)", row["e"] / row["w"])], "parameter string, gradient double")
+
+
 def train_forest(train: DataFrame, feats: list[str], label: str, num_trees: int = 250, max_depth: int = 30,
                  seed: int = 42, max_bins: int = 64, memory_mb: int = 1024) -> PipelineModel:
     """Random-forest regression (all features at every split, no

@@ -1163,6 +1163,71 @@ def q_rf_importance(spark, sf):
     return ML.forest_importances(model, feats)
 
 
+#: What a gradient may be off zero where the solver ends.
+OPTIMUM = 1e-3
+
+
+def _at_optimum(names):
+    return "SELECT unnest([" + ", ".join(f"'{n}'" for n in names) + "]) AS parameter, true AS at_optimum"
+
+
+@register("logreg_optimum", w(_at_optimum(["dow", "month", "is_weekend", "_cnt_prev", "_amount_prev_mean", "(intercept)"])))
+def q_logreg_optimum(spark, sf):
+    x, y = FE.classification_target(_ml_features(spark, sf), None, 0.8)
+    feats = FE.numeric_feature_columns(x, drop=[y, "amount"])
+    train = x.where(~F.col("is_test"))
+    got = ML.logreg_optimality(ML.train_logreg(train, feats, y), train, feats, y)
+    return got.select("parameter", (F.abs("gradient") < OPTIMUM).alias("at_optimum"))
+
+
+@register("logreg_plain_optimum", w(_at_optimum(["l_quantity", "l_extendedprice", "l_discount", "l_tax", "(intercept)"])))
+def q_logreg_plain_optimum(spark, sf):
+    train = _lineitem_numeric(spark, sf).drop("l_orderkey", "l_linenumber")
+    feats = FE.numeric_feature_columns(train, drop=["is_returned"])
+    got = ML.logreg_optimality(ML.train_logreg(train, feats, "is_returned", balanced=False), train, feats, "is_returned", balanced=False)
+    return got.select("parameter", (F.abs("gradient") < OPTIMUM).alias("at_optimum"))
+
+
+def _steps(spark, sf):
+    """Lines whose target is a step function of one feature: the best tree is known, and every tree must find it."""
+    return V.table(spark, sf, "lineitem").select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("_key"),
+                                                 F.col("l_linenumber").cast("double").alias("line"), "l_discount",
+                                                 (F.col("l_linenumber") * F.col("l_linenumber")).cast("double").alias("target"))
+
+
+@register("rf_steps", w("""
+SELECT CAST(l_linenumber AS DOUBLE) AS line, count(*) AS n, CAST(l_linenumber * l_linenumber AS DOUBLE) AS least,
+       CAST(l_linenumber * l_linenumber AS DOUBLE) AS most FROM lineitem GROUP BY l_linenumber"""))
+def q_rf_steps(spark, sf):
+    x = _steps(spark, sf)
+    model = ML.train_forest(x, ["line", "l_discount"], "target")
+    got = ML.predict_forest(model, x, ["line", "l_discount"])
+    return rnd(got.groupBy("line").agg(F.count("*").alias("n"), F.min("prediction").alias("least"), F.max("prediction").alias("most")),
+               {"least": 6, "most": 6})
+
+
+@register("rf_steps_importance", w("SELECT 'l_discount' AS feature, 0.0::DOUBLE AS importance UNION ALL SELECT 'line', 1.0::DOUBLE"))
+def q_rf_steps_importance(spark, sf):
+    model = ML.train_forest(_steps(spark, sf), ["line", "l_discount"], "target")
+    return rnd(ML.forest_importances(model, ["line", "l_discount"]), {"importance": 6})
+
+
+@register("rf_plain_steps", w("SELECT 'RandomForestRegressor' AS model, 0.0::DOUBLE AS rmse, 0.0::DOUBLE AS mae, 1.0::DOUBLE AS r2"))
+def q_rf_plain_steps(spark, sf):
+    x = _steps(spark, sf)
+    return rnd(ML.train_regression(x, "target", key="_key"), {"rmse": 6, "mae": 6, "r2": 6})
+
+
+@register("logreg_coeffs_order", w("""
+SELECT unnest(range(1, 6))::BIGINT AS place, true AS in_order, true AS is_abs"""))
+def q_logreg_coeffs_order(spark, sf):
+    x, y = FE.classification_target(_ml_features(spark, sf), None, 0.8)
+    feats = FE.numeric_feature_columns(x, drop=[y, "amount"])
+    got = ML.logreg_coefficients(ML.train_logreg(x.where(~F.col("is_test")), feats, y), feats).collect()      # one row per feature
+    rows = [(k + 1, k == 0 or got[k - 1].abs_coef >= r.abs_coef, abs(r.coef) == r.abs_coef) for k, r in enumerate(got)]
+    return spark.createDataFrame(rows, "place long, in_order boolean, is_abs boolean")
+
+
 @register("model_roundtrip")
 def q_model_roundtrip(spark, sf):
     x, y = FE.classification_target(_ml_features(spark, sf), None, 0.8)
