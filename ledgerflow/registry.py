@@ -1514,3 +1514,29 @@ UNION ALL SELECT order_id, 'removed', NULL FROM o WHERE order_id NOT IN (SELECT
 def q_diff_sales(spark, sf):
     out = DI.table_diff(V.sales(spark, sf), V.sales_dirty(spark, sf), ["order_id"], buckets=1024)
     return out.withColumn("columns", F.array_join("columns", ","))
+
+
+# ---------------------------------------------------------------------------
+# Iceberg cube, merged states
+# ---------------------------------------------------------------------------
+from .operators import cube as CU  # noqa: E402
+from .plans import states as SB  # noqa: E402
+
+
+@register("iceberg_cube_sales", w("""
+SELECT source, country, month, dow, CAST(grouping(source, country, month, dow) AS INTEGER) AS level, count(*) AS n, round(sum(amount), 2) AS total
+FROM (SELECT s.source, c.country, CAST(month(order_date) AS INTEGER) AS month, CAST(isodow(order_date) - 1 AS INTEGER) AS dow, amount
+      FROM sales s JOIN customers c ON s.customer_id = c.customer_id)
+GROUP BY CUBE (source, country, month, dow) HAVING count(*) >= 50""", customers=True))
+def q_iceberg_cube_sales(spark, sf):
+    s = V.sales(spark, sf).join(V.customers(spark, sf), "customer_id")
+    s = s.select("source", "country", F.month("order_date").alias("month"), F.weekday("order_date").alias("dow"), "amount")
+    return rnd(CU.iceberg_cube(s, ["source", "country", "month", "dow"], 50, {"total": F.col("amount")}), {"total": 2})
+
+
+@register("basic_stats_batches", w(_describe_sql(_LI_NUM, "lineitem")))
+def q_basic_stats_batches(spark, sf):
+    li, folder = V.table(spark, sf, "lineitem"), scratch_path(spark, "states")
+    for k in range(3):                   # three deliveries of the table
+        SB.append_batch(li.where(F.col("l_orderkey") % 3 == k), _LI_NUM, folder, f"{k}")
+    return rnd(SB.merged_stats(spark, _LI_NUM, folder), _DESC_ROUND)
