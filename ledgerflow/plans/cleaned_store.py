@@ -8,6 +8,7 @@ Duplicates need rows to meet: they are counted from the written table, when aske
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -22,14 +23,24 @@ from ..operators.profile import duplicate_rows
 def write_observed(df: DataFrame, path: str, metrics: list[Column], mode: str = "overwrite", partition_by: list[str] | None = None) -> dict:
     """Writes ``df`` as Parquet and returns the named aggregates of its rows, taken while they were written.
 
-    The metrics sit right below the sink: only tasks that finished count, whatever was retried.
+    The metrics sit right below the sink: only tasks that finished count, whatever was retried.  They are observed in a
+    session of their own with the same settings: a session that has observed something can't be serialised any
+    more, and the functions of Spark ML models take theirs along to the tasks.
     """
-    seen = Observation()
-    w = df.observe(seen, *metrics).write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return dict(seen.get)
+    spark, seen, name = df.sparkSession, Observation(), f"observed_{uuid.uuid4().hex}"
+    other = spark.newSession()
+    for k, v in spark.conf.getAll.items():
+        if spark.conf.isModifiable(k):
+            other.conf.set(k, v)
+    df.createGlobalTempView(name)
+    try:
+        w = other.table(f"global_temp.{name}").observe(seen, *metrics).write.mode(mode)
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(path)
+        return dict(seen.get)
+    finally:
+        spark.catalog.dropGlobalTempView(name)
 
 
 @dataclass

@@ -96,3 +96,11 @@ def test_hot_rows_are_spread_over_slices(spark):
     fact, *_ = store(spark, skewed(spark))
     sizes = [r["count"] for r in spark.table(fact.hot).where("customer_id = 1").groupBy(CO.SLICE).count().collect()]
     assert len(sizes) >= 3 and max(sizes) < sum(sizes) / 2
+
+
+def test_models_still_run_after_an_observed_write(spark):
+    from ledgerflow.operators import ml
+
+    df = spark.createDataFrame([(float(i % 7), i % 2) for i in range(60)], "x double, y int")
+    clean_to_parquet(df, scratch_path(spark, "c"))
+    assert ml.roc_auc(ml.score_logreg(ml.train_logreg(df, ["x"], "y"), df, ["x"]), "y").count() == 1
