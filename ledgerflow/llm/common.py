@@ -33,10 +33,14 @@ def utf8(name: str) -> Column:
     return F.coalesce(qcol(name).cast("string").cast("binary"), F.lit("").cast("binary"))
 
 
-def hash_share(name: str, rows: int, of: int) -> Column:
-    """Keeps about ``rows`` of ``of`` rows by the hash of a column, all of them where there are no more."""
-    share = min(1.0, rows / max(of, 1))
-    return F.pmod(F.xxhash64(F.lit("sample"), qcol(name)), F.lit(1 << 30)) < int(share * (1 << 30))
+def hash_share(name: str, rows: int, of: int, after: int = 0) -> Column:
+    """Keeps about ``rows`` of ``of`` rows by the hash of a column, all of them where there are no more.
+
+    ``after``: other rows than those that are kept for so many.
+    """
+    low, high = (int(min(1.0, x / max(of, 1)) * (1 << 30)) for x in (after, after + rows))
+    h = F.pmod(F.xxhash64(F.lit("sample"), qcol(name)), F.lit(1 << 30))
+    return (h >= low) & (h < high) if after else h < high
 
 
 def crc_mod(id_col: str, m: int) -> Column:

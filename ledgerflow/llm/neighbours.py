@@ -32,6 +32,10 @@ from .components import connected
 from .vector_graph import build, medoid, parts, search
 
 
+#: Times the audited vectors asked for that are drawn at most.
+AUDIT_MOST = 10
+
+
 def unit_vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """(vec_id, v array<double> of length 1, or null where nothing can link)."""
     v = F.transform(qcol(vec_col), lambda x: x.cast("double"))
@@ -284,7 +288,7 @@ def _brute(vecs: DataFrame, reps: np.ndarray, queries: np.ndarray, least: float)
     return out
 
 
-def _audited(vecs: DataFrame, reps: np.ndarray, sample: np.ndarray, least: float, queries: int, most: int = 10) -> dict[int, int]:
+def _audited(vecs: DataFrame, reps: np.ndarray, sample: np.ndarray, least: float, queries: int, most: int = AUDIT_MOST) -> dict[int, int]:
     """{rep: links} of sampled vectors that have links.
 
     ``queries`` vectors are drawn; while fewer than a quarter as many have few links, as many again as there are, up to ``most`` times ``queries``.
@@ -318,7 +322,7 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddin
     vector with copies: each copy links with the others and with all that the vector links with.  Rows with a
     null id count as links; they name no component.  A repeated id is one more row with that id.  The index is
     fitted on about ``sample_rows`` vectors at most (by hash of the row) and holds all; recall is audited with
-    ``audit_queries`` vectors or, where few of them have links, up to ten times as many.  Other columns are ignored, whatever their names.
+    ``audit_queries`` other vectors or, where few of them have links, up to ten times as many.  Other columns are ignored, whatever their names.
     """
     rows = cut_lineage(unit_vectors(df, id_col, vec_col).withColumn("row", F.monotonically_increasing_id())
                        .withColumn("dims", F.size("v")).withColumn("hash", F.xxhash64("v")))
@@ -353,7 +357,11 @@ def _links(vecs, least, max_shard, sample_rows, overlap, probes, beam, degree, a
     spans = members.where("rank = 0").groupBy("shard").agg(F.max("angle").alias("r"), F.count("*").alias("n")).toPandas()   # one row per centre
     tight = {int(s): float(r) for s, r in zip(spans["shard"], spans["r"]) if r <= 2 * math.acos(min(1.0, least))}
     adjacency = cut_lineage(_adjacency(members, degree))
-    want = _audited(vecs, picked.column(0).to_numpy(), sample, least, audit_queries)
+    # audited are vectors that the centres weren't fitted on; where the fit had all of them, those
+    other = vecs.where(hash_share("rep", AUDIT_MOST * audit_queries, n, after=sample_rows)).select("rep", "v").toArrow()
+    drawn = other if other.num_rows >= audit_queries else picked
+    want = _audited(vecs, drawn.column(0).to_numpy(), np.array(drawn.column(1).combine_chunks().flatten().to_numpy()).reshape(drawn.num_rows, -1),
+                    least, audit_queries)
     while True:
         hits = cut_lineage(_hits(members, adjacency, _ask(members, centre, tight, probes, least), least, beam))
         hits = cut_lineage(_both_ends(members, hits, least))

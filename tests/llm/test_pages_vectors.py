@@ -277,3 +277,12 @@ def test_short_payloads_are_spread_over_keys(spark):
     df = spark.createDataFrame([(i, f"http://h/{i}", "short") for i in range(50)], "page_id long, url string, html string")
     rows = warc.with_roles(df, broadcast_rows=-1)
     assert rows.count() == 50 and rows.where("refers_to is not null").count() == 0
+
+
+def test_audit_and_fit_take_other_rows(spark):
+    from ledgerflow.llm.common import hash_share
+
+    df = spark.range(5000).withColumnRenamed("id", "rep")
+    fit, other = (df.where(hash_share("rep", n, 5000, after)) for n, after in ((1000, 0), (400, 1000)))
+    assert 900 < fit.count() < 1100 and 330 < other.count() < 470 and fit.join(other, "rep").count() == 0
+    assert df.where(hash_share("rep", 400, 5000, 6000)).count() == 0 and df.where(hash_share("rep", 9000, 5000)).count() == 5000
