@@ -359,7 +359,7 @@ def _links(vecs, least, max_shard, sample_rows, overlap, probes, beam, degree, a
     adjacency = cut_lineage(_adjacency(members, degree))
     # audited are vectors that the centres weren't fitted on; where the fit had all of them, those
     other = vecs.where(hash_share("rep", AUDIT_MOST * audit_queries, n, after=sample_rows)).select("rep", "v").toArrow()
-    drawn = other if other.num_rows >= audit_queries else picked
+    drawn = other if other.num_rows >= max(audit_queries, 1) else picked
     want = _audited(vecs, drawn.column(0).to_numpy(), np.array(drawn.column(1).combine_chunks().flatten().to_numpy()).reshape(drawn.num_rows, -1),
                     least, audit_queries)
     while True:
