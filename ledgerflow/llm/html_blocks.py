@@ -131,19 +131,21 @@ class _Open:
 
     def last(self, *tags: str) -> int:
         """Place of the innermost open element of these kinds, else 0."""
-        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+        best = 0
+        for t in tags:
+            at = self.places.get(t)
+            if at and at[-1] > best:
+                best = at[-1]
+        return best
 
     def push(self, e: Element) -> None:
         self.places.setdefault(e.tag, []).append(len(self.stack))
         self.stack.append(e)
 
-    def cut(self, k: int) -> list[Element]:
+    def cut(self, k: int) -> None:
         """Closes the elements from place k on."""
-        closed = self.stack[k:]
-        for e in closed:
-            self.places[e.tag].pop()
-        del self.stack[k:]
-        return closed
+        while len(self.stack) > k:
+            self.places[self.stack.pop().tag].pop()
 
 
 def parse(html: str) -> list[tuple[Element, str]]:
@@ -169,7 +171,7 @@ def parse(html: str) -> list[tuple[Element, str]]:
         linked = 0
 
     def close_to(k: int) -> None:
-        if any(e.tag in BLOCK for e in tree.stack[k:]):
+        if text and any(e.tag in BLOCK for e in tree.stack[k:]):
             flush()
         tree.cut(k)
 
@@ -189,6 +191,9 @@ def parse(html: str) -> list[tuple[Element, str]]:
         if not tag:
             continue
         if m[1]:
+            if top.tag == tag:                               # nearly always
+                close_to(len(tree.stack) - 1)
+                continue
             k = tree.last(tag)
             if k and (tag in WIDE or tree.last("table", "article") <= k):
                 close_to(k)
@@ -199,7 +204,7 @@ def parse(html: str) -> list[tuple[Element, str]]:
             if not top.gone and tag == "br":
                 text.append(" ")
             continue
-        if tag in CLOSES_P:
+        if tag in CLOSES_P and tree.places.get("p"):
             k = tree.last(*P_SCOPE)
             if k and tree.stack[k].tag == "p":
                 close_to(k)
