@@ -1,8 +1,9 @@
 """Categorical encoding.
 
 The set of output columns of a one-hot encoding depends on the data, so the
-distinct categories are the one thing brought to the driver — bounded by
-``max_categories`` per column and checked before collecting.  Label codes never
+distinct categories are the one thing brought to the driver: each becomes a
+column.  ``max_categories``, where given, bounds them per column and is checked
+before collecting.  Label codes never
 leave the cluster: codes are the position of each category in sorted order
 (distributed row index), joined back by value.
 """

@@ -928,6 +928,19 @@ def q_export_metrics_kv(spark, sf):
     return ST.export_metrics(V.sales(spark, sf), V.customers(spark, sf))
 
 
+@register("export_metrics_runs", w("""
+WITH m AS (SELECT 'sales_count' AS metric, CAST((SELECT count(*) FROM sales) AS VARCHAR) AS value
+UNION ALL SELECT 'customers_count', CAST((SELECT count(*) FROM customers) AS VARCHAR)
+UNION ALL SELECT * FROM (SELECT 'top_country_' || c.country, CAST(count(*) AS VARCHAR) FROM sales s
+  JOIN customers c ON s.customer_id = c.customer_id GROUP BY c.country ORDER BY count(*) DESC, c.country LIMIT 3))
+SELECT metric, value, run_id FROM m, (SELECT unnest(['first', '2024-01']) AS run_id)""", customers=True))
+def q_export_metrics_runs(spark, sf):
+    path, args = scratch_path(spark, "metrics"), (V.sales(spark, sf), V.customers(spark, sf))
+    for run in ("first", "2024-01", "first"):            # the first run is done again
+        out = ST.export_metrics_run(*args, path, run)
+    return out
+
+
 def _api_docs(spark, sf):
     """The API part of the load: one landed response per 'api' order, rows under "data"."""
     s = V.sales(spark, sf).where(F.col("source") == "api")

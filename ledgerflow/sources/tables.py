@@ -53,3 +53,14 @@ def export_metrics(sales: DataFrame, customers: DataFrame, table: str | None = N
     if table:
         save_table(out, table, if_exists="append")
     return out
+
+
+def export_metrics_run(sales: DataFrame, customers: DataFrame, path: str, run_id: str, k: int = 3) -> DataFrame:
+    """S9 as one batch per run below ``path``: (metric, value, run_id) of all runs so far.
+
+    A run that is repeated replaces its own batch and leaves the others alone, so nothing doubles; readers see a batch
+    only when it is whole.
+    """
+    batch = export_metrics(sales, customers, k=k).withColumn("run_id", F.lit(run_id))
+    batch.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)     # k + 2 rows
+    return sales.sparkSession.read.schema(batch.schema).parquet(path).select("metric", "value", "run_id")

@@ -104,3 +104,17 @@ def test_models_still_run_after_an_observed_write(spark):
     df = spark.createDataFrame([(float(i % 7), i % 2) for i in range(60)], "x double, y int")
     clean_to_parquet(df, scratch_path(spark, "c"))
     assert ml.roc_auc(ml.score_logreg(ml.train_logreg(df, ["x"], "y"), df, ["x"]), "y").count() == 1
+
+
+def test_a_repeated_export_doubles_nothing(spark):
+    from ledgerflow.sources.tables import export_metrics, export_metrics_run
+
+    sales = spark.createDataFrame([(i, i % 4, dt.date(2024, 1, 1), 1.0, "s") for i in range(9)], SALES)
+    people = spark.createDataFrame([(k, f"c{k % 2}") for k in range(4)], "customer_id long, country string")
+    path = scratch_path(spark, "metrics")
+    export_metrics_run(sales, people, path, "a")
+    export_metrics_run(sales.limit(0), people, path, "b")
+    got = export_metrics_run(sales, people, path, "a")
+    want = [(r.metric, r.value) for r in export_metrics(sales, people).collect()]
+    assert sorted((r.metric, r.value) for r in got.where("run_id = 'a'").collect()) == sorted(want)
+    assert {r.metric: r.value for r in got.where("run_id = 'b'").collect()} == {"sales_count": "0", "customers_count": "4"}
