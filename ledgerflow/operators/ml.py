@@ -14,7 +14,6 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +21,7 @@ from ..functions.exprs import bin_edges, bin_index, bind_scalar, qcol
 from ..functions.prefix import prefix_by_key
 from ..session import cut_lineage
 from .features import classification_target, numeric_feature_columns, split, split_stratified
+from .forest import fit_forest
 from .report import _histogram_of
 
 log = logging.getLogger(__name__)
@@ -168,17 +168,19 @@ def train_forest(train: DataFrame, feats: list[str], label: str, num_trees: int
                  seed: int = 42, max_bins: int = 64, memory_mb: int = 1024) -> PipelineModel:
     """Random-forest regression (all features at every split, no
     subsampling, like scikit-learn's defaults; trees grow to Spark's deepest level,
-    30, and splits are binned).  ``memory_mb`` holds the statistics of the nodes
-    that one pass over the rows splits: more of it, fewer passes."""
-    rf = RandomForestRegressor(featuresCol="features", labelCol="_label", numTrees=num_trees, maxDepth=max_depth,
-                               featureSubsetStrategy="all", subsamplingRate=1.0, seed=seed, maxBins=max_bins,
-                               bootstrap=True, maxMemoryInMB=memory_mb)
-    pipe = Pipeline(stages=[VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep"), rf])
-    return pipe.fit(_assembled(train.withColumn("_label", qcol(label).cast("double")), feats))
+    30, and splits are binned).  ``memory_mb`` bounds what a task holds of the
+    cells that the trees are grown on (see ``forest``)."""
+    return fit_forest(_assembled(train.withColumn("_label", qcol(label).cast("double")), feats), feats, num_trees, max_depth, seed, max_bins, memory_mb)
 
 
 def predict_forest(model: PipelineModel, df: DataFrame, feats: list[str]) -> DataFrame:
-    return model.transform(_assembled(df, feats)).drop("features", "_label")
+    """The rows with their ``prediction``.  Where feature vectors repeat, each is sent through the trees once."""
+    x = _assembled(df, feats).drop("features", "_label")
+    st = x.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.struct(*[qcol(c) for c in feats])).alias("k")).first()
+    if 4 * st["k"] > st["n"]:
+        return model.transform(x).drop("features")
+    known = model.transform(x.select(*[qcol(c) for c in feats]).distinct()).drop("features")
+    return x.join(known, feats).select(*[qcol(c) for c in x.columns], "prediction")
 
 
 def regression_metrics(pred: DataFrame, actual: str, predicted: str = "prediction") -> DataFrame:
