@@ -18,6 +18,10 @@ from ..functions.exprs import qcol, string_columns
 from ..functions.rows import with_row_index
 
 
+#: Label codes of a column go to every executor up to so many; beyond, the column is joined by value.
+MANY_CODES = 100_000
+
+
 class TooManyCategories(ValueError):
     pass
 
@@ -77,6 +81,8 @@ def label_encode(df: DataFrame, columns=None) -> DataFrame:
     for c in cols:
         cats = out.select(qcol(c).cast("string").alias("_v")).where(F.col("_v").isNotNull()).distinct()
         codes = with_row_index(cats, ["_v"], "_code")
+        if codes.limit(MANY_CODES + 1).count() <= MANY_CODES:       # a join by a few values would put all rows of one into one task
+            codes = F.broadcast(codes)
         out = (out.join(codes, qcol(c).cast("string") == F.col("_v"), "left")
                   .withColumn(c, F.coalesce(F.col("_code"), F.lit(-1)).cast("int"))
                   .drop("_v", "_code"))
