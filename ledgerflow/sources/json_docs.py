@@ -45,22 +45,29 @@ def _first_char(c: Column) -> Column:
     return F.substring(F.ltrim(c), 1, 1)
 
 
+def _let(value: Column, f) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` uses it."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
 def items_of(raw: Column, item_schema: T.StructType | T.VariantType | str, wrap_object: bool = True) -> Column:
     """Array of items from a JSON value: a list is the rows; an object yields its
     first list-valued member; an object without one, or with an empty one, is a single row when
     ``wrap_object`` (the paged reader appends nothing for it).  Malformed text
-    yields no rows."""
+    yields no rows.  Every text is taken from its document and parsed once."""
     one = _schema(item_schema)
     arr_type = T.ArrayType(one)
-    keys = F.json_object_keys(raw)
-    first_list_key = F.get(F.filter(keys, lambda k: _first_char(_member(raw, k)) == "["), 0)
-    first_list = _member(raw, first_list_key)
-    single = F.array(F.from_json(raw, "variant" if isinstance(one, T.VariantType) else one)) if wrap_object else F.array().cast(arr_type)
-    # json_object_keys is NULL for text that is not a valid object: no rows from it
-    from_obj = (F.when(keys.isNull(), F.lit(None).cast(arr_type))
-                 .when(F.size(F.from_json(first_list, arr_type)) > 0, F.from_json(first_list, arr_type)).otherwise(single))
-    return (F.when(_first_char(raw) == "[", F.from_json(raw, arr_type))
-             .when(_first_char(raw) == "{", from_obj))
+
+    def of(raw: Column) -> Column:
+        single = F.array(F.from_json(raw, "variant" if isinstance(one, T.VariantType) else one)) if wrap_object else F.array().cast(arr_type)
+        first_list = lambda keys: F.get(F.filter(F.transform(keys, lambda k: _member(raw, k)), lambda m: _first_char(m) == "["), 0)
+        of_list = lambda items: F.when(F.size(items) > 0, items).otherwise(single)
+        # json_object_keys is NULL for text that is not a valid object: no rows from it
+        from_obj = _let(F.json_object_keys(raw), lambda keys: F.when(keys.isNull(), F.lit(None).cast(arr_type))
+                        .otherwise(_let(F.from_json(first_list(keys), arr_type), of_list)))
+        return F.when(_first_char(raw) == "[", F.from_json(raw, arr_type)).when(_first_char(raw) == "{", from_obj)
+
+    return _let(raw, of)
 
 
 def _schema(s: T.DataType | str) -> T.DataType:
