@@ -48,16 +48,20 @@ def train_logreg(train: DataFrame, feats: list[str], label: str, balanced: bool
     """M1 / M2: L2 logistic regression equal to scikit-learn's C=1 objective:
     Spark minimises the weighted mean loss + regParam/2·‖w‖², so regParam =
     1 / Σweights (= 1 / n_train, since balanced weights sum to n)."""
-    n = train.count()                       # one number, needed as a parameter
     # Spark ML resolves column params as paths, so a label like "high_value_q0.80"
     # is trained under an internal name.
-    data = train.withColumn("_label", qcol(label).cast("double"))
-    data = balanced_weights(data, "_label") if balanced else data
+    data = _assembled(train.withColumn("_label", qcol(label).cast("double")), feats).select(*[qcol(c) for c in feats], "_label")
+    data = data.persist()                   # read for the count, the weights, the summary and the fit
+    n = data.count()                        # one number, needed as a parameter
+    weighted = balanced_weights(data, "_label") if balanced else data
     extra = {"weightCol": "_w"} if balanced else {}
     lr = LogisticRegression(featuresCol="features", labelCol="_label", maxIter=max_iter, tol=tol,
                             regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False, **extra)
     pipe = Pipeline(stages=[VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep"), lr])
-    return pipe.fit(_assembled(data, feats))
+    try:
+        return pipe.fit(weighted)
+    finally:
+        data.unpersist()
 
 
 def score_logreg(model: PipelineModel, df: DataFrame, feats: list[str], threshold: float = 0.5) -> DataFrame:
