@@ -72,6 +72,37 @@ def test_points_fall_into_windows_of_dates(spark):
     assert got == {"x": 9, "y": sum(4 <= i % 40 <= 30 for i in range(100))}
 
 
+def test_one_hot_day_is_cut_into_blocks(spark, monkeypatch):
+    """All pairs of a day, with repeated rows, a map column and keys of other types, and no task has most of them."""
+    monkeypatch.setattr(intervals, "BLOCK", 400, raising=False)
+    monkeypatch.setattr(intervals, "TASK", 4000, raising=False)
+    left = [(i, i % 2, 5, 5 + i % 3) for i in range(200)] + [(7, 1, 5, 6)] * 3 + [(1, 0, 30, 90)]
+    right = [(i, 5 - i % 2, 6) for i in range(150)] + [(3, 4, 6)] * 2 + [(9, 60, 400)]
+    l = spark.createDataFrame(left, "id long, k int, a long, b long").withColumn("m", F.create_map("id", "a"))  # noqa: E741
+    r = spark.createDataFrame(right, "id long, a long, b long")
+    over = lambda x, y: x[2] <= y[2] and y[1] <= x[3]
+    got = intervals.interval_join(l, r, ("a", "b"), ("a", "b"))
+    assert rows(got.drop("m")) == sorted(str((*x, *y)) for x in left for y in right if over(x, y))
+    sizes = [x["count"] for x in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < sum(sizes) / 2
+    for kind in ("long", "double", "int", "string"):
+        q = r.withColumn("k", F.lit(1).cast(kind))
+        keyed = intervals.interval_join(l.withColumn("k", F.col("k").cast("string")) if kind == "string" else l, q, ("a", "b"), ("a", "b"), ["k"])
+        assert keyed.count() == sum(over(x, y) for x in left for y in right if x[1] == 1)
+
+
+def test_few_other_pairs_are_compared(spark):
+    """Points against long spans: at least half of the pairs that share a place are in the result."""
+    p = spark.range(3000).select("id", (F.col("id") % 1000).alias("t"))
+    s = spark.range(200).select("id", (F.col("id") * 4).alias("a"), (F.col("id") * 4 + 130).alias("b"))
+    got = intervals.interval_join(p, s, ("t", "t"), ("a", "b"))
+    l, r = intervals._spans(p, "t", "t", [], 1, "l"), intervals._spans(s, "a", "b", [], 1, "r")  # noqa: E741
+    levels = [x[0] for x in r.select("rlevel").distinct().collect()]
+    met = intervals._placed(l, levels, levels, 1, "l").join(intervals._placed(r, [], levels, 1, "r"), F.expr("lat = rat AND lbin = rbin")).count()
+    assert got.count() <= met <= 2 * got.count()
+    assert intervals._placed(r, [], levels, 1, "r").groupBy("rc0").count().agg(F.max("count")).first()[0] <= 5
+
+
 def test_ranks_equal_windows(spark):
     rng = random.Random(9)
     data = [(rng.choice(["hot", "hot", "a", "b", None]), rng.choice([None, *range(8)]), i) for i in range(400)]
