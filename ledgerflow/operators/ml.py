@@ -233,12 +233,21 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+class TasksFailed(RuntimeError):
+    """A model task failed.  ``result`` holds what was made, with the error of each failed task under ``failed``."""
+
+    def __init__(self, result: dict):
+        super().__init__("; ".join(f"{task} failed: {why}" for task, why in result["failed"].items()))
+        self.result = result
+
+
 def run_ml(features: DataFrame, cfg: dict, models_dir: str | None = None) -> dict:
     """Classification then regression on the built features; each task's
-    failure is logged and the other still runs; disabled -> empty result.
+    failure is logged and the other still runs, then ``TasksFailed`` is raised,
+    so that what is returned is whole; disabled -> empty result.
     ``features`` must carry the boolean split flag ``is_test``."""
     ml_cfg = cfg.get("ml") or {}
-    result = {"metrics": {}, "tables": {}, "models": {}}
+    result = {"metrics": {}, "tables": {}, "models": {}, "failed": {}}
     if not ml_cfg or not ml_cfg.get("enabled", True):
         return result
     if "is_test" not in features.columns:
@@ -262,12 +271,15 @@ def run_ml(features: DataFrame, cfg: dict, models_dir: str | None = None) -> dic
                                      "logreg_coeffs": logreg_coefficients(model, feats)})
             if models_dir:
                 result["models"]["logreg_high_value"] = save_model(model, f"{models_dir}/logreg_high_value")
-        except Exception as e:  # noqa: BLE001 — reference semantics: log and go on
+        except Exception as e:  # noqa: BLE001 — reference semantics: log and go on; raised below
             log.exception("classification failed: %s", e)
+            result["failed"]["classification"], cause = f"{type(e).__name__}: {e}", e
     rcfg = ml_cfg.get("regression") or {}
-    target = rcfg.get("target", "amount")
-    if rcfg.get("enabled", True) and target in features.columns:
+    target = rcfg.get("target") or "amount"
+    if rcfg.get("enabled", True) and (rcfg.get("target") or target in features.columns):
         try:
+            if target not in features.columns:
+                raise ValueError(f"no column {target!r} to predict")
             x = features.where(F.col(target).isNotNull())
             feats = numeric_feature_columns(x, drop=[target])
             train, test = x.where(~F.col("is_test")), x.where(F.col("is_test"))
@@ -284,13 +296,16 @@ def run_ml(features: DataFrame, cfg: dict, models_dir: str | None = None) -> dic
                 result["models"]["rf_amount"] = save_model(model, f"{models_dir}/rf_amount")
         except Exception as e:  # noqa: BLE001
             log.exception("regression failed: %s", e)
+            result["failed"]["regression"], cause = f"{type(e).__name__}: {e}", e
+    if result["failed"]:
+        raise TasksFailed(result) from cause
     return result
 
 
 __all__ = ["train_logreg", "score_logreg", "threshold_predict", "classification_metrics", "roc_auc", "roc_curve",
            "pr_curve", "confusion_matrix", "logreg_coefficients", "train_forest", "predict_forest",
            "regression_metrics", "residual_histogram", "actual_vs_predicted_bins", "forest_importances",
-           "save_model", "load_model", "run_ml", "split"]
+           "save_model", "load_model", "run_ml", "TasksFailed", "split"]
 
 
 def _split_all(df: DataFrame, key: str | None) -> DataFrame:

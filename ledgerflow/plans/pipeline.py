@@ -39,10 +39,15 @@ def run_pipeline(spark: SparkSession, cfg: dict) -> dict:
         clean = read_parquet(spark, save_parquet(clean, paths["cleaned"]))
     else:
         clean = cut_lineage(clean)
-    ml_result = {"metrics": {}, "tables": {}, "models": {}}
+    ml_result = {"metrics": {}, "tables": {}, "models": {}, "failed": {}}
     if (cfg.get("ml") or {}).get("enabled", False):
         feats = FE.build_features(FE.split(clean, "order_id" if "order_id" in clean.columns else None))
-        ml_result = ML.run_ml(feats, cfg, paths.get("models"))
+        try:
+            ml_result = ML.run_ml(feats, cfg, paths.get("models"))
+        except ML.TasksFailed as e:        # the reports are made all the same, and one of them names what failed
+            ml_result = e.result
+            failed = spark.createDataFrame([*ml_result["failed"].items()], "task string, error string")
+            ml_result["tables"]["ml_failed"] = failed
     tables = run_reporting(sales, clean, cfg, ml_result["tables"])
     return {"sales": sales, "users": users, "products": products, "clean": clean,
             "dropped_columns": cleaning.dropped, "cleaning_stats": cleaning.stats,

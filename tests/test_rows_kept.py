@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerflow import registry
 from ledgerflow.operators import clean as C
 from ledgerflow.operators import encode as EN
 from ledgerflow.operators import features as FE
@@ -10,6 +11,7 @@ from ledgerflow.operators import integrate as I
 from ledgerflow.operators import ml as ML
 from ledgerflow.operators import profile as P
 from ledgerflow.operators import report as R
+from ledgerflow.plans.pipeline import run_pipeline
 from ledgerflow.sources import files as SF
 from ledgerflow.sources import json_docs as SJ
 
@@ -38,6 +40,34 @@ def test_ml_uses_all_rows_and_reports_auc(stack):
     assert c.n_train + c.n_test == 4400 and r.n_train + r.n_test == 4400 and 0 <= c.roc_auc <= 1
 
 
+def test_failed_task_is_no_result(spark, stack, monkeypatch):
+    def broken(*_, **__):
+        raise OSError("no space left")
+
+    feats = FE.build_features(FE.split(stack, "order_id"))
+    with pytest.raises(ML.TasksFailed, match="no column 'price'"):
+        ML.run_ml(feats, {"ml": {"classification": {"enabled": False}, "regression": {"target": "price"}}})
+    monkeypatch.setattr(ML, "train_forest", broken)
+    monkeypatch.setattr(registry, "_ml_features", lambda spark, sf: feats)
+    with pytest.raises(ML.TasksFailed, match="regression failed: OSError: no space left") as e:
+        registry.QUERIES["ml_stage_metrics"](spark, "")
+    assert isinstance(e.value.__cause__, OSError) and list(e.value.result["failed"]) == ["regression"]
+    assert e.value.result["metrics"]["classification"].first().n_test > 0           # the other task ran
+
+
+def test_pipeline_names_failed_tasks(spark, stack, tmp_path, monkeypatch):
+    def broken(*_, **__):
+        raise OSError("no space left")
+
+    monkeypatch.setattr(ML, "train_logreg", broken)
+    monkeypatch.setattr(ML, "train_forest", broken)
+    stack.drop("source").write.csv(str(tmp_path / "s"), header=True)
+    cfg = {"sources": {"csv": [{"name": "sales", "path": str(tmp_path / "s")}]}, "ml": {"enabled": True}}
+    res = run_pipeline(spark, cfg)
+    assert {r.task: r.error for r in res["tables"]["ml_failed"].collect()} == dict.fromkeys(("classification", "regression"), "OSError: no space left")
+    assert res["ml"]["metrics"] == {} and res["summary"].first().rows_raw == 4400
+
+
 def test_mixed_types_stack(spark):
     a = spark.sql("select 1 as order_id, date'2024-01-02' as order_date, 2.5D as amount")
     b = spark.sql("select 9007199254740993 as order_id, 'bad' as order_date, 'x' as amount")
