@@ -91,6 +91,24 @@ def test_one_hot_day_is_cut_into_blocks(spark, monkeypatch):
         assert keyed.count() == sum(over(x, y) for x in left for y in right if x[1] == 1)
 
 
+def test_rows_of_one_span_pass_in_lists(spark, monkeypatch):
+    """The result has runs of either side's columns, so its files stay small; values come as they were, negative zero and nulls too."""
+    for name, n in (("BLOCK", 5000), ("TASK", 20_000), ("FILES", 20_000), ("LIST", 16)):
+        monkeypatch.setattr(intervals, name, n, raising=False)
+    l = spark.range(1200).select("id", F.expr("(id % 2 * 2 - 1) * 0D").alias("K"), (F.col("id") % 6).cast("int").alias("t"),  # noqa: E741
+                                 F.when(F.col("id") % 3 == 0, F.array("id")).alias("v")).coalesce(1)
+    r = spark.range(90).select("id", F.lit(0.0).alias("k"), (F.col("id") % 5).alias("a"), (F.col("id") % 5 + F.col("id") % 7).alias("b")).coalesce(1)
+    most = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:                    # as for tables of size
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        met = intervals.interval_join(l, r, ("t", "t"), ("a", "b"), ["k"]).select("id", F.col("K").cast("string"), "t", F.col("v")[0], "id_right").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+    want = sorted((i, ("0.0", "-0.0")[i % 2 == 0], i % 6, i if i % 3 == 0 else -1, j) for i in range(1200) for j in range(90) if j % 5 <= i % 6 <= j % 5 + j % 7)
+    assert sorted((x[0], x[1], x[2], -1 if x[3] is None else x[3], x[4]) for x in met) == want
+    assert sum(x.id_right != y.id_right for x, y in zip(met, met[1:])) < len(met) / 8
+
+
 def test_few_other_pairs_are_compared(spark):
     """Points against long spans: at least half of the pairs that share a place are in the result."""
     p = spark.range(3000).select("id", (F.col("id") % 1000).alias("t"))
